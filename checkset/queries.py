@@ -44,9 +44,12 @@ def query(f: Query) -> Query:
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Floating columns rounded, since sums may be taken in any order."""
-    return df.select(
-        *[F.round(F.col(f"`{f.name}`"), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f"`{f.name}`") for f in df.schema]
+    """Floating columns rounded, since sums may be taken in any order.
+
+    The small shift moves decimal ties (means of two-digit scores end in 5) off the half.
+    """
+    return df.selectExpr(
+        *[f"round(`{f.name}` + 1e-9D, {digits}) AS `{f.name}`" if isinstance(f.dataType, T.DoubleType) else f"`{f.name}`" for f in df.schema]
     )
 
 
@@ -76,8 +79,12 @@ def risk(spark: SparkSession, d: str) -> DataFrame:
 
 def risk_runs(spark: SparkSession, d: str) -> DataFrame:
     """The mart after two runs."""
-    earlier = scoring.score_linear(panel(spark, d), EARLIER_SCORER)
-    return marts.student_risk(earlier, EARLIER_DATE).unionByName(risk(spark, d))
+    rows = panel(spark, d)
+    runs = [
+        marts.student_risk(scoring.score_linear(rows, scorer), day)
+        for scorer, day in ((EARLIER_SCORER, EARLIER_DATE), (SCORER, RUN_DATE))
+    ]
+    return runs[0].unionByName(runs[1])
 
 
 def scores(spark: SparkSession, d: str) -> DataFrame:

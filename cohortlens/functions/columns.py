@@ -10,8 +10,11 @@ MISSING_TEXTS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "
                  "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 TWO_TO_32 = 4294967296.0
-SQRT_2 = 1.4142135623730951
-SQRT_PI = 1.7724538509055159
+
+
+def clip_sql(value: str, lower: float, upper: float) -> str:
+    """The same bound as SQL text, for formulas that read better as one expression."""
+    return f"CASE WHEN {value} < {lower} THEN {lower}D WHEN {value} > {upper} THEN {upper}D ELSE {value} END"
 
 
 def clip(value: Column, lower: float | None = None, upper: float | None = None) -> Column:
@@ -49,24 +52,17 @@ def percent_text(share: Column) -> Column:
     return F.format_string("%.2f%%", share * F.lit(100.0))
 
 
-def erfc(x: Column, cut: float = 2.5, terms: int = 60, levels: int = 40) -> Column:
-    """Complementary error function for x >= 0 (Spark has none).
+def erfc(x: str) -> Column:
+    """Complementary error function of a non-negative column (Spark has none).
 
-    Below ``cut`` the all-positive series of erf, above it the continued fraction; both are
-    nested from the innermost term outwards and reach double precision.
+    Below 2.5 the all-positive series of erf, above it the continued fraction; both are
+    folded from the innermost term outwards and reach double precision.
     """
-    square = x * x
-    series = F.lit(1.0)
-    for n in range(terms, 0, -1):
-        series = F.lit(1.0) + series * square * F.lit(2.0 / (2 * n + 1))
-    small = F.lit(1.0) - F.lit(2.0 / SQRT_PI) * x * F.exp(-square) * series
-    fraction = x
-    for n in range(levels, 0, -1):
-        fraction = x + F.lit(n / 2.0) / fraction
-    large = F.exp(-square) / (F.lit(SQRT_PI) * fraction)
-    return F.when(x < F.lit(cut), small).otherwise(large)
-
-
-def two_sided_p(z: Column) -> Column:
-    """Two-sided normal tail of a z statistic."""
-    return erfc(F.abs(z) / F.lit(SQRT_2))
+    series = f"aggregate(sequence(60, 1, -1), 1.0D, (s, n) -> 1 + s * {x} * {x} * 2 / (2 * n + 1))"
+    fraction = f"aggregate(sequence(40, 1, -1), {x}, (f, n) -> {x} + n / 2.0D / f)"
+    return F.expr(
+        f"CASE WHEN {x} < 2.5D THEN 1 - 2 / sqrt(pi()) * {x} * exp(-{x} * {x}) * {series} "
+        f"ELSE exp(-{x} * {x}) / (sqrt(pi()) * {fraction}) END"
+    )
+
+

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.functions.columns import clip, two_sided_p, uniform
+from cohortlens.functions.columns import clip, erfc, uniform
 from cohortlens.params import RunParams
 
 SCENARIO = "uplift_scenario"
@@ -72,9 +72,9 @@ def z_test(rates: DataFrame) -> DataFrame:
         F.col("control_success") + F.col("treatment_success"), F.col("control_n") + F.col("treatment_n")
     )
     error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1), "control_n") + F.try_divide(F.lit(1), "treatment_n")))
-    with_error = rates.withColumn("_error", error)
-    p = two_sided_p(F.try_divide("rate_diff", "_error"))
-    return with_error.withColumn("p_value", F.when(F.col("_error") == 0, F.lit(1.0)).otherwise(p)).drop("_error")
+    tested = rates.withColumn("_error", error).withColumn("_x", F.abs(F.try_divide("rate_diff", "_error")) / F.sqrt(F.lit(2.0)))
+    p = F.when(F.col("_error") == 0, F.lit(1.0)).otherwise(erfc("_x"))
+    return tested.withColumn("p_value", p).drop("_error", "_x")
 
 
 def bootstrap_ci(

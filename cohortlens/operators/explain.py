@@ -22,7 +22,7 @@ def linear_contributions(df: DataFrame, scorer: LinearScorer) -> DataFrame:
     standardised. Two light passes: the means as a one-row subquery, then one aggregate.
     """
     used = list(scorer.features)
-    z = {c: scorer.standardised(c) for c in used}
+    z = {c: F.expr(scorer.standardised(c)) for c in used}
     means = df.agg(*[F.avg(z[c]).alias(c) for c in used]).select(F.struct(*used).alias("means")).scalar()
     centred = df.select(*used).withColumn("_means", means)
     weights = dict(zip(used, scorer.coefficients))

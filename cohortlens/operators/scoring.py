@@ -26,17 +26,16 @@ class LinearScorer:
     coefficients: Sequence[float]
     intercept: float
 
-    def standardised(self, feature: str) -> Column:
+    def standardised(self, feature: str) -> str:
+        """SQL text of one standardised feature."""
         i = list(self.features).index(feature)
         if self.scales[i] == 0:
-            return F.lit(0.0)
-        return (F.col(feature) - F.lit(float(self.means[i]))) / F.lit(float(self.scales[i]))
+            return "0.0D"
+        return f"((`{feature}` - ({float(self.means[i])!r}D)) / {float(self.scales[i])!r}D)"
 
     def margin(self) -> Column:
-        total = F.lit(float(self.intercept))
-        for feature, weight in zip(self.features, self.coefficients):
-            total = total + F.lit(float(weight)) * self.standardised(feature)
-        return total
+        terms = [f"({float(w)!r}D) * {self.standardised(f)}" for f, w in zip(self.features, self.coefficients)]
+        return F.expr(" + ".join([f"({float(self.intercept)!r}D)", *terms]))
 
     def probability(self) -> Column:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-self.margin()))

@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from cohortlens.functions.columns import clip
+from cohortlens.functions.columns import clip_sql
 from cohortlens.operators.events import dated_submissions
 from cohortlens.schemas import ATTRIBUTES, check_dialect
 
@@ -112,20 +112,15 @@ def with_history(weekly: DataFrame, dialect: str = "default") -> DataFrame:
     )
 
 
-def score_factor() -> Column:
-    return F.lit(1) - F.col("rolling_score_3w") / F.lit(100)
-
-
-def submission_factor() -> Column:
-    expected = clip(F.col("week"), lower=1) * F.lit(1.5)
-    return clip(F.lit(1) - F.col("cum_submissions") / expected, 0.0, 1.0)
+SCORE_FACTOR = "1 - rolling_score_3w / 100"
+SUBMISSION_FACTOR = clip_sql("1 - cum_submissions / (greatest(week, 1) * 1.5D)", 0.0, 1.0)
+BACKGROUND = f"1 - {clip_sql('pass_probability_base', 0.05, 0.99)}"
 
 
 def risk_target() -> Column:
-    """Weighted blend of score, submission and background risk, in [0, 1]."""
-    background = F.lit(1) - clip(F.col("pass_probability_base"), 0.05, 0.99)
-    blend = F.lit(0.6) * score_factor() + F.lit(0.2) * submission_factor() + F.lit(0.2) * background
-    return clip(blend, 0.0, 1.0)
+    """Weighted blend of score, submission and background risk, in [0, 1]; null if one is null."""
+    blend = f"(0.6D * ({SCORE_FACTOR}) + 0.2D * ({SUBMISSION_FACTOR}) + 0.2D * ({BACKGROUND}))"
+    return F.expr(clip_sql(blend, 0.0, 1.0))
 
 
 def with_target(panel: DataFrame, cut: float = 0.45) -> DataFrame:

@@ -15,6 +15,8 @@ SETTINGS = {
     # a join or window may reuse a partitioning on a subset of its keys
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
+    # plans are built with fewer calls into the JVM
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
