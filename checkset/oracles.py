@@ -488,14 +488,15 @@ def tested(outcomes: str) -> str:
 
 
 def interval(outcomes: str) -> str:
-    u = uniform(42, "rep", "draw")
     return f"""
     select uplift_scenario, quantile_cont(diff, 0.025) as ci_low, quantile_cont(diff, 0.975) as ci_high from (
         select uplift_scenario, rep,
-            count(*) filter (draw > control_n and floor({u} * treatment_n) < treatment_success) / any_value(treatment_n)
-            - count(*) filter (draw <= control_n and floor({u} * control_n) < control_success) / any_value(control_n) as diff
-        from (select *, unnest(range(1, control_n + treatment_n + 1)) as draw from (
-            select *, unnest(range(0, {RunParams.n_boot})) as rep from ({rates(outcomes)})))
+            count(*) filter (draw >= control_n and floor(u * treatment_n) < treatment_success) / any_value(treatment_n)
+            - count(*) filter (draw < control_n and floor(u * control_n) < control_success) / any_value(control_n) as diff
+        from (select *, cast('0x' || substr(md5(rep || '|' || draw // 4 || '|42'), cast(1 + 8 * (draw % 4) as integer), 8) as bigint)
+                / 4294967296.0::double as u
+            from (select *, unnest(range(0, control_n + treatment_n)) as draw from (
+                select *, unnest(range(0, {RunParams.n_boot})) as rep from ({rates(outcomes)}))))
         group by 1, 2) group by 1"""
 
 

@@ -104,14 +104,12 @@ def study(spark: SparkSession, d: str) -> DataFrame:
 
 
 def evaluated(spark: SparkSession, d: str) -> DataFrame:
-    """Scored model rows on the test side of the time split."""
-    sides = split.time_split(split.model_rows(scored(spark, d)), SPLIT_WEEK)
-    return sides.filter(F.col("side") == "test").select(*PANEL_KEY, *[c for c in MODEL_FEATURES], MODEL_LABEL, "risk_score")
+    """Scored model rows on the test side of the time split, its week known from the training run."""
+    return split.model_rows(scored(spark, d)).filter(F.col("week") >= SPLIT_WEEK).select(*PANEL_KEY, *[c for c in MODEL_FEATURES], MODEL_LABEL, "risk_score")
 
 
 def training_rows(spark: SparkSession, d: str) -> DataFrame:
-    sides = split.time_split(split.model_rows(panel(spark, d)), SPLIT_WEEK)
-    return sides.filter(F.col("side") == "train").select(*PANEL_KEY, *MODEL_FEATURES, MODEL_LABEL)
+    return split.model_rows(panel(spark, d)).filter(F.col("week") < SPLIT_WEEK).select(*PANEL_KEY, *MODEL_FEATURES, MODEL_LABEL)
 
 
 def population_outcomes(spark: SparkSession, d: str) -> DataFrame:

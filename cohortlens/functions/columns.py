@@ -13,8 +13,8 @@ TWO_TO_32 = 4294967296.0
 
 
 def clip_sql(value: str, lower: float, upper: float) -> str:
-    """The same bound as SQL text, for formulas that read better as one expression."""
-    return f"CASE WHEN {value} < {lower} THEN {lower}D WHEN {value} > {upper} THEN {upper}D ELSE {value} END"
+    """The same bound as SQL text, naming a long value once; the value must not be null."""
+    return f"greatest({lower}D, least({upper}D, {value}))"
 
 
 def clip(value: Column, lower: float | None = None, upper: float | None = None) -> Column:
@@ -42,10 +42,19 @@ def truncated_week(day: Column) -> Column:
     return (day / F.lit(7)).cast("int")
 
 
+def digest(seed: int, *keys: Column) -> Column:
+    """32 hexadecimal digits fixed by the keys and the seed."""
+    return F.md5(F.concat_ws("|", *[k.cast("string") for k in keys], F.lit(str(seed))))
+
+
+def digest_uniform(digits: Column, part: int = 0) -> Column:
+    """A number in [0, 1) from one of the four 8-digit parts of a digest."""
+    return F.conv(F.substring(digits, 1 + 8 * part, 8), 16, 10).cast("double") / F.lit(TWO_TO_32)
+
+
 def uniform(seed: int, *keys: Column) -> Column:
     """A number in [0, 1) fixed by the keys and the seed: equal on every rerun and partitioning."""
-    digest = F.md5(F.concat_ws("|", *[k.cast("string") for k in keys], F.lit(str(seed))))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(TWO_TO_32)
+    return digest_uniform(digest(seed, *keys))
 
 
 def percent_text(share: Column) -> Column:

@@ -18,6 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortlens.functions.columns import uniform
+from cohortlens.session import checkpointed
 
 BUCKET = "_bucket"
 
@@ -47,9 +48,12 @@ def running_sums(
     descending: bool = False,
     buckets: int | None = None,
 ) -> DataFrame:
-    """Add ``cum_<c>`` (inclusive running sum) and ``total_<c>`` for each summed column."""
+    """Add ``cum_<c>`` (inclusive running sum) and ``total_<c>`` for each summed column.
+
+    The input is read three times (limits, totals, rows), so it is checkpointed first.
+    """
     by = list(by)
-    cut = with_buckets(df, order_by, buckets)
+    cut = with_buckets(checkpointed(df), order_by, buckets)
     before = W.partitionBy(*by).orderBy(F.col(BUCKET).desc() if descending else F.col(BUCKET))
     whole = W.partitionBy(*by)
     offsets = (

@@ -9,8 +9,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.functions.columns import clip, erfc, uniform
+from cohortlens.functions.columns import clip, digest, digest_uniform, erfc, uniform
 from cohortlens.params import RunParams
+from cohortlens.session import checkpointed
 
 SCENARIO = "uplift_scenario"
 
@@ -78,7 +79,11 @@ def z_test(rates: DataFrame) -> DataFrame:
 
 
 def bootstrap_ci(
-    rates: DataFrame, n_boot: int = RunParams.n_boot, seed: int = RunParams.seed, row_draws_up_to: int = 2000
+    rates: DataFrame,
+    n_boot: int = RunParams.n_boot,
+    seed: int = RunParams.seed,
+    row_draws_up_to: int = 2000,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Percentile interval (2.5 %, 97.5 %) of the rate difference under resampling.
 
@@ -87,29 +92,43 @@ def bootstrap_ci(
     ``row_draws_up_to`` rows per arm each draw is a hash number compared with the success
     share, exactly drawing rows with replacement. Beyond it the number of successes is drawn
     as a binomial, the same distribution at a cost that does not grow with the arms.
+    Columns of the scenario named in ``keep`` are passed on.
     """
     larger = F.greatest("control_n", "treatment_n")
-    sizes = rates.select(SCENARIO, "control_n", "control_success", "treatment_n", "treatment_success")
-    repeated = sizes.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1)))).repartition(SCENARIO, "rep")
-    diffs = _row_draws(repeated.filter(larger <= F.lit(row_draws_up_to)), seed).unionByName(
-        _binomial_draws(repeated.filter(larger > F.lit(row_draws_up_to)), seed)
+    sizes = ["control_n", "control_success", "treatment_n", "treatment_success"]
+    passed = [SCENARIO, *keep]
+    # one row per scenario, read by both ways
+    small = checkpointed(rates.select(*dict.fromkeys([*passed, *sizes])))
+    reps = F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1)))
+    repeated = small.select(SCENARIO, *sizes, reps.alias("rep")).repartition(SCENARIO, "rep")
+    drawn = repeated.filter((F.col("control_n") > 0) & (F.col("treatment_n") > 0))
+    diffs = _row_draws(drawn.filter(larger <= F.lit(row_draws_up_to)), seed).unionByName(
+        _binomial_draws(drawn.filter(larger > F.lit(row_draws_up_to)), seed)
     )
     bounds = F.percentile("diff", F.array(F.lit(0.025), F.lit(0.975)))
-    return diffs.groupBy(SCENARIO).agg(bounds.alias("_ci")).select(
-        SCENARIO, F.col("_ci")[0].alias("ci_low"), F.col("_ci")[1].alias("ci_high")
+    found = diffs.groupBy(SCENARIO).agg(bounds.alias("_ci"))
+    return small.select(*passed).join(found, SCENARIO, "left").select(
+        *passed, F.col("_ci")[0].alias("ci_low"), F.col("_ci")[1].alias("ci_high")
     )
 
 
 def _row_draws(repeated: DataFrame, seed: int) -> DataFrame:
-    both = F.col("control_n") + F.col("treatment_n")
-    draws = repeated.withColumn("draw", F.explode(F.sequence(F.lit(1).cast("bigint"), both)))
-    control = F.col("draw") <= F.col("control_n")
-    u = uniform(seed, F.col("rep"), F.col("draw"))
-    n = F.when(control, F.col("control_n")).otherwise(F.col("treatment_n"))
-    successes = F.when(control, F.col("control_success")).otherwise(F.col("treatment_success"))
-    hit = (F.floor(u * n) < successes).cast("int")
+    """Draw by draw; one digest serves four draws."""
+    blocks = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("control_n") + F.col("treatment_n") - 1) / 4)))
+    draws = repeated.withColumn("block", blocks).withColumn("digits", digest(seed, F.col("rep"), F.col("block")))
+
+    def hits(first: Column, n: str, successes: str) -> Column:
+        """Successes among the four draws of a block that fall to one arm, ``first`` being its first draw."""
+        total = F.lit(0)
+        for part in range(4):
+            place = F.col("block") * 4 + part - first
+            hit = F.floor(digest_uniform(F.col("digits"), part) * F.col(n)) < F.col(successes)
+            total = total + ((place >= 0) & (place < F.col(n)) & hit).cast("int")
+        return F.sum(total)
+
     summed = draws.groupBy(SCENARIO, "rep", "control_n", "treatment_n").agg(
-        F.coalesce(F.sum(F.when(control, hit)), F.lit(0)).alias("c"), F.coalesce(F.sum(F.when(~control, hit)), F.lit(0)).alias("t")
+        hits(F.lit(0), "control_n", "control_success").alias("c"),
+        hits(F.col("control_n"), "treatment_n", "treatment_success").alias("t"),
     )
     return summed.select(SCENARIO, (F.try_divide("t", "treatment_n") - F.try_divide("c", "control_n")).alias("diff"))
 
@@ -125,14 +144,14 @@ def _binomial_draws(repeated: DataFrame, seed: int) -> DataFrame:
                 out[i] = t - c
             yield pd.DataFrame({SCENARIO: batch[SCENARIO], "diff": out})
 
-    arms = repeated.filter((F.col("control_n") > 0) & (F.col("treatment_n") > 0))
-    return arms.mapInPandas(draw, f"{SCENARIO} double, diff double")
+    return repeated.mapInPandas(draw, f"{SCENARIO} double, diff double")
 
 
 def experiment_readout(outcomes: DataFrame, run_ts: str, params: RunParams = RunParams()) -> DataFrame:
     """One row per scenario: rates, difference, p-value and interval."""
-    rates = arm_rates(outcomes)
-    return z_test(rates).join(bootstrap_ci(rates, params.n_boot, params.seed), SCENARIO, "left").select(
+    tested = z_test(arm_rates(outcomes))
+    keep = ["control_rate", "treatment_rate", "rate_diff", "p_value"]
+    return bootstrap_ci(tested, params.n_boot, params.seed, keep=keep).select(
         F.lit(run_ts).cast("timestamp").alias("run_ts"),
         SCENARIO,
         "control_rate",

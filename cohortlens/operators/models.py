@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -97,22 +98,25 @@ def train(
 ) -> TrainedModel:
     """Fit the named model on the rows of ``df``; an unknown name is an error.
 
-    Only the moments (one row) and the fitted model come to the driver.
+    Only the moments (one row) and the fitted model come to the driver. The rows are kept
+    while training runs, since every pass reads them; what an executor loses is recomputed.
     """
     if name not in MODELS:
         raise ValueError(f"unknown model {name!r}, choose one of {sorted(MODELS)}")
     features = list(features)
     ensure_checkpoint_dir(df.sparkSession)
-    row = standard_moments(df, features).first().asDict()
+    rows = df.select(*features, F.col(label).cast("double").alias("_label")).persist(StorageLevel.MEMORY_AND_DISK)
+    row = standard_moments(rows, features).first().asDict()
     estimator, settings = MODELS[name](seed, row["n"], len(features), **options)
     estimator.setLabelCol("_label")
-    labelled = SQLTransformer(statement=f"SELECT *, CAST(`{label}` AS DOUBLE) AS _label FROM __THIS__")
     if name in STANDARDISED:
         stages = [_standardiser(row, features), VectorAssembler(inputCols=[f"z_{c}" for c in features], outputCol=INPUT)]
     else:
         stages = [VectorAssembler(inputCols=features, outputCol=INPUT)]
-    prepared = labelled.transform(df.select(*features, label))
-    pipeline = Pipeline(stages=[*stages, estimator]).fit(prepared)
+    try:
+        pipeline = Pipeline(stages=[*stages, estimator]).fit(rows)
+    finally:
+        rows.unpersist()
     return TrainedModel(name, pipeline, features, settings, row)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -108,7 +108,12 @@ def column_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of columns, all in one aggregate."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    row = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+
+    def measure(a: str, b: str) -> Column:
+        # a column that varies correlates with itself, any other with nothing
+        return F.corr(a, b) if a != b else F.when(F.min(a) < F.max(a), F.lit(1.0))
+
+    row = df.agg(*[measure(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     entries = []
     for i, (a, b) in enumerate(pairs):
         for x, y in dict.fromkeys([(a, b), (b, a)]):

@@ -119,8 +119,9 @@ BACKGROUND = f"1 - {clip_sql('pass_probability_base', 0.05, 0.99)}"
 
 def risk_target() -> Column:
     """Weighted blend of score, submission and background risk, in [0, 1]; null if one is null."""
-    blend = f"(0.6D * ({SCORE_FACTOR}) + 0.2D * ({SUBMISSION_FACTOR}) + 0.2D * ({BACKGROUND}))"
-    return F.expr(clip_sql(blend, 0.0, 1.0))
+    blend = f"0.6D * ({SCORE_FACTOR}) + 0.2D * ({SUBMISSION_FACTOR}) + 0.2D * ({BACKGROUND})"
+    known = "rolling_score_3w IS NOT NULL AND cum_submissions IS NOT NULL AND pass_probability_base IS NOT NULL"
+    return F.expr(f"CASE WHEN {known} THEN {clip_sql(blend, 0.0, 1.0)} END")
 
 
 def with_target(panel: DataFrame, cut: float = 0.45) -> DataFrame:

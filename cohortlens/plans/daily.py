@@ -17,6 +17,8 @@ from cohortlens.schemas import MODEL_FEATURES, MODEL_LABEL
 from cohortlens.sources import writers
 
 PANEL_KEY = ["id_student", "code_module", "week"]
+# The short outputs a manifest lists; the large tables are described by their own folders.
+REPORTS = ["metrics", "model_metadata", "top_features", "student_risk_sample", "alert_log", "assignment_latest", "roi_sensitivity", "run_summary"]
 
 
 def _stored(df: DataFrame, path: str) -> DataFrame:
@@ -120,7 +122,8 @@ def run_daily(
     writers.write_json(summary_row, f"{out}/run_summary")
     results["run_summary"] = summary_row
 
-    manifest = writers.artifact_manifest(spark, out, run_id, "part-*")
+    listed = [*REPORTS, "experiment_results"] if readout is not None else REPORTS
+    manifest = writers.artifact_manifest(spark, [f"{out}/{name}" for name in listed], run_id, "part-*")
     document = writers.manifest_document(manifest, run_id, run_ts, model.name, out)
     writers.append_rows(document, f"{out}_manifests")
     results["manifest"] = spark.read.schema(document.schema).parquet(f"{out}_manifests").filter(F.col("run_id") == run_id)

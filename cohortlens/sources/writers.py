@@ -79,13 +79,15 @@ def write_json(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def artifact_manifest(spark: SparkSession, folder: str, run_id: str, pattern: str = "*") -> DataFrame:
-    """Path and size of each file below an output folder; file contents are not read."""
+def artifact_manifest(
+    spark: SparkSession, folders: str | list[str], run_id: str, pattern: str = "*"
+) -> DataFrame:
+    """Path and size of each file below the output folders; file contents are not read."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
-        .load(folder)
+        .load(folders)
         .select(
             F.lit(run_id).alias("run_id"),
             F.element_at(F.split("path", "/"), -1).alias("file_name"),
@@ -98,7 +100,7 @@ def artifact_manifest(spark: SparkSession, folder: str, run_id: str, pattern: st
 def manifest_document(
     manifest: DataFrame, run_id: str, created_at: str, model_name: str, sink: str
 ) -> DataFrame:
-    """The manifest as one nested document per run; its size is the number of output files."""
+    """The manifest as one nested document per run; meant for the short report folders."""
     return manifest.groupBy("run_id").agg(
         F.lit(created_at).cast("timestamp").alias("created_at"),
         F.lit(model_name).alias("model_backend"),
