@@ -35,9 +35,10 @@ def with_buckets(df: DataFrame, order_by: str, buckets: int | None = None) -> Da
     points = sorted(set(df.approxQuantile(order_by, wanted, 1.0 / (4 * n))))
     points = [p for p in points if p not in (float("inf"), float("-inf"))]
     if not points:
-        return df.withColumn(BUCKET, F.lit(0.0))
+        return df.withColumn(BUCKET, F.lit(0))
     splits = [float("-inf"), *points, float("inf")]
-    return Bucketizer(splits=splits, inputCol=order_by, outputCol=BUCKET).transform(df)
+    cut = Bucketizer(splits=splits, inputCol=order_by, outputCol=BUCKET).transform(df)
+    return cut.withColumn(BUCKET, F.col(BUCKET).cast("int"))
 
 
 def running_sums(

@@ -107,14 +107,16 @@ def score_curve(scored: DataFrame, label: str, score: str, by: Sequence[str] = (
 
 def roc_points(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """False and true positive rate at every distinct score, plus the origin (null threshold)."""
-    points = curve.select(
-        *by,
-        "threshold",
+    point = F.struct(
+        F.col("threshold").cast("double").alias("threshold"),
         F.try_divide("cum_neg", "total_neg").alias("fpr"),
         F.try_divide("cum_pos", "total_pos").alias("tpr"),
     )
-    origin = curve.groupBy(*by).agg(F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
-    return points.unionByName(origin)
+    origin = F.struct(F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    # the top score of a group, whose running counts are its own, also yields the origin
+    is_top = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
+    points = F.when(is_top, F.array(origin, point)).otherwise(F.array(point))
+    return curve.select(*by, F.explode(points).alias("point")).select(*by, "point.*")
 
 
 def curve_areas(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.ml.functions import vector_to_array
 
 from cohortlens.operators import clicks, evaluation, models, reports, split
 from cohortlens.params import RunParams
@@ -17,9 +17,11 @@ CUT = 0.5
 def run_study(
     student_info: DataFrame, vle: DataFrame, submissions: DataFrame, params: RunParams = RunParams(), **options
 ) -> dict[str, DataFrame]:
-    """All tables of the study; the split rows are written once and read by every later step."""
+    """All tables of the study; features and split rows are written once and read by the later steps."""
     spark = student_info.sparkSession
     table = clicks.study_table(student_info, vle, submissions, params.cutoff_day, params.recent_days)
+    # the split reads its input for the bucket sizes and twice for the rows
+    table = materialise(table, "click-features")
     rows = materialise(split.stratified_split(table, "target", clicks.ENROLMENT, seed=params.seed), "click-study")
     train_rows = rows.filter(F.col("side") == "train")
     model = models.train(train_rows, "gbt", CLICK_FEATURES, "target", seed=params.seed, **options)
