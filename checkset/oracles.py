@@ -233,7 +233,8 @@ WEEKLY_DOUBLES = "weekly_score_mean, studied_credits, pass_probability_base"
 PANEL_DOUBLES = f"{WEEKLY_DOUBLES}, rolling_score_3w, score_trend_2w, dropout_risk_target"
 for name in ("weekly_features", "weekly_features_from_events"):
     oracle(name, "select * from panel", PANEL_DOUBLES)
-oracle("weekly_features_sql", "select * from panel_sql", "weekly_score_mean, rolling_3_week_mean, weekly_score_trend")
+for name in ("weekly_features_sql", "raw_landing"):
+    oracle(name, "select * from panel_sql", "weekly_score_mean, rolling_3_week_mean, weekly_score_trend")
 oracle("weekly_aggregate", "select * from weekly", WEEKLY_DOUBLES)
 oracle("weekly_aggregate_sql", "select * from weekly_sql", "weekly_score_mean")
 oracle("cum_submissions", f"select {PANEL_KEY}, cum_submissions from panel")
@@ -304,7 +305,8 @@ oracle(
     + " from panel",
     ", ".join(f"z_{c}" for c in MODEL_FEATURES),
 )
-oracle("linear_score", f"select {PANEL_KEY}, risk_score, high_risk_flag from scored", "risk_score")
+for name in ("linear_score", "foreign_model_score"):
+    oracle(name, f"select {PANEL_KEY}, risk_score, high_risk_flag from scored", "risk_score")
 for name, table in (("risk_snapshot", "last_snap"), ("risk_snapshot_absent_week", "last_snap"), ("risk_snapshot_week", "snap")):
     oracle(name, f"select {PANEL_KEY}, risk_score, high_risk_flag from {table}", "risk_score")
 oracle("scored_order", f"select {PANEL_KEY}, risk_score from scored", "risk_score")
@@ -504,12 +506,10 @@ RATE_DOUBLES = "uplift_scenario, control_rate, treatment_rate, rate_diff"
 oracle("arm_rates", rates(OUTCOMES), RATE_DOUBLES)
 oracle("z_test", tested(OUTCOMES), f"{RATE_DOUBLES}, p_value")
 oracle("bootstrap_ci", interval(OUTCOMES), "uplift_scenario, ci_low, ci_high")
-oracle(
-    "experiment_readout",
-    f"""select timestamp '{RUN_TS}' as run_ts, uplift_scenario, control_rate, treatment_rate, rate_diff, p_value, ci_low, ci_high
-    from ({tested(COHORT_OUTCOMES)}) join ({interval(COHORT_OUTCOMES)}) using (uplift_scenario)""",
-    f"{RATE_DOUBLES}, p_value, ci_low, ci_high",
-)
+READOUT = f"""select timestamp '{RUN_TS}' as run_ts, uplift_scenario, control_rate, treatment_rate, rate_diff, p_value, ci_low, ci_high
+    from ({tested(COHORT_OUTCOMES)}) join ({interval(COHORT_OUTCOMES)}) using (uplift_scenario)"""
+for name in ("experiment_readout", "experiment_listing"):
+    oracle(name, READOUT, f"{RATE_DOUBLES}, p_value, ci_low, ci_high")
 ROI_UPLIFTS = ", ".join(f"({u}::double)" for u in RunParams.roi_uplifts)
 ROI_COSTS = ", ".join(f"({c})" for c in RunParams.roi_costs)
 
@@ -657,6 +657,11 @@ oracle(
     """select 'student_info' as "table", count(*) as rows from student_info union all select 'student_assessment', count(*) from student_assessment
     union all select 'assessments', count(*) from assessments union all select 'student_vle', count(*) from student_vle""",
 )
+oracle(
+    "column_evolution",
+    """select week, count(*) as rows, cast(sum(student_count) as bigint) as students
+    from (select null::integer as week, student_count from summary union all select week, student_count from summary) group by 1""",
+)
 RUN_COUNTS = "select run_date, count(*) as rows, cast(sum(high_risk_flag) as bigint) as flagged from {} group by 1"
 oracle("append_sink", RUN_COUNTS.format("(select * from risk_runs union all select * from risk)"))
 oracle("partition_overwrite_sink", RUN_COUNTS.format("risk_runs"))

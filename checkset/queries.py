@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -342,6 +344,20 @@ def linear_score(spark, d):
     return rounded(scored(spark, d).select(*PANEL_KEY, "risk_score", "high_risk_flag"))
 
 
+class LogisticHook:
+    """A model from outside: an object with ``predict_proba``."""
+
+    def predict_proba(self, rows):
+        z = (rows.to_numpy(dtype=float) - np.array(SCORER.means)) / np.array(SCORER.scales)
+        p = 1 / (1 + np.exp(-(SCORER.intercept + z @ np.array(SCORER.coefficients))))
+        return np.column_stack([1 - p, p])
+
+
+@query
+def foreign_model_score(spark, d):
+    return rounded(scoring.score_foreign(panel(spark, d), LogisticHook()).select(*PANEL_KEY, "risk_score", "high_risk_flag"))
+
+
 @query
 def risk_snapshot(spark, d):
     """No week named: the last one."""
@@ -534,6 +550,11 @@ def experiment_readout(spark, d):
     return rounded(experiments.experiment_readout(cohort_outcomes(spark, d), RUN_TS))
 
 
+@query
+def experiment_listing(spark, d):
+    return rounded(reports.experiment_listing(experiments.experiment_readout(cohort_outcomes(spark, d), RUN_TS)))
+
+
 @query
 def roi_grid(spark, d):
     rates = experiments.arm_rates(cohort_outcomes(spark, d))
@@ -691,6 +712,36 @@ def csv_scan(spark, d):
     return rounded(weekly.weekly_panel_from_sources(*staged))
 
 
+@query
+def raw_landing(spark, d):
+    """Text tables in the catalog, read back by name and staged strictly."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS raw")
+    tables = {
+        "student_info": adapters.student_info(spark, d),
+        "student_assessment": adapters.student_assessment(spark, d),
+        "assessments": adapters.assessments(spark, d),
+    }
+    writers.land_raw(tables, "raw", scratch_path(spark, "landing"))
+    staged = (
+        staging.stage_student_assessment(readers.source_table(spark, "raw", "student_assessment"), "sql"),
+        staging.stage_student_info(readers.source_table(spark, "raw", "student_info"), "sql"),
+        staging.stage_assessments(readers.source_table(spark, "raw", "assessments"), "sql"),
+    )
+    return rounded(weekly.weekly_panel_from_sources(*staged, dialect="sql"))
+
+
+@query
+def column_evolution(spark, d):
+    """A summary table from before it had weeks gains the column; old rows read as null."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS mart")
+    name = f"mart.summary_{uuid.uuid4().hex}"
+    rows = summary(spark, d)
+    rows.drop("week").write.option("path", scratch_path(spark, "summary")).saveAsTable(name)
+    writers.add_missing_column(spark, name, "week", "INT")
+    writers.append_table(rows, name)
+    return spark.table(name).groupBy("week").agg(F.count("*").alias("rows"), F.sum("student_count").alias("students"))
+
+
 @query
 def click_csv_scan(spark, d):
     path = f"{scratch_path(spark, 'clicks')}/studentVle.csv"

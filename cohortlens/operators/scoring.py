@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,6 +76,26 @@ def score_linear(panel: DataFrame, scorer: LinearScorer, threshold: float = RunP
     return with_flag(panel.withColumn("risk_score", scorer.probability()), threshold)
 
 
+def score_foreign(
+    panel: DataFrame,
+    model: object,
+    features: Sequence[str] = MODEL_FEATURES,
+    threshold: float = RunParams.risk_threshold,
+) -> DataFrame:
+    """Score with any picklable object that has ``predict_proba(X)``, in Arrow batches.
+
+    The object is shipped to each executor once. Models of this package need no such hook.
+    """
+    shipped = panel.sparkSession.sparkContext.broadcast(model)
+    names = list(features)
+
+    @F.pandas_udf("double")
+    def probability(rows: pd.DataFrame) -> pd.Series:
+        return pd.Series(np.asarray(shipped.value.predict_proba(rows[names]))[:, 1])
+
+    return with_flag(panel.withColumn("risk_score", probability(F.struct(*names))), threshold)
+
+
 def scored_order(scored: DataFrame) -> DataFrame:
     """Weeks ascending, risk descending within a week; ids break ties."""
     return scored.orderBy(F.col("week"), F.col("risk_score").desc(), "id_student", "code_module")

@@ -21,9 +21,13 @@ PANEL_KEY = ["id_student", "code_module", "week"]
 REPORTS = ["metrics", "model_metadata", "top_features", "student_risk_sample", "alert_log", "assignment_latest", "roi_sensitivity", "run_summary"]
 
 
-def _stored(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def _stored(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
+    """Write and read back; ``by`` partitions the files, rebalanced so that none is tiny or huge."""
+    if by:
+        df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def run_daily(
@@ -60,7 +64,8 @@ def run_daily(
         scored = scoring.score_linear(panel, model.linear(), params.risk_threshold)
     else:
         scored = model.score(panel, params.risk_threshold)
-    scored = _stored(scored, f"{out}/scored_panel")
+    # by week: the snapshot and the test side then read their own weeks only
+    scored = _stored(scored, f"{out}/scored_panel", by="week")
     results["scored_panel"] = scored
 
     test_rows = split.model_rows(scored).filter(F.col("week") >= at)

@@ -8,14 +8,18 @@ from pyspark.sql import functions as F
 from cohortlens.schemas import NAMESPACES, OUTPUT_TABLES
 
 
-def land_raw(tables: dict[str, DataFrame], namespace: str = "raw") -> dict[str, str]:
-    """Replace one all-text table per source; returns the table names."""
+def land_raw(tables: dict[str, DataFrame], namespace: str = "raw", location: str | None = None) -> dict[str, str]:
+    """Replace one all-text table per source; returns the table names.
+
+    With ``location`` the tables are external, one folder each below it.
+    """
     names = {}
     for table, df in tables.items():
         name = f"`{namespace}`.`{table}`"
-        df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns]).write.mode(
-            "overwrite"
-        ).saveAsTable(name)
+        writer = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns]).write.mode("overwrite")
+        if location:
+            writer = writer.option("path", f"{location.rstrip('/')}/{table}")
+        writer.saveAsTable(name)
         names[table] = name
     return names
 
