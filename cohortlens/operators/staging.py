@@ -26,12 +26,17 @@ def _lenient(df: DataFrame, name: str, target: T.DataType) -> Column:
     if not isinstance(df.schema[name].dataType, T.StringType):
         if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
             cell = F.when(~F.isnan(cell), cell)
-        return cell.cast(target)
+        return _to_number(cell, target) if isinstance(target, T.NumericType) else cell.cast(target)
     if isinstance(target, T.StringType):
         return F.when(~cell.isin(MISSING_TEXTS), cell)
     if isinstance(target, T.LongType):
         return F.coalesce(cell.try_cast("bigint"), text_to_double(cell).cast("bigint"))
-    return text_to_double(cell).cast(target)
+    return _to_number(text_to_double(cell), target)
+
+
+def _to_number(cell: Column, target: T.DataType) -> Column:
+    # days round down, so that a fraction of a day before the start is still before it
+    return F.floor(cell).cast(target) if isinstance(target, T.IntegerType) else cell.cast(target)
 
 
 def _stage(df: DataFrame, ddl: str, dialect: str, renamed: dict[str, str] | None = None) -> DataFrame:

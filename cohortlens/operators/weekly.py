@@ -63,6 +63,8 @@ def weekly_aggregate_from_sources(
             "weekly_score_mean",
             (F.col("_submitted") * F.coalesce("_copies", F.lit(1))).alias("weekly_submissions"),
         )
+    if "code_module" not in student_info.columns:
+        raise ValueError("info rows without code_module: build the panel with weekly_panel(clean_events(...))")
     keyed = student_info.filter(F.col("id_student").isNotNull() & F.col("code_module").isNotNull())
     present = [c for c in ATTRIBUTES if c in student_info.columns]
     info = keyed.groupBy("id_student", "code_module").agg(

@@ -46,6 +46,13 @@ def test_bad_number_is_an_error_in_sql(spark):
         staging.stage_student_assessment(raw, "sql").collect()
 
 
+def test_fraction_of_a_day_before_the_start(spark):
+    raw = spark.createDataFrame([("1", "1", "-0.5", "7.5", "0", "1")], "id_student string, id_assessment string, date_submitted string, score string, is_banked string, submitted string")
+    staged = staging.stage_student_assessment(raw)
+    due = spark.createDataFrame([], "id_assessment long, assessment_date int")
+    assert rows(events.dated_submissions(staged, due), "week", "score") == [(-1, 7.5)]
+
+
 def test_null_score_is_zero_or_skipped(make_info, make_submissions, make_due):
     sub = make_submissions([(1, 1, 3, None, 0, 1), (1, 1, 4, 80.0, 0, 1)])
     info, due = make_info([STUDENT]), make_due([])
