@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 from cohortlens.operators.scoring import LinearScorer, standard_moments, with_flag
 from cohortlens.params import RunParams
 from cohortlens.schemas import MODEL_FEATURES, MODEL_LABEL
-from cohortlens.session import ensure_checkpoint_dir
+from cohortlens.session import checkpointed
 
 INPUT = "features"
 
@@ -98,14 +97,13 @@ def train(
 ) -> TrainedModel:
     """Fit the named model on the rows of ``df``; an unknown name is an error.
 
-    Only the moments (one row) and the fitted model come to the driver. The rows are kept
-    while training runs, since every pass reads them; what an executor loses is recomputed.
+    Only the moments (one row) and the fitted model come to the driver. Every training pass
+    reads the rows, so they are checkpointed once, in as many partitions as their size asks for.
     """
     if name not in MODELS:
         raise ValueError(f"unknown model {name!r}, choose one of {sorted(MODELS)}")
     features = list(features)
-    ensure_checkpoint_dir(df.sparkSession)
-    rows = df.select(*features, F.col(label).cast("double").alias("_label")).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = checkpointed(df.select(*features, F.col(label).cast("double").alias("_label")))
     row = standard_moments(rows, features).first().asDict()
     estimator, settings = MODELS[name](seed, row["n"], len(features), **options)
     estimator.setLabelCol("_label")
@@ -113,10 +111,7 @@ def train(
         stages = [_standardiser(row, features), VectorAssembler(inputCols=[f"z_{c}" for c in features], outputCol=INPUT)]
     else:
         stages = [VectorAssembler(inputCols=features, outputCol=INPUT)]
-    try:
-        pipeline = Pipeline(stages=[*stages, estimator]).fit(rows)
-    finally:
-        rows.unpersist()
+    pipeline = Pipeline(stages=[*stages, estimator]).fit(rows)
     return TrainedModel(name, pipeline, features, settings, row)
 
 

@@ -18,6 +18,8 @@ SETTINGS = {
     # plans are built with fewer calls into the JVM
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # checkpoint files go when the frame that needs them is gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
