@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, secrets
+from . import bpe, exact_dedup, mixing, secrets
 from .common import read_table
 
 
@@ -20,12 +20,61 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(read_table(spark, folder, "documents"))
 
 
+def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.dedup(spark, f"{folder}/documents.parquet")
+
+
+def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(read_table(spark, folder, "documents"))
+
+
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(read_table(spark, folder, "documents"), tokenizer_file())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_secret_scan, op10_bpe)
+    f.__name__: f for f in (op4_secret_scan, op8_exact_dedup, op9_source_mixing, op10_bpe)
 }
 
-ORACLES: dict[str, str] = {}
+
+def _mixing_sql() -> str:
+    """Raking spelled out: one step per round and margin."""
+    margins = ("source", "lang", "topic")
+    steps = [
+        """with d as (
+      select doc_id, source, lang, coalesce(text, '') as body,
+        case when contains(coalesce(text, ''), 'License') then 'legal' when contains(coalesce(text, ''), ' | ') then 'table'
+             when contains(coalesce(text, ''), '!!') or contains(coalesce(text, ''), '%%%') or contains(coalesce(text, ''), '###') then 'noise'
+             else 'prose' end as topic
+      from documents),
+    t as (select doc_id, source, lang, topic, len(regexp_extract_all(body, '[^\\x20\\x09-\\x0D]+'))::bigint as n from d),
+    c as (select source, lang, topic, sum(n)::double as tokens from t group by all),
+    w0 as (select *, tokens as w from c)"""
+    ]
+    for m in margins:
+        steps.append(
+            f"g_{m} as (select {m}, pow(sum(tokens), 0.7) as s from c group by 1), "
+            f"t_{m} as (select {m}, s * (select sum(tokens) from c) / (select sum(s) from g_{m}) as target from g_{m})"
+        )
+    k = 0
+    for _ in range(12):
+        for m in margins:
+            steps.append(
+                f"w{k + 1} as (select w.source, w.lang, w.topic, w.tokens, w.w * t.target / sum(w.w) over (partition by w.{m}) as w "
+                f"from w{k} w join t_{m} t on w.{m} is not distinct from t.{m})"
+            )
+            k += 1
+    last = f"""f as (select source, lang, topic, case when tokens > 0 then w / tokens else 0.0 end as factor from w{k})
+    select t.doc_id, t.source, t.lang, t.topic, t.n as n_tokens, round(f.factor, 6) as factor, round(least(1.0, f.factor), 6) as probability,
+      ('0x' || substr(md5('mix-1:' || coalesce(t.doc_id::varchar, 'null')), 1, 12))::bigint::double / 281474976710656.0 < least(1.0, f.factor) as sampled
+    from t join f on t.source is not distinct from f.source and t.lang is not distinct from f.lang and t.topic is not distinct from f.topic"""
+    return ",\n".join([*steps, last])
+
+
+ORACLES: dict[str, str] = {
+    "op8_exact_dedup": """
+        with n as (select doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') as t from documents)
+        select doc_id, min(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
+          doc_id = min(doc_id) over (partition by t) as kept, sha256(t) as text_sha256 from n""",
+    "op9_source_mixing": _mixing_sql(),
+}
