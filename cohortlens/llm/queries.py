@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, mixing, secrets
+from . import bpe, exact_dedup, mixing, secrets, toxicity
 from .common import read_table
 
 
@@ -16,6 +16,10 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.severity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
 def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(read_table(spark, folder, "documents"))
 
@@ -33,7 +37,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_secret_scan, op8_exact_dedup, op9_source_mixing, op10_bpe)
+    f.__name__: f for f in (op3_toxicity, op4_secret_scan, op8_exact_dedup, op9_source_mixing, op10_bpe)
 }
 
 
