@@ -1,14 +1,14 @@
 """Byte-pair encoding as a streaming transducer with bounded lookahead, and the way back.
 
-Encoding reads a text chunk by chunk (runs without white space, which no token crosses), each
-chunk word by word, each word symbol by symbol. ``Transducer`` is the core: the encoding of any longer
+Encoding reads a text word by word (the pattern of the tokenizer's file; no token crosses a word), each word
+symbol by symbol. ``Transducer`` is the core: the encoding of any longer
 prefix goes on from a token boundary at most ``lookahead`` symbols back, where ``lookahead`` is computed
 from the merge list (the longest token, in symbols). It keeps the token that each prefix's encoding ends
 with, back to the last stable boundary; a token is emitted as soon as the encodings of all prefixes in reach
 share it, that is, once nothing that follows can change it. So memory does not grow with the word.
 Which token ends a prefix follows from a local rule: two tokens may stand side by side exactly if merging
 their concatenation gives the two back, so the encoding of a prefix is the encoding of a shorter one plus
-the one token that may stand there. Words and chunks seen lately come from caches of bounded size.
+the one token that may stand there. Words seen lately come from a cache of bounded size.
 
 Decoding feeds ids to a state machine (``Decoder``) that turns token strings into text piece by piece,
 keeping an unfinished UTF-8 sequence until its last byte comes; for vocabularies without a decoder
@@ -24,8 +24,9 @@ import codecs
 import functools
 import hashlib
 import json
+import re
 import unicodedata
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 import regex
@@ -36,16 +37,21 @@ from .common import map_arrow, per_row, text_or_empty
 
 #: Pairs of tokens whose fit is remembered in a task.
 FIT_ENTRIES = 400_000
-#: Entries of a half of a cache, of words and of chunks; longer ones are not kept. Caches stay with
-#: the Python worker, so that a worker's next task finds the words of the one before.
-WORD_ENTRIES, CHUNK_ENTRIES, CACHE_CHARS = 250_000, 100_000, 64
+#: Symbols of a word after which the transducer's state is shared between words.
+SHARED = 6
+#: Entries of a half of the cache of words; longer words are not kept. The cache stays with the Python
+#: worker, so that a worker's next task finds the words of the one before.
+WORD_ENTRIES, CACHE_CHARS = 300_000, 64
 
 # Fixed values of the format: white space of its patterns, and the bytes that stand for themselves.
 SPACE = r"[\t-\r \x85\xa0  -     　]"
 PLAIN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
-_SPACES = regex.compile(SPACE + "+")
-_ODD_SPACE = regex.compile(r"[\x1c-\x1f]")
+#: The pattern that texts are split by, and an equal one for the faster standard module, which holds for texts
+#: without the characters of ``_HARD``: numbers that are not digits, separators, letters beyond Latin.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_EASY_WORDS = re.compile(r"[^\W\d_]+|'s|'t|'re|'ve|'m|'ll|'d|\d|(?:[^\w\s]|_)+")
+_HARD = re.compile("[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbe\u0250-\U0010ffff]")
 
 
 def byte_symbols() -> list[str]:
@@ -75,6 +81,7 @@ class Vocabulary:
         self.tokens = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.added.items()}
         self.symbols = byte_symbols()
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
+        self.easy = split["pattern"]["Regex"] == SPLIT
         self.words = regex.compile(split["pattern"]["Regex"].replace(r"\s", SPACE[1:-1]))
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         #: symbols: tokens of the merge list; single symbols count as tokens too
@@ -169,6 +176,7 @@ class Transducer:
                 node = self.before[key]
             self.token[node] = token_id
         self._fits: dict[int, bool] = {}
+        self._begun: dict[bytes, tuple[list[int], list[int]]] = {}
 
     def fits(self, left: int, right: int) -> bool:
         """Whether the token ``right`` may follow ``left`` in an encoding (-1: the word's begin)."""
@@ -181,37 +189,58 @@ class Transducer:
         self._fits[(left + 1) << 20 | right] = result
         return result
 
-    def encode(self, symbols: Iterable[int]) -> Iterator[int]:
+    def encode(self, symbols: Sequence[int] | Iterable[int]) -> Iterator[int]:
         """Ids of one word. Keeps what follows the last stable boundary only."""
-        before, token, fits, lookahead = self.before, self.token, self._fits, self.lookahead
         #: since the last stable boundary: symbols, and for each prefix its last token and where that begins
-        seen: list[int] = []
-        last, begin = [-1], [0]
-        n = 0
+        seen, last, begin = [], [-1], [0]
         for symbol in symbols:
             seen.append(symbol)
-            node, i = 0, n
-            n += 1
-            stop = max(-1, n - lookahead - 1)
-            while i > stop:
-                node = before.get(node << 9 | seen[i])
-                if node is None:
-                    raise ValueError("a byte has no token of its own")
-                t = token[node]
-                if t >= 0:
-                    left = last[i]
-                    fit = fits.get((left + 1) << 20 | t)
-                    if self.fits(left, t) if fit is None else fit:
-                        break
-                i -= 1
-            last.append(t)
-            begin.append(i)
-            if n >= 2 * lookahead and (stable := self._agreed(begin, n)):
+            self._step(seen, last, begin)
+            if len(seen) >= 2 * self.lookahead and (stable := self._agreed(begin, len(seen))):
                 yield from self._path(last, begin, stable)
                 del seen[:stable], last[:stable], begin[:stable]
-                begin = [b - stable for b in begin]
-                n -= stable
-        yield from self._path(last, begin, n)
+                begin[:] = [b - stable for b in begin]
+        yield from self._path(last, begin, len(seen))
+
+    def encode_short(self, symbols: list[int]) -> list[int]:
+        """The same for a word within the lookahead. Words share beginnings: the state after ``SHARED`` symbols is kept."""
+        n = len(symbols)
+        if n <= SHARED:
+            return list(self.encode(symbols))
+        key = bytes(symbols[:SHARED])
+        state = self._begun.get(key)
+        if state is None:
+            last, begin = [-1], [0]
+            for k in range(1, SHARED + 1):
+                self._step(symbols[:k], last, begin)
+            if len(self._begun) >= FIT_ENTRIES:
+                self._begun.clear()
+            state = self._begun[key] = (last, begin)
+        last, begin = state[0][:], state[1][:]
+        seen = symbols[:SHARED]
+        for k in range(SHARED, n):
+            seen.append(symbols[k])
+            self._step(seen, last, begin)
+        return self._path(last, begin, n)
+
+    def _step(self, seen: list[int], last: list[int], begin: list[int]) -> None:
+        """Find the token that the encoding of all of ``seen`` ends with."""
+        before, token, fits = self.before, self.token, self._fits
+        node, n = 0, len(seen)
+        for i in range(n - 1, max(-1, n - self.lookahead - 1), -1):
+            node = before.get(node << 9 | seen[i])
+            if node is None:
+                break
+            t = token[node]
+            if t >= 0:
+                fit = fits.get((last[i] + 1) << 20 | t)
+                if fit is None:
+                    fit = self.fits(last[i], t)
+                if fit:
+                    last.append(t)
+                    begin.append(i)
+                    return
+        raise ValueError("a byte has no token of its own")
 
     def _agreed(self, begin: list[int], n: int) -> int:
         """The last boundary that the encodings of all prefixes in reach share."""
@@ -232,42 +261,38 @@ class Transducer:
 
 
 class Encoder:
-    """Text to ids, chunk by chunk and word by word."""
+    """Text to words, words to ids."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.transducer = Transducer(vocabulary)
-        self.words = Recent(self.word_ids, WORD_ENTRIES, CACHE_CHARS)
-
-    def chunks(self, text: str) -> list[str]:
-        """Runs without the white space of the format."""
-        if _ODD_SPACE.search(text):  # white space for Python only
-            return [c for c in _SPACES.split(text) if c]
-        return text.split()
-
-    def chunk_ids(self, chunk: str) -> list[int]:
-        v, out, at = self.vocabulary, [], 0
-        if v.specials is not None and "<" in chunk:
-            for m in v.specials.finditer(chunk):
-                out += self._plain(chunk[at : m.start()])
-                out.append(v.added[m[0]])
-                at = m.end()
-        return out + self._plain(chunk[at:] if at else chunk)
-
-    def _plain(self, piece: str) -> list[int]:
-        piece = self.vocabulary.normalise(piece)
-        if piece.isalpha() and piece.isascii():
-            return self.words[piece]
-        out = []
-        for word in self.vocabulary.words.findall(piece):
-            out += self.words[word]
-        return out
+
+    def words(self, text: str) -> list[str]:
+        """The words of a text, added tokens among them as they are."""
+        v = self.vocabulary
+        if v.specials is None or not v.specials.search(text):
+            return self._plain(text)
+        out, at = [], 0
+        for m in v.specials.finditer(text):
+            out += self._plain(text[at : m.start()])
+            out.append(m[0])
+            at = m.end()
+        return out + self._plain(text[at:])
+
+    def _plain(self, text: str) -> list[str]:
+        v = self.vocabulary
+        text = v.normalise(text)
+        return _EASY_WORDS.findall(text) if v.easy and not _HARD.search(text) else v.words.findall(text)
 
     def word_ids(self, word: str) -> list[int]:
-        return list(self.transducer.encode(self.vocabulary.symbols_of(word)))
+        v = self.vocabulary
+        if word in v.added:
+            return [v.added[word]]
+        symbols = v.symbols_of(word)
+        return self.transducer.encode_short(symbols) if len(symbols) <= self.transducer.lookahead else list(self.transducer.encode(symbols))
 
     def encode(self, text: str) -> list[int]:
-        return [i for c in self.chunks(text) for i in self.chunk_ids(c)]
+        return [i for w in self.words(text) for i in self.word_ids(w)]
 
 
 class Decoder:
@@ -304,25 +329,25 @@ def encoder_of(path: str) -> Encoder:
 
 
 @functools.lru_cache(maxsize=1)
-def _digested_chunks(path: str) -> Recent:
-    """By chunk: tokens, ids and decoded text, with one space before each."""
+def _digested_words(path: str) -> Recent:
+    """By word: number of ids, ids and decoded text, with one space before each."""
     encoder = encoder_of(path)
     decoder = Decoder(encoder.vocabulary)
 
-    def result(chunk: str) -> tuple[int, str, str]:
-        ids = encoder.chunk_ids(chunk)
+    def result(word: str) -> tuple[int, str, str]:
+        ids = encoder.word_ids(word)
         decoder.first = False
-        return len(ids), " " + " ".join(map(str, ids)) if ids else "", "".join(map(decoder.feed, ids))
+        return len(ids), " " + " ".join(map(str, ids)), "".join(map(decoder.feed, ids))
 
-    return Recent(result, CHUNK_ENTRIES, CACHE_CHARS)
+    return Recent(result, WORD_ENTRIES, CACHE_CHARS)
 
 
 def _digester(path: str) -> Callable[[], Callable[[str], tuple]]:
     def make() -> Callable[[str], tuple]:
-        encoder, cache = encoder_of(path), _digested_chunks(path)
+        encoder, cache = encoder_of(path), _digested_words(path)
 
         def one(text: str) -> tuple:
-            parts = [cache[c] for c in encoder.chunks(text)]
+            parts = [cache[w] for w in encoder.words(text)]
             n = sum([p[0] for p in parts])
             ids = "".join([p[1] for p in parts])[1:]
             decoded = "".join([p[2] for p in parts])[1:]
@@ -347,10 +372,10 @@ def tokenise(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text
     def make() -> Callable[[str], tuple]:
         encoder = encoder_of(vocabulary_path)
         decoder = Decoder(encoder.vocabulary)
-        cache = Recent(encoder.chunk_ids, CHUNK_ENTRIES, CACHE_CHARS)
+        cache = Recent(encoder.word_ids, WORD_ENTRIES, CACHE_CHARS)
 
         def one(text: str) -> tuple:
-            ids = [i for c in encoder.chunks(text) for i in cache[c]]
+            ids = [i for w in encoder.words(text) for i in cache[w]]
             decoder.finish()
             return ids, len(ids), "".join(map(decoder.feed, ids))
 

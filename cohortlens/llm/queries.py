@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, mixing, secrets, toxicity
+from . import bpe, exact_dedup, jaccard, mixing, secrets, toxicity
 from .common import read_table
 
 
@@ -24,6 +24,10 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(read_table(spark, folder, "documents"))
 
 
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.groups(read_table(spark, folder, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.dedup(spark, f"{folder}/documents.parquet")
 
@@ -37,7 +41,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_toxicity, op4_secret_scan, op8_exact_dedup, op9_source_mixing, op10_bpe)
+    f.__name__: f for f in (op3_toxicity, op4_secret_scan, op7_jaccard_join, op8_exact_dedup, op9_source_mixing, op10_bpe)
 }
 
 
