@@ -80,6 +80,8 @@ def keyed_state(spark: SparkSession, path: str, checkpoint: str | None = None, i
     settings = {
         PROVIDER: ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # many small stores: no space is reserved ahead of use
+        "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
         "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
         "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     }
