@@ -85,8 +85,9 @@ def _block_keys(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, U64), np.zeros(0, int))
 
 
-def _frequency(keys: np.ndarray, flags: np.ndarray) -> np.ndarray:
+def _frequency(bucket: int, parts: list[bytes], counts: list[np.ndarray]) -> np.ndarray:
     """0: one document has the shingle; else the number of documents as a power of two, rounded up, 15 at most."""
+    keys, flags = P.joined(parts, counts, P.NARROW)
     order = np.argsort(keys, kind="stable")
     ranked = keys[order]
     begins = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
@@ -108,14 +109,14 @@ def prepared(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Dat
 
     def ask(row: dict) -> Iterator[dict]:
         keys, counts = _block_keys(shingle_sets(row["texts"], words))
-        yield from P.question_rows(row["block"], keys, buckets, flags=np.minimum(counts, 255))
+        yield from P.question_rows(row["block"], keys, counts, buckets)
 
-    answers = P.answer(P.each_block(table, ask, P.QUESTION), _frequency, np.uint32)
+    answers = P.answer(P.each_block(table, ask, P.QUESTION), _frequency)
 
     def rows(row: dict) -> Iterator[dict]:
         sets = shingle_sets(row["texts"], words)
         keys, _ = _block_keys(sets)
-        levels = P.answers_of(row, keys, buckets)
+        levels = P.answers_of(row["answers"], keys, buckets)
         for doc_id, own in zip(row["doc_ids"], sets, strict=True):
             n = len(own)
             out = {"doc_id": doc_id, "n": n, "print_a": None, "print_b": None, "tokens": [], "places": [], "shingles": b""}

@@ -135,48 +135,73 @@ def each_block(frame: DataFrame, fn: Callable[[dict], Iterator[dict]], schema: s
 
 
 def split_keys(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """The bucket (from the upper half) and the rest (the lower half) of 64-bit keys."""
+    """The bucket of 64-bit keys and the next 32 bits. Both follow the order of the keys."""
     high, low = keys >> U64(32), keys & U64(0xFFFFFFFF)
-    return (high * U64(buckets)) >> U64(32), low
+    scaled = high * U64(buckets) + (low * U64(buckets) >> U64(32))
+    return scaled >> U64(32), scaled & U64(0xFFFFFFFF)
 
 
-def question_rows(block: int, keys: np.ndarray, buckets: int, wide: np.ndarray | None = None, flags: np.ndarray | None = None) -> Iterator[dict]:
-    """Rows (bucket, block, keys, flags) of distinct keys. ``keys`` must be sorted in the order of ``sort_keys``.
+def squeeze(values: np.ndarray, size: int) -> bytes:
+    """Sorted numbers of ``8 * (size + 1)`` bits: how many have each top byte, then ``size`` bytes of each."""
+    top = (values >> U64(8 * size)).astype(np.int64)
+    low = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size]
+    return np.bincount(top, minlength=256).astype("<u4").tobytes() + low.tobytes()
 
-    Narrow keys send 32 bits beside the bucket, enough for a filter; with ``wide``, a second fingerprint of 64 bits is sent
-    and the bucket comes from ``keys``: together more than 64 bits, enough to decide.
+
+def unsqueeze(parts: list[bytes], size: int) -> np.ndarray:
+    out = []
+    for p in parts:
+        top = np.repeat(np.arange(256, dtype=U64), np.frombuffer(p, "<u4", 256))
+        full = np.zeros((len(top), 8), np.uint8)
+        full[:, :size] = np.frombuffer(p, np.uint8, offset=1024).reshape(-1, size)
+        out.append(full.view("<u8").reshape(-1) | top << U64(8 * size))
+    return np.concatenate(out)
+
+
+#: bytes sent per key beside its top byte: enough for a filter; enough to decide (with the bucket, over 60 bits)
+NARROW, WIDE = 3, 6
+
+
+def question_rows(block: int, keys: np.ndarray, counts: np.ndarray, buckets: int, wide: np.ndarray | None = None, first_bucket: int = 0) -> Iterator[dict]:
+    """Rows (bucket, block, keys, flags) of distinct keys; a flag says how often the block has the key (255: or more).
+
+    Narrow: ``keys`` are sorted; 32 bits beside the bucket are sent. With ``wide``: the rows are sorted by bucket of ``keys``, then by
+    ``wide``, an independent fingerprint of 56 bits, which is sent.
     """
     where, low = split_keys(keys, buckets)
     edges = np.searchsorted(where, np.arange(buckets + 1, dtype=U64))
     for b in np.flatnonzero(np.diff(edges)):
         part = slice(edges[b], edges[b + 1])
-        payload = low[part].astype(np.uint32) if wide is None else wide[part]
-        yield {"bucket": int(b), "block": block, "keys": payload.tobytes(), "flags": b"" if flags is None else flags[part].astype(np.uint8).tobytes()}
+        payload = squeeze(low[part], NARROW) if wide is None else squeeze(wide[part], WIDE)
+        yield {"bucket": first_bucket + int(b), "block": block, "keys": payload, "flags": np.minimum(counts[part], 255).astype(np.uint8).tobytes()}
 
 
 QUESTION = "bucket int, block long, keys binary, flags binary"
 
 
-def answer(questions: DataFrame, judge: Callable[[np.ndarray, np.ndarray], np.ndarray], dtype: type) -> DataFrame:
-    """Per block: ``answers``, a list of (bucket, one byte per key in the order sent).
+def answer(questions: DataFrame, judge: Callable[[int, list[bytes], list[np.ndarray]], np.ndarray]) -> DataFrame:
+    """Per block: ``answers``, a list of (bucket, one number per key in the order sent).
 
-    ``judge`` gets all keys of a bucket and their flags (1 where none were sent) and gives a number below 256 for each.
+    ``judge`` gets a bucket's number, the key parts and the flags of its blocks, in the order of the blocks (so that a
+    repeated task gives the same answers), and returns a number below 16 for each key of all parts.
     """
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(x, dtype=dtype) for x in table.column("keys").to_pylist()]
+        table = table.sort_by("block")
         flags = [np.frombuffer(x, dtype=np.uint8) for x in table.column("flags").to_pylist()]
-        keys = np.concatenate(parts)
-        flag = np.concatenate([f if len(f) else np.ones(len(p), np.uint8) for p, f in zip(parts, flags, strict=True)])
-        result = judge(keys, flag).astype(np.uint8)
-        cuts = np.cumsum([len(p) for p in parts])[:-1]
+        result = judge(key[0].as_py(), table.column("keys").to_pylist(), flags).astype(np.uint8)
+        cuts = np.cumsum([len(f) for f in flags])[:-1]
         replies = [pack_answer(x) for x in np.split(result, cuts)]
         return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "reply": pa.array(replies, pa.binary())})
 
-    rows = questions.groupBy("bucket").applyInArrow(run, "block long, bucket int, reply binary")
+    rows = questions.groupBy("bucket").applyInArrow(run, "block long, bucket int, reply binary").where("length(reply) > 0")
     return rows.groupBy("block").agg(F.collect_list(F.struct("bucket", "reply")).alias("answers"))
 
 
+def joined(parts: list[bytes], flags: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
+    return unsqueeze(parts, size), np.concatenate(flags)
+
+
 def pack_answer(values: np.ndarray) -> bytes:
     """Nothing if all are 0, bits if none is above 1, else four bits each."""
     if not values.any():
@@ -196,33 +221,33 @@ def unpack_answer(reply: bytes, n: int) -> np.ndarray:
     return np.stack([raw >> 4, raw & 15], axis=1).reshape(-1)[:n]
 
 
-def answers_of(row: dict, keys: np.ndarray, buckets: int) -> np.ndarray:
+def answers_of(answers: list | None, keys: np.ndarray, buckets: int, first_bucket: int = 0) -> np.ndarray:
     """The answers in the order of ``keys``, which must be those that were sent, in the same order."""
     where, _ = split_keys(keys, buckets)
     edges = np.searchsorted(where, np.arange(buckets + 1, dtype=U64))
     out = np.zeros(len(keys), np.uint8)
-    for a in row["answers"] or ():
-        lo, hi = edges[a["bucket"]], edges[a["bucket"] + 1]
+    for a in answers or ():
+        b = a["bucket"] - first_bucket
+        if not 0 <= b < buckets:
+            continue
+        lo, hi = edges[b], edges[b + 1]
         out[lo:hi] = unpack_answer(a["reply"], hi - lo)
     return out
 
 
-def with_answers(frame: DataFrame, answers: DataFrame) -> DataFrame:
+def with_answers(frame: DataFrame, answers: DataFrame, name: str = "answers") -> DataFrame:
     """The blocks with their answers (null where there is none). The blocks are not shuffled."""
-    return frame.join(answers, "block", "left")
+    return frame.join(answers.withColumnRenamed("answers", name), "block", "left")
 
 
-def repeated(keys: np.ndarray, flags: np.ndarray) -> np.ndarray:
-    """1 where a key occurs again in the bucket, or came with a flag of 2 (it occurs twice in its block)."""
+def repeated(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """1 where a key occurs in two blocks, or twice in one."""
+    if not len(keys):
+        return np.zeros(0, np.uint8)
     order = np.argsort(keys, kind="stable")
     ranked = keys[order]
-    same = ranked[1:] == ranked[:-1]
-    hit = np.zeros(len(keys), bool)
-    hit[1:] |= same
-    hit[:-1] |= same
-    # a flag of 2 counts for every occurrence of the key
-    group = np.cumsum(np.concatenate([[False], ~same])) if len(keys) else np.zeros(0, int)
-    twice = np.bincount(group, flags[order] > 1) > 0 if len(keys) else np.zeros(0, bool)
-    out = np.zeros(len(keys), np.uint8)
-    out[order] = hit | twice[group]
+    begins = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+    total = np.add.reduceat(counts[order].astype(np.int64), begins)
+    out = np.empty(len(keys), np.uint8)
+    out[order] = np.repeat(total > 1, np.diff(np.append(begins, len(keys))))
     return out

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, jaccard, mixing, secrets, toxicity
+from . import bpe, exact_dedup, jaccard, mixing, secrets, suffix_dedup, toxicity
 from .common import read_table
 
 
@@ -16,6 +16,10 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.dedup(read_table(spark, folder, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.severity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
@@ -41,7 +45,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_toxicity, op4_secret_scan, op7_jaccard_join, op8_exact_dedup, op9_source_mixing, op10_bpe)
+    f.__name__: f for f in (op1_suffix_dedup, op3_toxicity, op4_secret_scan, op7_jaccard_join, op8_exact_dedup, op9_source_mixing, op10_bpe)
 }
 
 
