@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, jaccard, mixing, secrets, suffix_dedup, toxicity
+from . import bpe, exact_dedup, html_text, jaccard, lattice, mixing, secrets, suffix_dedup, toxicity
 from .common import read_table
 
 
@@ -20,6 +20,10 @@ def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.dedup(read_table(spark, folder, "documents"))
 
 
+def op2_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(read_table(spark, folder, "pages"))
+
+
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.severity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
@@ -28,6 +32,10 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(read_table(spark, folder, "documents"))
 
 
+def op6_lattice_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.dedup(read_table(spark, folder, "embeddings"))
+
+
 def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.groups(read_table(spark, folder, "documents"))
 
@@ -45,7 +53,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op3_toxicity, op4_secret_scan, op7_jaccard_join, op8_exact_dedup, op9_source_mixing, op10_bpe)
+    f.__name__: f for f in (op1_suffix_dedup, op2_html_text, op3_toxicity, op4_secret_scan, op6_lattice_dedup, op7_jaccard_join, op8_exact_dedup, op9_source_mixing, op10_bpe)
 }
 
 
