@@ -367,17 +367,23 @@ def digests(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_
 
 
 def tokenise(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, ``token_ids`` and the text decoded from them."""
+    """One row per row of ``docs``: id, ``token_ids``, ``n_tokens`` and the text ``decoded`` from them."""
 
     def make() -> Callable[[str], tuple]:
         encoder = encoder_of(vocabulary_path)
         decoder = Decoder(encoder.vocabulary)
-        cache = Recent(encoder.word_ids, WORD_ENTRIES, CACHE_CHARS)
+
+        def result(word: str) -> tuple[list[int], str]:
+            ids = encoder.word_ids(word)
+            decoder.first = False
+            return ids, "".join(map(decoder.feed, ids))
+
+        cache = Recent(result, WORD_ENTRIES, CACHE_CHARS)
 
         def one(text: str) -> tuple:
-            ids = [i for w in encoder.words(text) for i in cache[w]]
-            decoder.finish()
-            return ids, len(ids), "".join(map(decoder.feed, ids))
+            parts = [cache[w] for w in encoder.words(text)]
+            ids = [i for p in parts for i in p[0]]
+            return ids, len(ids), "".join([p[1] for p in parts])[1:]
 
         return one
 

@@ -254,3 +254,13 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     return joined.select(
         "d.doc_id", F.col("d.n").alias("n_shingles"), F.when(F.col("d.doc_id").isNotNull(), F.coalesce("c.component", "d.doc_id")).alias("component_id")
     )
+
+
+def representatives(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The documents, with their columns, without those whose component has a smaller identifier.
+
+    Rows without identifier stay; of rows that repeat an identifier one stays.
+    """
+    named = groups(docs.select("doc_id", "text"), words, percent)
+    kept = named.where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).union(docs.where("doc_id is null"))

@@ -29,6 +29,7 @@ from cohortlens.session import materialise
 
 from .common import map_arrow
 from .components import components
+from .pair_blocks import in_pairs_of_blocks
 
 COSINE = 0.98
 TABLES, PROBES, WIDTH, SEED = 8, 4, 1.2, 7
@@ -120,13 +121,7 @@ def _entries(table: DataFrame) -> DataFrame:
     key = ["label", "t", "cell"]
     full = entries.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("home").cast("int")).alias("homes")).where("n > 1 and homes > 0").select(*key, "n")
     kept = materialise(entries.join(full, key), "lattice-entries")
-    groups = -(-kept.count() // GROUP_ENTRIES) or 1
-    blocks = F.ceil(F.col("n") / CELL_BLOCK).cast("int")
-    kept = kept.withColumn("mine", F.pmod(F.xxhash64("uid"), blocks).cast("int"))
-    # a vector of block i takes part in the comparisons (i, j) and (j, i) with every block j
-    pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.struct(F.least(j, F.col("mine")).alias("lo"), F.greatest(j, F.col("mine")).alias("hi")))
-    kept = kept.withColumn("p", F.explode(pairs)).select("uid", *key, "home", "mine", F.col("p.lo").alias("lo"), F.col("p.hi").alias("hi"))
-    return kept.withColumn("group", F.pmod(F.xxhash64(*key, "lo", "hi"), F.lit(groups)))
+    return in_pairs_of_blocks(kept, key, CELL_BLOCK, GROUP_ENTRIES)
 
 
 def _compare(key: tuple, table: pa.Table) -> pa.Table:

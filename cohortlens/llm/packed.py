@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 from cohortlens.session import scratch_path
 
@@ -53,7 +55,7 @@ class Rolling:
         self.inverse = U64(pow(int(self.base), -1, 1 << 64))
         self.seed = U64(0xD1B54A32D192ED03 * (which + 1) & (1 << 64) - 1)
         self.powers = self.backs = np.ones(1, dtype=U64)
-        self.symbols = mix(np.arange(256, dtype=U64) + self.seed)
+        self.symbols = mix(np.arange(1 << 16, dtype=U64) + self.seed)
 
     def _grow(self, n: int) -> None:
         if len(self.powers) <= n:
@@ -64,7 +66,8 @@ class Rolling:
     def sums(self, values: np.ndarray) -> np.ndarray:
         """Prefix sums of bytes (uint8) or code points (uint32)."""
         self._grow(len(values))
-        symbols = self.symbols[values] if values.dtype == np.uint8 else mix(values.astype(U64) + self.seed)
+        small = values.dtype == np.uint8 or not len(values) or values.max() < len(self.symbols)
+        symbols = self.symbols[values] if small else mix(values.astype(U64) + self.seed)
         out = np.zeros(len(values) + 1, dtype=U64)
         np.cumsum(symbols * self.powers[: len(values)], out=out[1:])
         return out
@@ -78,10 +81,10 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def blocks(docs: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def blocks(docs: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, carry: bool = False) -> DataFrame:
     """The documents packed to blocks, as a table bucketed by ``block``: block, doc_ids, texts. Nothing is shuffled.
 
-    Nulls count as empty texts; null identifiers stay null.
+    Nulls count as empty texts; null identifiers stay null. With ``carry``, all columns of ``docs`` but the text go along in ``rows``.
     """
     spark = docs.sparkSession
 
@@ -89,19 +92,22 @@ def blocks(docs: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "
         task, n = TaskContext.get().partitionId(), 0
         ids: list = []
         texts: list = []
+        rest: list = []
         size = 0
 
         def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([task << 32 | n], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([texts], pa.list_(pa.string()))],
-                names=["block", "doc_ids", "texts"],
-            )
+            arrays = [pa.array([task << 32 | n], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([texts], pa.list_(pa.string()))]
+            if carry:
+                arrays.append(pa.array([rest], pa.list_(row_type)))
+            return pa.RecordBatch.from_arrays(arrays, names=["block", "doc_ids", "texts", "rows"][: len(arrays)])
 
         for batch in batches:
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            others = batch.column(2).to_pylist() if carry else [None] * batch.num_rows
+            for i, t, r in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), others, strict=True):
                 if ids and size + len(t) > block_bytes:
                     yield out()
-                    n, ids, texts, size = n + 1, [], [], 0
+                    n, ids, texts, rest, size = n + 1, [], [], [], 0
+                rest.append(r)
                 ids.append(i)
                 texts.append(t)
                 size += len(t) + 16
@@ -109,18 +115,21 @@ def blocks(docs: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "
             yield out()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    packed = map_arrow(rows, pack, "block long, doc_ids array<long>, texts array<string>")
+    schema = "block long, doc_ids array<long>, texts array<string>"
+    if carry:
+        rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"), F.struct([c for c in docs.columns if c != text_col]).alias("row"))
+        kind = rows.schema["row"].dataType
+        row_type = to_arrow_type(kind)
+        schema += f", rows array<{kind.simpleString()}>"
+    packed = map_arrow(rows, pack, schema)
     table = f"{name}_blocks_{uuid.uuid4().hex}"
     packed.write.bucketBy(shuffle_parts(spark), "block").sortBy("block").option("path", scratch_path(spark, table)).saveAsTable(table)
     return spark.table(table)
 
 
-def each_block(frame: DataFrame, fn: Callable[[dict], Iterator[dict]], schema: str) -> DataFrame:
+def each_block(frame: DataFrame, fn: Callable[[dict], Iterator[dict]], schema: str | StructType) -> DataFrame:
     """``fn`` of each block row (a dict of its columns) gives rows (dicts). One block is in memory at a time."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    arrow = to_arrow_schema(_parse_datatype_string(schema))
+    arrow = to_arrow_schema(_parse_datatype_string(schema) if isinstance(schema, str) else schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,24 +171,26 @@ def unsqueeze(parts: list[bytes], size: int) -> np.ndarray:
 NARROW, WIDE = 3, 6
 
 
-def question_rows(block: int, keys: np.ndarray, counts: np.ndarray, buckets: int, wide: np.ndarray | None = None, first_bucket: int = 0) -> Iterator[dict]:
-    """Rows (bucket, block, keys, flags) of distinct keys; a flag says how often the block has the key (255: or more).
+def question_rows(block: int, keys: np.ndarray, counts: np.ndarray, buckets: int, wide: np.ndarray | None = None, first_bucket: int = 0, own_flags: bool = False) -> Iterator[dict]:
+    """Rows (bucket, block, keys, flags) of distinct keys; a flag says how often the block has the key (255: or more), or
+    with ``own_flags`` whatever the numbers in ``counts`` mean to the judge.
 
     Narrow: ``keys`` are sorted; 32 bits beside the bucket are sent. With ``wide``: the rows are sorted by bucket of ``keys``, then by
     ``wide``, an independent fingerprint of 56 bits, which is sent.
     """
     where, low = split_keys(keys, buckets)
     edges = np.searchsorted(where, np.arange(buckets + 1, dtype=U64))
+    flags = np.minimum(counts, 255).astype(np.uint8) if not own_flags else counts
     for b in np.flatnonzero(np.diff(edges)):
         part = slice(edges[b], edges[b + 1])
         payload = squeeze(low[part], NARROW) if wide is None else squeeze(wide[part], WIDE)
-        yield {"bucket": first_bucket + int(b), "block": block, "keys": payload, "flags": np.minimum(counts[part], 255).astype(np.uint8).tobytes()}
+        yield {"bucket": first_bucket + int(b), "block": block, "keys": payload, "flags": flags[part].tobytes()}
 
 
 QUESTION = "bucket int, block long, keys binary, flags binary"
 
 
-def answer(questions: DataFrame, judge: Callable[[int, list[bytes], list[np.ndarray]], np.ndarray]) -> DataFrame:
+def answer(questions: DataFrame, judge: Callable[[int, list[bytes], list[np.ndarray]], np.ndarray], flag_type: type = np.uint8) -> DataFrame:
     """Per block: ``answers``, a list of (bucket, one number per key in the order sent).
 
     ``judge`` gets a bucket's number, the key parts and the flags of its blocks, in the order of the blocks (so that a
@@ -188,7 +199,7 @@ def answer(questions: DataFrame, judge: Callable[[int, list[bytes], list[np.ndar
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by("block")
-        flags = [np.frombuffer(x, dtype=np.uint8) for x in table.column("flags").to_pylist()]
+        flags = [np.frombuffer(x, dtype=flag_type) for x in table.column("flags").to_pylist()]
         result = judge(key[0].as_py(), table.column("keys").to_pylist(), flags).astype(np.uint8)
         cuts = np.cumsum([len(f) for f in flags])[:-1]
         replies = [pack_answer(x) for x in np.split(result, cuts)]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, html_text, jaccard, lattice, mixing, secrets, suffix_dedup, toxicity
+from . import bpe, exact_dedup, html_text, jaccard, lattice, lines, mixing, secrets, suffix_dedup, toxicity
 from .common import read_table
 
 
@@ -32,6 +32,10 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(read_table(spark, folder, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.report(read_table(spark, folder, "documents"))
+
+
 def op6_lattice_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lattice.dedup(read_table(spark, folder, "embeddings"))
 
@@ -53,7 +57,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_html_text, op3_toxicity, op4_secret_scan, op6_lattice_dedup, op7_jaccard_join, op8_exact_dedup, op9_source_mixing, op10_bpe)
+    f.__name__: f for f in (op1_suffix_dedup, op2_html_text, op3_toxicity, op4_secret_scan, op5_line_dedup, op6_lattice_dedup, op7_jaccard_join, op8_exact_dedup, op9_source_mixing, op10_bpe)
 }
 
 
