@@ -234,10 +234,11 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     classes = materialise(plain.where("n > 0 and doc_id is not null").groupBy("n", "print_a", "print_b").agg(F.min("doc_id").alias("first")), "jaccard-classes")
     firsts = classes.select(F.col("first").alias("doc_id"))
     lists = table.where("size(tokens) > 0").select("doc_id", "n", "tokens", "places").join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    lists = lists.select("doc_id", "n", F.explode(F.arrays_zip("tokens", "places")).alias("t")).select("doc_id", "n", F.col("t.tokens").alias("token"), F.col("t.places").alias("place"))
+    lists = lists.select("doc_id", "n", F.element_at("places", 1).alias("own"), F.explode(F.arrays_zip("tokens", "places")).alias("t")).select("doc_id", "n", "own", F.col("t.tokens").alias("token"), F.col("t.places").alias("place"))
     lists = materialise(lists, "jaccard-lists")
     sets = table.where("size(tokens) > 0").select("doc_id", "shingles").join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    leaders = lists.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("n", "doc_id", "place")).alias("lead")).where("size > 1").select(
+    # a list's leader has the fewest shingles of its own: what the others were copied from has none, and leads all its lists
+    leaders = lists.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("own", "doc_id", "n", "place")).alias("lead")).where("size > 1").select(
         "token", F.col("lead.doc_id").alias("a"), F.col("lead.n").alias("na"), F.col("lead.place").alias("place_a")
     )
     led = lists.join(leaders, "token").where(F.col("doc_id") != F.col("a"))
