@@ -237,6 +237,8 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFra
         prints = np.zeros(len(lines.starts), np.int64)
         prints[lines.compared] = lines.prints(1).view(np.int64)
         order = np.flatnonzero(hit)
+        if not len(order):
+            return
         order = order[np.argsort(owner[order], kind="stable")]
         for part in np.split(order, np.flatnonzero(np.diff(owner[order])) + 1):
             yield entry(row, lines, keys, which, index, prints, int(owner[part[0]]), part)

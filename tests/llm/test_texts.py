@@ -233,3 +233,8 @@ def test_blocks_are_not_shuffled(spark, docs):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_line_dedup_without_any_shared_line(spark):
+    df = spark.createDataFrame([(k, f"{k * 7919} a line that is like no other {k * k}{k}") for k in (3, 70, 911)], "doc_id long, text string")
+    assert {(r.n_equal, r.n_near) for r in lines.report(df).collect()} == {(0, 0)}
