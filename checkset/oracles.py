@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from checkset.queries import CUTOFF, EARLIER_DATE, MODULES, RECENT, RUN_DATE, RUN_TS, SCORER, SPLIT_WEEK
+from checkset.queries import CUTOFF, EARLIER_DATE, RECENT, RUN_DATE, RUN_TS, SCORER, SPLIT_WEEK
 from cohortlens.params import RunParams
 from cohortlens.schemas import CLICK_FEATURES, MODEL_FEATURES
 from cohortlens.sources.adapters import FIRST_DAY, MODULE_OF_TYPE
@@ -19,7 +19,7 @@ OVER = "over (partition by id_student, code_module order by week"
 
 CTES = {
     "student_vle": f"""
-        select case event_type {' '.join(f"when '{k}' then '{v}'" for k, v in MODULE_OF_TYPE.items())} end as code_module,
+        select case event_type {' '.join(f"when '{k}' then '{v}'" for k, v in MODULE_OF_TYPE.items())} else 'OTHER' end as code_module,
             case when event_id % 2 = 0 then '2024B' else '2024J' end as code_presentation,
             user_id as id_student, event_id % 20 as id_site, cast({DAY} as integer) as date, cast(floor(value) as bigint) as sum_click
         from events""",
@@ -114,9 +114,6 @@ CTES |= {
     "summary": """
         select run_date, week, code_module, count(distinct id_student) as student_count, avg(risk_score) as avg_risk_score,
             avg(high_risk_flag) as high_risk_rate from risk_runs group by 1, 2, 3""",
-    "summary_sql": """
-        select run_date, week, code_module, count(distinct id_student) as students, avg(risk_score) as avg_risk_score,
-            cast(sum(high_risk_flag) as bigint) as high_risk_students from scores group by 1, 2, 3""",
     "risk_weekly": f"""
         select s.run_date, s.week, s.id_student, s.code_module, s.risk_score, s.high_risk_flag, f.weekly_score_mean, f.weekly_submissions,
             f.cumulative_submissions, f.rolling_3_week_mean, f.weekly_score_trend, {ATTRIBUTES},
@@ -124,6 +121,9 @@ CTES |= {
         from scores s
         left join panel_sql f on s.id_student = f.id_student and s.code_module = f.code_module and s.week = f.week
         left join student_info i on s.id_student = i.id_student and s.code_module = i.code_module""",
+    "summary_sql": """
+        select run_date, week, code_module, count(distinct id_student) as students, avg(risk_score) as avg_risk_score,
+            cast(sum(high_risk_flag) as bigint) as high_risk_students from risk_weekly group by 1, 2, 3""",
     "last_snap": "select * from scored where week = (select max(week) from scored)",
     "snap": f"select * from scored where week = {SPLIT_WEEK}",
     "vle_cut": f"select * from student_vle where date <= {CUTOFF}",
@@ -346,10 +346,8 @@ oracle("risk_trend", "select run_date, week, avg(risk_score) as avg_risk_score f
 oracle("risk_histogram", "select cast(least(floor(risk_score * 20) + 1, 20) as integer) as bin, count(*) as rows from risk group by 1")
 oracle(
     "module_heatmap",
-    "select week, "
-    + ", ".join(f"avg(high_risk_rate) filter (code_module = '{m}') as \"{m}\"" for m in MODULES)
-    + f" from summary where run_date = date '{RUN_DATE}' group by week",
-    ", ".join(f'"{m}"' for m in MODULES),
+    f"select week, code_module, avg(high_risk_rate) as high_risk_rate from summary where run_date = date '{RUN_DATE}' group by 1, 2",
+    "high_risk_rate",
 )
 oracle(
     "mart_verification",
@@ -446,25 +444,30 @@ SCENARIOS = f"""
     select *, case when arm = 'treatment' then greatest(0.0, least(1.0, base_pass_prob + uplift_scenario)) else base_pass_prob end as sim_pass_prob
     from ({COHORT}) cross join (values {UPLIFTS}) as u(uplift_scenario)"""
 oracle("scenario_grid", SCENARIOS, "risk_score, base_pass_prob, uplift_scenario, sim_pass_prob")
+PASSED_IN = {0.03: "'Pass', 'Distinction'", 0.05: "'Pass', 'Distinction', 'Fail'", 0.08: "'Distinction', 'Withdrawn'"}
 OUTCOMES = " union all ".join(
-    f"""select {u}::double as uplift_scenario, case when {uniform(42 + i, 'id_student', 'code_presentation')} < 0.5 then 'control' else 'treatment' end as arm,
-        case when final_result in ('Pass', 'Distinction') then 1 else 0 end as outcome from student_info"""
-    for i, u in enumerate(RunParams.uplifts)
+    f"""select {u}::double as uplift_scenario, case when {uniform(42, 'id_student', 'code_presentation')} < 0.5 then 'control' else 'treatment' end as arm,
+        case when final_result in ({passed}) then 1 else 0 end as outcome from student_info"""
+    for u, passed in PASSED_IN.items()
+)
+SEEN = " union all ".join(
+    f"""select id_student, code_module, {u}::double as uplift_scenario, max(case when final_result in ({passed}) then 1 else 0 end) as outcome
+        from student_info group by 1, 2"""
+    for u, passed in PASSED_IN.items()
 )
 COHORT_OUTCOMES = f"""
-    select uplift_scenario, arm, outcome from ({SCENARIOS}) join (
-        select id_student, code_module, max(case when final_result in ('Pass', 'Distinction') then 1 else 0 end) as outcome
-        from student_info group by 1, 2) using (id_student, code_module)"""
+    select uplift_scenario, arm, outcome from ({SCENARIOS}) left join ({SEEN}) using (id_student, code_module, uplift_scenario)"""
 
 
 def rates(outcomes: str) -> str:
     return f"""
     select *, treatment_rate - control_rate as rate_diff from (
         select *, control_success / control_n as control_rate, treatment_success / treatment_n as treatment_rate from (
-            select uplift_scenario, count(*) filter (arm = 'control') as control_n,
+            select uplift_scenario, count(outcome) filter (arm = 'control') as control_n,
                 cast(coalesce(sum(outcome) filter (arm = 'control'), 0) as bigint) as control_success,
-                count(*) filter (arm = 'treatment') as treatment_n,
-                cast(coalesce(sum(outcome) filter (arm = 'treatment'), 0) as bigint) as treatment_success
+                count(outcome) filter (arm = 'treatment') as treatment_n,
+                cast(coalesce(sum(outcome) filter (arm = 'treatment'), 0) as bigint) as treatment_success,
+                count(*) - count(outcome) as without_outcome
             from ({outcomes}) group by 1))"""
 
 
@@ -490,16 +493,24 @@ def tested(outcomes: str) -> str:
 
 
 def interval(outcomes: str) -> str:
+    """Binomial draws by inversion: the smallest count whose distribution function reaches a hash number."""
+    arms = " union all ".join(f"select uplift_scenario, '{a}' as arm, {a}_n as n, {a}_success as s, {a}_success / {a}_n as p from r" for a in ("control", "treatment"))
+    reach = "12 * sqrt(n * p * (1 - p)) + 20"
     return f"""
     select uplift_scenario, quantile_cont(diff, 0.025) as ci_low, quantile_cont(diff, 0.975) as ci_high from (
-        select uplift_scenario, rep,
-            count(*) filter (draw >= control_n and floor(u * treatment_n) < treatment_success) / any_value(treatment_n)
-            - count(*) filter (draw < control_n and floor(u * control_n) < control_success) / any_value(control_n) as diff
-        from (select *, cast('0x' || substr(md5(rep || '|' || draw // 4 || '|42'), cast(1 + 8 * (draw % 4) as integer), 8) as bigint)
-                / 4294967296.0::double as u
-            from (select *, unnest(range(0, control_n + treatment_n)) as draw from (
-                select *, unnest(range(0, {RunParams.n_boot})) as rep from ({rates(outcomes)}))))
-        group by 1, 2) group by 1"""
+        with r as (select * from ({rates(outcomes)}) where control_n > 0 and treatment_n > 0),
+        a as (select *, cast(greatest(0, floor(n * p - ({reach}))) as bigint) as low, cast(least(n, ceil(n * p + {reach})) as bigint) as high from ({arms})),
+        k as (select *, unnest(range(low, high + 1)) as k from a where s > 0 and s < n),
+        l as (select *, sum(case when k > low then ln((n - k + 1) / k * p / (1 - p)) else 0.0 end)
+            over (partition by uplift_scenario, arm order by k rows unbounded preceding) as l from k),
+        m as (select *, exp(l - max(l) over (partition by uplift_scenario, arm)) as m from l),
+        c as (select *, sum(m) over (partition by uplift_scenario, arm order by k rows unbounded preceding)
+            / sum(m) over (partition by uplift_scenario, arm) as c from m),
+        u as (select *, (cast(('0x' || substr(md5(rep || '|' || arm || '|42'), 1, 8)) as bigint) / 4294967296.0::double) as u
+            from (select *, unnest(range(0, 2000)) as rep from a)),
+        d as (select u.uplift_scenario, u.arm, u.rep, case when u.s = 0 or u.s = u.n then u.s else coalesce(c.k + 1, u.low) end / u.n as share
+            from u asof left join c on u.uplift_scenario = c.uplift_scenario and u.arm = c.arm and u.u > c.c)
+        select uplift_scenario, rep, sum(case when arm = 'treatment' then share else -share end) as diff from d group by 1, 2) group by 1"""
 
 
 RATE_DOUBLES = "uplift_scenario, control_rate, treatment_rate, rate_diff"

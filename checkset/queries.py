@@ -14,7 +14,7 @@ from cohortlens.functions.columns import percent_text
 from cohortlens.operators import alerts, clicks, evaluation, events, experiments, explain, marts, models, quality, reports, scoring, split, staging, weekly
 from cohortlens.params import RunParams
 from cohortlens.schemas import CLICK_FEATURES, MODEL_FEATURES, MODEL_LABEL, STUDENT_VLE
-from cohortlens.session import scratch_path
+from cohortlens.session import materialise, scratch_path
 from cohortlens.sources import adapters, readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,7 +27,6 @@ EARLIER_DATE = "2024-01-25"
 CUTOFF, RECENT = 20, 7
 SPLIT_WEEK = 2
 PANEL_KEY = ["id_student", "code_module", "week"]
-MODULES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 # A given coefficient table: scores that do not depend on a training run.
 SCORER = scoring.LinearScorer(
@@ -93,6 +92,11 @@ def scores(spark: SparkSession, d: str) -> DataFrame:
     return marts.score_history(risk(spark, d), RUN_TS, "logistic", RunParams.risk_threshold)
 
 
+def joined_mart(spark: SparkSession, d: str) -> DataFrame:
+    """Score history with weekly features and student attributes; repeated info rows fan out."""
+    return marts.risk_weekly(scores(spark, d), panel_sql(spark, d), staging.stage_student_info(adapters.student_info(spark, d)))
+
+
 def summary(spark: SparkSession, d: str) -> DataFrame:
     return marts.course_summary(risk_runs(spark, d), one_row_per_student=True)
 
@@ -114,16 +118,20 @@ def training_rows(spark: SparkSession, d: str) -> DataFrame:
     return split.model_rows(panel(spark, d)).filter(F.col("week") < SPLIT_WEEK).select(*PANEL_KEY, *MODEL_FEATURES, MODEL_LABEL)
 
 
+# what counts as passed differs between the scenarios, so that their outcomes do
+PASSED_IN = {0.03: ["Pass", "Distinction"], 0.05: ["Pass", "Distinction", "Fail"], 0.08: ["Distinction", "Withdrawn"]}
+
+
+def outcomes_by_scenario(info: DataFrame) -> DataFrame:
+    """Info rows once per scenario, with the outcome in it."""
+    by_scenario = [F.struct(F.lit(u).alias("uplift_scenario"), F.col("final_result").isin(r).cast("int").alias("outcome")) for u, r in PASSED_IN.items()]
+    return info.withColumn("_s", F.explode(F.array(*by_scenario))).select("*", "_s.*").drop("_s")
+
+
 def population_outcomes(spark: SparkSession, d: str) -> DataFrame:
-    """Observed outcomes of all enrolments, one arm assignment per scenario."""
-    info = clicks.with_outcome(adapters.student_info(spark, d))
-    frames = [
-        experiments.assign_arms(info, 42 + i, ["id_student", "code_presentation"]).select(
-            F.lit(u).alias("uplift_scenario"), "arm", F.col("target").alias("outcome")
-        )
-        for i, u in enumerate(RunParams.uplifts)
-    ]
-    return experiments.union_scenarios(frames)
+    """Observed outcomes of all enrolments; arms are assigned once."""
+    arms = experiments.assign_arms(adapters.student_info(spark, d), 42, ["id_student", "code_presentation"])
+    return outcomes_by_scenario(arms).select("uplift_scenario", "arm", "outcome")
 
 
 def cohort(spark: SparkSession, d: str) -> DataFrame:
@@ -133,9 +141,8 @@ def cohort(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cohort_outcomes(spark: SparkSession, d: str) -> DataFrame:
-    passed = clicks.with_outcome(adapters.student_info(spark, d)).groupBy("id_student", "code_module").agg(F.max("target").alias("outcome"))
-    expanded = experiments.expand_scenarios(cohort(spark, d))
-    return expanded.join(passed, ["id_student", "code_module"]).select("uplift_scenario", "arm", "outcome")
+    observed = outcomes_by_scenario(adapters.student_info(spark, d))
+    return experiments.observed_outcomes(experiments.expand_scenarios(cohort(spark, d)), observed).select("uplift_scenario", "arm", "outcome")
 
 
 # ---- staging and events ----------------------------------------------------------------
@@ -404,13 +411,12 @@ def course_summary_distinct(spark, d):
 
 @query
 def course_summary_sql(spark, d):
-    return rounded(marts.course_summary(scores(spark, d), "sql"))
+    return rounded(marts.course_summary(joined_mart(spark, d), "sql"))
 
 
 @query
 def risk_weekly_mart(spark, d):
-    info = staging.stage_student_info(adapters.student_info(spark, d))
-    return rounded(marts.risk_weekly(scores(spark, d), panel_sql(spark, d), info))
+    return rounded(joined_mart(spark, d))
 
 
 @query
@@ -466,7 +472,7 @@ def risk_histogram(spark, d):
 
 @query
 def module_heatmap(spark, d):
-    return rounded(reports.module_heatmap(marts.course_summary(risk(spark, d), one_row_per_student=True), MODULES))
+    return rounded(reports.module_rates(marts.course_summary(risk(spark, d), one_row_per_student=True)))
 
 
 @query
@@ -503,8 +509,9 @@ def alert_timeline(spark, d):
 @query
 def quality_checks(spark, d):
     submissions, info, due = sources(spark, d)
-    mart = marts.risk_weekly(scores(spark, d), panel_sql(spark, d), info)
-    return quality.all_checks(info, submissions, due, mart, marts.course_summary(scores(spark, d), "sql"))
+    # stored once, as the SQL project does; the summary and the checks read it
+    mart = materialise(joined_mart(spark, d), "risk-weekly-mart")
+    return quality.all_checks(info, submissions, due, mart, marts.course_summary(mart, "sql"))
 
 
 @query
@@ -673,9 +680,9 @@ def train_mlp(spark, d):
 
 @query
 def train_gbt(spark, d):
-    """Boosted trees on the click study; 20 of the default 200 rounds, all rows."""
+    """Boosted trees on the click study, all rows and rounds."""
     rows = split.stratified_split(study(spark, d), "target", ["id_student", "code_presentation"])
-    model = models.train(rows.filter(F.col("side") == "train"), "gbt", CLICK_FEATURES, "target", trees=20)
+    model = models.train(rows.filter(F.col("side") == "train"), "gbt", CLICK_FEATURES, "target")
     return models.tree_importance(spark, model)
 
 

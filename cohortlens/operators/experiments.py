@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cohortlens.functions.columns import clip, digest, digest_uniform, erfc, uniform
+from cohortlens.functions.columns import clip, erfc, uniform
 from cohortlens.params import RunParams
 from cohortlens.session import checkpointed
 
@@ -39,6 +38,17 @@ def expand_scenarios(assigned: DataFrame, uplifts: Sequence[float] = RunParams.u
     )
 
 
+def observed_outcomes(targeted: DataFrame, outcomes: DataFrame, keys: Sequence[str] = ("id_student", "code_module")) -> DataFrame:
+    """Targeted students by scenario with the outcome observed in that scenario, null where none was.
+
+    ``outcomes`` has the keys, the scenario and 0/1 outcomes; several rows of one key and scenario count as
+    one, passed if one of them is.
+    """
+    on = [*keys, SCENARIO]
+    once = outcomes.groupBy(*on).agg(F.max("outcome").alias("outcome"))
+    return targeted.join(once, on, "left")
+
+
 def union_scenarios(frames: Sequence[DataFrame]) -> DataFrame:
     """Observed outcome tables of several scenarios as one table."""
     out = frames[0]
@@ -48,16 +58,21 @@ def union_scenarios(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def arm_rates(outcomes: DataFrame) -> DataFrame:
-    """Size, successes and rate of both arms per scenario, from arm and 0/1 outcome columns."""
+    """Size, successes and rate of both arms per scenario, from arm and 0/1 outcome columns.
+
+    Rows whose outcome is not known belong to no arm; ``without_outcome`` counts them.
+    """
 
     def count(arm: str, value: Column) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("arm") == arm, value)), F.lit(0)).cast("bigint")
+        known = (F.col("arm") == arm) & F.col("outcome").isNotNull()
+        return F.coalesce(F.sum(F.when(known, value)), F.lit(0)).cast("bigint")
 
     counted = outcomes.groupBy(SCENARIO).agg(
         count("control", F.lit(1)).alias("control_n"),
         count("control", F.col("outcome")).alias("control_success"),
         count("treatment", F.lit(1)).alias("treatment_n"),
         count("treatment", F.col("outcome")).alias("treatment_success"),
+        F.count_if(F.col("outcome").isNull()).alias("without_outcome"),
     )
     return counted.withColumns(
         {
@@ -79,31 +94,26 @@ def z_test(rates: DataFrame) -> DataFrame:
 
 
 def bootstrap_ci(
-    rates: DataFrame,
-    n_boot: int = RunParams.n_boot,
-    seed: int = RunParams.seed,
-    row_draws_up_to: int = 2000,
-    keep: Sequence[str] = (),
+    rates: DataFrame, n_boot: int = RunParams.n_boot, seed: int = RunParams.seed, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Percentile interval (2.5 %, 97.5 %) of the rate difference under resampling.
 
-    For 0/1 outcomes a resample of an arm depends on its size and successes only, so the
-    input is the rates, one row per scenario, and no data row is copied. Up to
-    ``row_draws_up_to`` rows per arm each draw is a hash number compared with the success
-    share, exactly drawing rows with replacement. Beyond it the number of successes is drawn
-    as a binomial, the same distribution at a cost that does not grow with the arms.
-    Columns of the scenario named in ``keep`` are passed on.
+    For 0/1 outcomes the successes of a resampled arm are binomial in its size and share, so the
+    input is the rates, one row per scenario, and no data row is copied. Each repeat draws both
+    arms by inverting the distribution at a hash number; the same way at every size. The cost
+    follows the square root of an arm (the support within 12 standard deviations; what lies outside is below
+    double precision) and not rows times repeats. Columns of the scenario named in ``keep`` are passed on.
     """
-    larger = F.greatest("control_n", "treatment_n")
     sizes = ["control_n", "control_success", "treatment_n", "treatment_success"]
     passed = [SCENARIO, *keep]
-    # one row per scenario, read by both ways
+    # one row per scenario, read by several branches
     small = checkpointed(rates.select(*dict.fromkeys([*passed, *sizes])))
-    reps = F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1)))
-    repeated = small.select(SCENARIO, *sizes, reps.alias("rep")).repartition(SCENARIO, "rep")
-    drawn = repeated.filter((F.col("control_n") > 0) & (F.col("treatment_n") > 0))
-    diffs = _row_draws(drawn.filter(larger <= F.lit(row_draws_up_to)), seed).unionByName(
-        _binomial_draws(drawn.filter(larger > F.lit(row_draws_up_to)), seed)
+    pair = F.array(*[F.struct(F.lit(arm).alias("arm"), F.col(f"{arm}_n").alias("n"), F.col(f"{arm}_success").alias("s")) for arm in ("control", "treatment")])
+    arms = small.filter((F.col("control_n") > 0) & (F.col("treatment_n") > 0)).select(SCENARIO, F.explode(pair).alias("_a")).select(SCENARIO, "_a.*")
+    drawn = _binomial_draws(arms, n_boot, seed)
+    share = F.col("drawn") / F.col("n")
+    diffs = drawn.groupBy(SCENARIO, "rep").agg(
+        (F.max(F.when(F.col("arm") == "treatment", share)) - F.max(F.when(F.col("arm") == "control", share))).alias("diff")
     )
     bounds = F.percentile("diff", F.array(F.lit(0.025), F.lit(0.975)))
     found = diffs.groupBy(SCENARIO).agg(bounds.alias("_ci"))
@@ -112,39 +122,34 @@ def bootstrap_ci(
     )
 
 
-def _row_draws(repeated: DataFrame, seed: int) -> DataFrame:
-    """Draw by draw; one digest serves four draws."""
-    blocks = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("control_n") + F.col("treatment_n") - 1) / 4)))
-    draws = repeated.withColumn("block", blocks).withColumn("digits", digest(seed, F.col("rep"), F.col("block")))
+def _binomial_draws(arms: DataFrame, n_boot: int, seed: int) -> DataFrame:
+    """``drawn`` successes for every repeat of every arm (scenario, arm, n, s).
 
-    def hits(first: Column, n: str, successes: str) -> Column:
-        """Successes among the four draws of a block that fall to one arm, ``first`` being its first draw."""
-        total = F.lit(0)
-        for part in range(4):
-            place = F.col("block") * 4 + part - first
-            hit = F.floor(digest_uniform(F.col("digits"), part) * F.col(n)) < F.col(successes)
-            total = total + ((place >= 0) & (place < F.col(n)) & hit).cast("int")
-        return F.sum(total)
-
-    summed = draws.groupBy(SCENARIO, "rep", "control_n", "treatment_n").agg(
-        hits(F.lit(0), "control_n", "control_success").alias("c"),
-        hits(F.col("control_n"), "treatment_n", "treatment_success").alias("t"),
+    The distribution function over the support and the hash numbers are put in one order; a number takes the
+    first count whose share of the distribution reaches it.
+    """
+    p = F.col("s") / F.col("n")
+    mean, reach = F.col("n") * p, 12 * F.sqrt(F.col("n") * p * (1 - p)) + 20
+    low = F.greatest(F.lit(0), F.floor(mean - reach)).cast("bigint")
+    high = F.least(F.col("n"), F.ceil(mean + reach)).cast("bigint")
+    certain = (F.col("s") == 0) | (F.col("s") == F.col("n"))
+    support = arms.filter(~certain).withColumn("low", low).withColumn("k", F.explode(F.sequence("low", high)))
+    step = F.when(F.col("k") > F.col("low"), F.ln((F.col("n") - F.col("k") + 1) / F.col("k") * p / (1 - p))).otherwise(0.0)
+    arm = W.partitionBy(SCENARIO, "arm")
+    upward = arm.orderBy("k").rowsBetween(W.unboundedPreceding, 0)
+    logs = support.withColumn("_log", F.sum(step).over(upward))
+    mass = logs.withColumn("_mass", F.exp(F.col("_log") - F.max("_log").over(arm)))
+    share = mass.withColumn("x", F.sum("_mass").over(upward) / F.sum("_mass").over(arm))
+    reps = arms.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))))
+    numbers = reps.withColumn("x", uniform(seed, F.col("rep"), F.col("arm")))
+    nothing = F.lit(None)
+    points = share.select(SCENARIO, "arm", "n", "s", "low", "x", "k", nothing.cast("int").alias("rep")).unionByName(
+        numbers.select(SCENARIO, "arm", "n", "s", nothing.cast("bigint").alias("low"), "x", nothing.cast("bigint").alias("k"), "rep")
     )
-    return summed.select(SCENARIO, (F.try_divide("t", "treatment_n") - F.try_divide("c", "control_n")).alias("diff"))
-
-
-def _binomial_draws(repeated: DataFrame, seed: int) -> DataFrame:
-    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = np.empty(len(batch))
-            for i, row in enumerate(batch.itertuples(index=False)):
-                rng = np.random.default_rng([seed, row.rep])
-                c = rng.binomial(row.control_n, row.control_success / row.control_n) / row.control_n
-                t = rng.binomial(row.treatment_n, row.treatment_success / row.treatment_n) / row.treatment_n
-                out[i] = t - c
-            yield pd.DataFrame({SCENARIO: batch[SCENARIO], "diff": out})
-
-    return repeated.mapInPandas(draw, f"{SCENARIO} double, diff double")
+    before = arm.orderBy("x", F.col("rep").isNull()).rowsBetween(W.unboundedPreceding, 0)
+    placed = points.withColumn("_below", F.max("k").over(before)).withColumn("_low", F.max("low").over(arm))
+    drawn = F.when(certain, F.col("s")).otherwise(F.coalesce(F.col("_below") + 1, F.col("_low")))
+    return placed.filter(F.col("rep").isNotNull()).select(SCENARIO, "arm", "n", "rep", drawn.alias("drawn"))
 
 
 def experiment_readout(outcomes: DataFrame, run_ts: str, params: RunParams = RunParams()) -> DataFrame:

@@ -41,9 +41,14 @@ def top_courses(summary: DataFrame, n: int = 3) -> DataFrame:
     return summary.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= n)
 
 
-def module_heatmap(summary: DataFrame, modules: Sequence[str]) -> DataFrame:
-    """High-risk share by week (rows) and module (columns)."""
-    return summary.groupBy("week").pivot("code_module", list(modules)).agg(F.avg("high_risk_rate"))
+def module_heatmap(summary: DataFrame, modules: Sequence[str] | None = None) -> DataFrame:
+    """High-risk share by week (rows) and module (columns): all modules there are, or those asked for."""
+    return summary.groupBy("week").pivot("code_module", list(modules) if modules is not None else None).agg(F.avg("high_risk_rate"))
+
+
+def module_rates(summary: DataFrame) -> DataFrame:
+    """The cells of the heatmap as rows: week, module, high-risk share. No list of modules is needed."""
+    return summary.groupBy("week", "code_module").agg(F.avg("high_risk_rate").alias("high_risk_rate"))
 
 
 def risk_trend(mart: DataFrame) -> DataFrame:
@@ -78,9 +83,9 @@ def rows_per_week(mart: DataFrame, n: int = 20) -> DataFrame:
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """Rows and share per value; the total comes from the same small frame."""
+    """Rows and share per value; the total is one number."""
     counts = df.groupBy(column).agg(F.count("*").alias("rows"))
-    return counts.withColumn("share", F.col("rows") / F.sum("rows").over(W.partitionBy()))
+    return counts.withColumn("share", F.col("rows") / df.agg(F.count("*").alias("n")).scalar())
 
 
 def unpivot(df: DataFrame, columns: Sequence[str]) -> DataFrame:

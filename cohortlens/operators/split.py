@@ -95,8 +95,8 @@ def stratified_split(
         .filter((F.col("_reach") >= F.col("_test")) & (F.col("_reach") - F.col("_n") < F.col("_test")))
         .select(label, F.col("_bucket").alias("_cut"), (F.col("_test") - F.col("_reach") + F.col("_n")).alias("_take"))
     )
-    # one row per class, so the broadcast is bounded by the number of classes
-    joined = placed.join(F.broadcast(cut), label, "left")
+    # one row per class; Spark broadcasts it by its measured size
+    joined = placed.join(cut, label, "left")
     below = F.when(F.col("_bucket") < F.col("_cut"), F.lit("test")).otherwise(F.lit("train"))
     decided = joined.filter(F.col("_cut").isNull() | (F.col("_bucket") != F.col("_cut"))).withColumn("side", below)
     ranked = W.partitionBy(label).orderBy("_u", *keys)

@@ -43,7 +43,7 @@ def run_daily(
 ) -> dict[str, DataFrame]:
     """Run all steps into folders below ``out``; ``out`` must be reachable by all executors.
 
-    ``outcomes`` holds observed 0/1 outcomes per student and module. Without it the
+    ``outcomes`` holds observed 0/1 outcomes per student, module and uplift_scenario. Without it the
     experiment is not read out, since outcomes are never invented.
     """
     run_date = run_ts[:10]
@@ -78,8 +78,7 @@ def run_daily(
     )
 
     if model.name == "logistic":
-        sample = split.seeded_sample(train_rows, 200, PANEL_KEY, params.seed)
-        importance, value = explain.linear_contributions(sample, model.linear()), "mean_abs_contribution"
+        importance, value = explain.linear_contributions(train_rows, model.linear()), "mean_abs_contribution"
     else:
         importance = explain.permutation_importance(train_rows, model, MODEL_LABEL, PANEL_KEY, seed=params.seed)
         value = "importance"
@@ -116,7 +115,7 @@ def run_daily(
     results["assignment"] = cohort
     readout = None
     if outcomes is not None:
-        observed = cohort.join(outcomes.select("id_student", "code_module", "outcome"), ["id_student", "code_module"])
+        observed = experiments.observed_outcomes(cohort, outcomes)
         readout = _stored(experiments.experiment_readout(observed, run_ts, params), f"{out}/experiment_readout")
         writers.append_rows(readout, f"{out}/experiment_results")
         results["experiment"] = readout

@@ -30,7 +30,7 @@ def student_vle(spark: SparkSession, folder: str) -> DataFrame:
     """Clicks: one row per event."""
     modules = " ".join(f"WHEN '{kind}' THEN '{module}'" for kind, module in MODULE_OF_TYPE.items())
     return driver_table(spark, folder, "events").selectExpr(
-        f"CASE event_type {modules} END AS code_module",
+        f"CASE event_type {modules} ELSE 'OTHER' END AS code_module",
         "IF(event_id % 2 = 0, '2024B', '2024J') AS code_presentation",
         "user_id AS id_student",
         "event_id % 20 AS id_site",

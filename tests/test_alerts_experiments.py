@@ -78,16 +78,30 @@ def test_empty_arm_gives_null(spark):
     assert row.p_value is None and row.treatment_rate is None
 
 
-def test_bootstrap_ways_agree_and_are_repeatable(spark):
-    rates = counts(spark, (0.05, 30, 200, 60, 220))
-    row_draws = experiments.bootstrap_ci(rates, 2000).first()
-    binomial = experiments.bootstrap_ci(rates, 2000, row_draws_up_to=0).first()
-    se = math.sqrt(0.15 * 0.85 / 200 + (60 / 220) * (160 / 220) / 220)
-    for r in (row_draws, binomial):
-        assert r.ci_low == pytest.approx(60 / 220 - 0.15 - 1.96 * se, abs=0.012)
-        assert r.ci_high == pytest.approx(60 / 220 - 0.15 + 1.96 * se, abs=0.012)
-    assert experiments.bootstrap_ci(rates.repartition(3), 2000).first() == row_draws
-    assert experiments.bootstrap_ci(rates, 2000, row_draws_up_to=0).first() == binomial
+@pytest.mark.parametrize("size", [1, 10, 1000, 1_000_000])
+def test_bootstrap_has_one_way_at_every_size(spark, size):
+    """Near the normal interval below and above any row count, repeatable, without Python in the plan."""
+    n, m = 200 * size, 220 * size
+    rates = spark.createDataFrame([(0.05, n, 30 * size, m, 60 * size)], "uplift_scenario double, control_n long, control_success long, treatment_n long, treatment_success long")
+    found = experiments.bootstrap_ci(rates, 2000)
+    r = found.first()
+    se = math.sqrt(0.15 * 0.85 / n + (60 / 220) * (160 / 220) / m)
+    assert r.ci_low == pytest.approx(60 / 220 - 0.15 - 1.96 * se, abs=0.25 * se + 0.6 / n)
+    assert r.ci_high == pytest.approx(60 / 220 - 0.15 + 1.96 * se, abs=0.25 * se + 0.6 / n)
+    assert experiments.bootstrap_ci(rates.repartition(3), 2000).first() == r
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bootstrap_of_certain_arms(spark):
+    sure = experiments.bootstrap_ci(counts(spark, (0.1, 0, 50, 40, 40), (0.2, 5, 5, 0, 9)), 200).orderBy("uplift_scenario").collect()
+    assert [(r.ci_low, r.ci_high) for r in sure] == [(1.0, 1.0), (-1.0, -1.0)]
+
+
+def test_outcomes_belong_to_their_scenario_and_may_be_missing(spark):
+    targeted = spark.createDataFrame([(k, "A", u, "control" if k % 2 else "treatment") for k in range(4) for u in (0.03, 0.05)], "id_student long, code_module string, uplift_scenario double, arm string")
+    seen = spark.createDataFrame([(k, "A", u, int(u == 0.05)) for k in range(3) for u in (0.03, 0.05)] + [(0, "A", 0.03, 1)], "id_student long, code_module string, uplift_scenario double, outcome int")
+    got = {r.uplift_scenario: r for r in experiments.arm_rates(experiments.observed_outcomes(targeted, seen)).collect()}
+    assert [(r.control_n, r.control_success, r.treatment_n, r.treatment_success, r.without_outcome) for r in (got[0.03], got[0.05])] == [(1, 0, 2, 1, 1), (1, 1, 2, 2, 1)]
 
 
 def test_arms_are_stable_and_about_even(spark):
@@ -124,3 +138,10 @@ def test_grid_takes_the_5_percent_difference(spark):
 def test_union_of_scenarios(spark):
     frames = [spark.range(2).withColumn("uplift_scenario", F.lit(u)) for u in (0.03, 0.05)]
     assert experiments.union_scenarios(frames).count() == 4
+
+
+def test_sixth_module_is_in_the_heatmap(spark):
+    summary = spark.createDataFrame([(1, m, 0.5) for m in "ABCDEF"], "week int, code_module string, high_risk_rate double")
+    from cohortlens.operators import reports
+
+    assert reports.module_heatmap(summary).columns == ["week", *"ABCDEF"]

@@ -125,6 +125,7 @@ def inputs(spark):
 def test_daily_run(spark, inputs, tmp_path):
     params = RunParams(split_week=2, n_boot=200)
     passed = clicks.with_outcome(inputs[1]).groupBy("id_student", "code_module").agg(F.max("target").alias("outcome"))
+    passed = passed.withColumn("uplift_scenario", F.explode(F.array(*[F.lit(u) for u in params.uplifts])))
     out = str(tmp_path / "run")
     got = daily.run_daily(spark, *inputs, out=out, run_ts=TS, run_id="r1", params=params, outcomes=passed)
     for name in ("metrics", "top_features", "predictions_latest", "student_risk_daily", "course_summary_daily", "student_risk_scores", "alert_log", "assignment_latest", "experiment_results", "roi_sensitivity", "run_summary", "model_metadata"):
