@@ -335,6 +335,7 @@ oracle("top_k_at_risk", TOP, "risk_score")
 oracle("top_ids", f"select cast(id_student as varchar) as id_student from (select * from snap {BY_RISK} limit 10)")
 oracle("run_day_top", f"select * from risk_runs where run_date = date '{RUN_DATE}' {BY_RISK} limit 100", RISK_DOUBLES)
 oracle("course_ranking", "select run_date, code_module, student_count, avg_risk_score, high_risk_rate from summary", SUMMARY_DOUBLES)
+oracle("course_order_by_week", "select * from summary", SUMMARY_DOUBLES)
 oracle(
     "top_courses",
     """select * from (select *, cast(row_number() over (partition by run_date, week order by high_risk_rate desc, code_module) as integer) as place
@@ -660,6 +661,9 @@ SAMPLE = f"select *, {uniform(42, 'id_student', 'code_module', 'week')} as u fro
 oracle("linear_contributions", contributions(MODEL_ROWS), "mean_abs_contribution")
 oracle("top_features", f"select * from ({contributions(SAMPLE)}) order by mean_abs_contribution desc, feature limit 5", "mean_abs_contribution")
 
+oracle("top_feature_map", f"select * from ({contributions(SAMPLE)}) order by mean_abs_contribution desc, feature limit 5", "mean_abs_contribution")
+oracle("model_save", f"select count(*) as rows, cast(0 as bigint) as different from ({MODEL_ROWS}) where week < {SPLIT_WEEK}")
+
 # ---- sources and sinks -------------------------------------------------------------------------
 
 oracle("csv_scan", "select * from panel", PANEL_DOUBLES, events_default=EVENTS_RAW)
@@ -678,8 +682,11 @@ oracle("append_sink", RUN_COUNTS.format("(select * from risk_runs union all sele
 oracle("partition_overwrite_sink", RUN_COUNTS.format("risk_runs"))
 oracle(
     "mart_csv_sample",
-    "select id_student, code_module, week, risk_score from risk order by week, risk_score desc, id_student, code_module limit 500",
-    "risk_score",
+    "select * from risk order by week, risk_score desc, id_student, code_module limit 500",
+    RISK_DOUBLES,
 )
+oracle("assignment_csv", SCENARIOS, "risk_score, base_pass_prob, uplift_scenario, sim_pass_prob")
+oracle("roi_csv", roi(COHORT), ROI_DOUBLES)
+oracle("sql_chain_summary", "select * from summary_sql", "avg_risk_score")
 oracle("snapshot_csv", "select id_student, code_module, week, risk_score from snap", "risk_score")
 oracle("artifact_manifest", "select 'run-1' as run_id, cast(2 as bigint) as files, true as all_filled")

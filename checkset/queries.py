@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from cohortlens.functions.columns import percent_text
 from cohortlens.operators import alerts, clicks, evaluation, events, experiments, explain, marts, models, quality, reports, scoring, split, staging, weekly
 from cohortlens.params import RunParams
+from cohortlens.plans import sql_chain
 from cohortlens.schemas import CLICK_FEATURES, MODEL_FEATURES, MODEL_LABEL, STUDENT_VLE
 from cohortlens.session import materialise, scratch_path
 from cohortlens.sources import adapters, readers, writers
@@ -450,6 +451,11 @@ def course_ranking(spark, d):
     return rounded(reports.course_ranking(summary(spark, d)))
 
 
+@query
+def course_order_by_week(spark, d):
+    return rounded(reports.weekly_course_order(summary(spark, d)))
+
+
 @query
 def top_courses(spark, d):
     return rounded(reports.top_courses(summary(spark, d)))
@@ -663,6 +669,14 @@ def top_features(spark, d):
     return rounded(explain.top_features(rows, "mean_abs_contribution", 5))
 
 
+@query
+def top_feature_map(spark, d):
+    """The top features as one map, opened again."""
+    rows = explain.linear_contributions(split.seeded_sample(split.model_rows(panel(spark, d)), 200, PANEL_KEY), SCORER)
+    as_map = explain.feature_map(explain.top_features(rows, "mean_abs_contribution", 5), "mean_abs_contribution")
+    return rounded(as_map.select(F.explode("top_features").alias("feature", "mean_abs_contribution")))
+
+
 # ---- training (rows only) ----------------------------------------------------------------
 
 
@@ -737,6 +751,24 @@ def raw_landing(spark, d):
     return rounded(weekly.weekly_panel_from_sources(*staged, dialect="sql"))
 
 
+@query
+def sql_chain_summary(spark, d):
+    """Raw text tables, typed views and mart tables by name; the course summary as stored. The namespaces are this run's own."""
+    run = uuid.uuid4().hex
+    raw, ml, mart = (f"{kind}_{run}" for kind in ("raw", "ml", "mart"))
+    for namespace in (raw, ml, mart):
+        spark.sql(f"CREATE DATABASE `{namespace}` LOCATION '{scratch_path(spark, namespace)}'")
+    tables = {
+        "student_info": adapters.student_info(spark, d),
+        "student_assessment": adapters.student_assessment(spark, d),
+        "assessments": adapters.assessments(spark, d),
+    }
+    writers.land_raw(tables, raw)
+    scores(spark, d).write.saveAsTable(f"`{ml}`.student_risk_scores")
+    views = sql_chain.stage_views(spark, raw, ml)
+    return rounded(sql_chain.build_mart_tables(spark, views, mart)["mart_course_summary_weekly"])
+
+
 @query
 def column_evolution(spark, d):
     """A summary table from before it had weeks gains the column; old rows read as null."""
@@ -793,7 +825,28 @@ def partition_overwrite_sink(spark, d):
 def mart_csv_sample(spark, d):
     path = scratch_path(spark, "risk-sample")
     writers.write_small_csv(scoring.scored_order(risk(spark, d)).limit(500), path)
-    return rounded(readers.read_csv_table(spark, path, "id_student BIGINT, code_module STRING, week INT, risk_score DOUBLE"))
+    schema = "run_date DATE, id_student BIGINT, code_module STRING, week INT, risk_score DOUBLE, high_risk_flag INT, weekly_score_mean DOUBLE, cum_submissions DOUBLE"
+    return rounded(readers.read_csv_table(spark, path, schema))
+
+
+@query
+def assignment_csv(spark, d):
+    """The scenario table as CSV, read back."""
+    path = scratch_path(spark, "assignment")
+    writers.write_small_csv(experiments.expand_scenarios(cohort(spark, d)), path)
+    schema = "id_student BIGINT, code_module STRING, week INT, risk_score DOUBLE, arm STRING, base_pass_prob DOUBLE, uplift_scenario DOUBLE, sim_pass_prob DOUBLE"
+    return rounded(readers.read_csv_table(spark, path, schema))
+
+
+@query
+def roi_csv(spark, d):
+    """The grid as CSV, read back."""
+    path = scratch_path(spark, "roi")
+    writers.write_small_csv(experiments.roi_grid(cohort(spark, d)), path)
+    schema = (
+        "top_k_students BIGINT, uplift_assumption DOUBLE, cost_per_student INT, value_per_pass DOUBLE, incremental_passes DOUBLE, roi DOUBLE"
+    )
+    return rounded(readers.read_csv_table(spark, path, schema))
 
 
 @query

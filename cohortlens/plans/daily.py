@@ -95,13 +95,13 @@ def run_daily(
     summary = marts.course_summary(risk, one_row_per_student=True)
     writers.replace_partitions(summary, f"{out}/course_summary_daily")
     history = marts.score_history(risk, run_ts, model.name, params.risk_threshold, params.model_version)
-    writers.append_rows(history, f"{out}/student_risk_scores")
+    writers.replace_partitions(history, f"{out}/student_risk_scores")
     writers.write_small_csv(scoring.scored_order(risk).limit(500), f"{out}/student_risk_sample")
     writers.write_csv(summary, f"{out}/course_summary_csv")
     results |= {"student_risk": risk, "course_summary": summary, "score_history": history}
 
     alert = alerts.alert_row(snap, panel, run_ts, params)
-    writers.append_rows(alert, f"{out}/alert_log")
+    writers.replace_partitions(alert, f"{out}/alert_log", "run_ts")
     results["alert"] = alert
 
     top_rows = scoring.top_k(snap, params.top_k)
@@ -117,7 +117,7 @@ def run_daily(
     if outcomes is not None:
         observed = experiments.observed_outcomes(cohort, outcomes)
         readout = _stored(experiments.experiment_readout(observed, run_ts, params), f"{out}/experiment_readout")
-        writers.append_rows(readout, f"{out}/experiment_results")
+        writers.replace_partitions(readout, f"{out}/experiment_results", "run_ts")
         results["experiment"] = readout
     grid = _stored(experiments.roi_grid(top_rows, params, reference=readout), f"{out}/roi_table")
     writers.write_small_csv(grid, f"{out}/roi_sensitivity")
@@ -129,6 +129,6 @@ def run_daily(
     listed = [*REPORTS, "experiment_results"] if readout is not None else REPORTS
     manifest = writers.artifact_manifest(spark, [f"{out}/{name}" for name in listed], run_id, "part-*")
     document = writers.manifest_document(manifest, run_id, run_ts, model.name, out)
-    writers.append_rows(document, f"{out}_manifests")
+    writers.replace_partitions(document, f"{out}_manifests", "run_id")
     results["manifest"] = spark.read.schema(document.schema).parquet(f"{out}_manifests").filter(F.col("run_id") == run_id)
     return results

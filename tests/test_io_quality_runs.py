@@ -142,10 +142,14 @@ def test_daily_run(spark, inputs, tmp_path):
     assert document.run_id == "r1" and document.model_backend == "logistic" and len(document.artifacts) >= 9
     meta = json.loads(next((Path(out) / "model_metadata").glob("part-*")).read_text())
     assert meta["split_week"] == 2 and meta["train_rows"] + meta["test_rows"] == got["weekly_panel"].count()
-    # a rerun of the same day replaces the marts and extends the logs
-    daily.run_daily(spark, *inputs, out=out, run_ts=TS, run_id="r2", params=params)
-    assert spark.read.parquet(f"{out}/student_risk_daily").count() == risk_rows
-    assert spark.read.parquet(f"{out}/alert_log").count() == 2
+    # a rerun of the same time replaces marts, history, logs and manifest; a later run extends the logs
+    kept = ["student_risk_daily", "student_risk_scores", "alert_log", "experiment_results"]
+    before = {name: spark.read.parquet(f"{out}/{name}").count() for name in kept}
+    daily.run_daily(spark, *inputs, out=out, run_ts=TS, run_id="r1", params=params, outcomes=passed)
+    assert {name: spark.read.parquet(f"{out}/{name}").count() for name in kept} == before
+    assert spark.read.parquet(f"{out}_manifests").count() == 1
+    daily.run_daily(spark, *inputs, out=out, run_ts="2024-03-01 06:30:15", run_id="r2", params=params)
+    assert spark.read.parquet(f"{out}/alert_log").count() == 2 and spark.read.parquet(f"{out}_manifests").count() == 2
 
 
 def test_daily_run_with_another_model(spark, inputs, tmp_path):
