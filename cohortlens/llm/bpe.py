@@ -36,12 +36,12 @@ from pyspark.sql import functions as F
 from .common import map_arrow, per_row, text_or_empty
 
 #: Pairs of tokens whose fit is remembered in a task.
-FIT_ENTRIES = 400_000
+FIT_ENTRIES = 200_000
 #: Symbols of a word after which the transducer's state is shared between words.
 SHARED = 6
 #: Entries of a half of the cache of words; longer words are not kept. The cache stays with the Python
 #: worker, so that a worker's next task finds the words of the one before.
-WORD_ENTRIES, CACHE_CHARS = 300_000, 64
+WORD_ENTRIES, CACHE_CHARS = 150_000, 64
 
 # Fixed values of the format: white space of its patterns, and the bytes that stand for themselves.
 SPACE = r"[\t-\r \x85\xa0  -     　]"
@@ -213,7 +213,7 @@ class Transducer:
             last, begin = [-1], [0]
             for k in range(1, SHARED + 1):
                 self._step(symbols[:k], last, begin)
-            if len(self._begun) >= FIT_ENTRIES:
+            if len(self._begun) >= FIT_ENTRIES // 4:
                 self._begun.clear()
             state = self._begun[key] = (last, begin)
         last, begin = state[0][:], state[1][:]

@@ -35,6 +35,8 @@ from .common import map_arrow, text_or_empty
 
 TRAIN_ROWS, FEATURES, GRADES = 20_000, 4_000, 4
 PREFIXES = (4, 5, 6, 7)
+#: words, or features, that a task keeps in memory before it starts anew
+KNOWN_WORDS = 60_000
 OFTEN = 100
 MIN_DOCS = 5
 #: a document is rejected when P(grade > 0) reaches this; clean held-out documents stay below 0.25
@@ -73,7 +75,7 @@ class Model:
 
         def of(word: str) -> tuple[str, ...]:
             found = tuple(f for f in word_features(word) if f in known)
-            if len(touches) >= 300_000:
+            if len(touches) >= KNOWN_WORDS:
                 touches.clear()
             touches[word] = found
             return found
@@ -161,7 +163,7 @@ def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
             for f in [*features(text), ""]:
                 counts.setdefault(f, [0, 0])[toxic] += 1
-        if len(counts) > 200_000:
+        if len(counts) > KNOWN_WORDS:
             yield out()
             counts = {}
     yield out()
