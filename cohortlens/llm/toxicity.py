@@ -91,7 +91,7 @@ class Model:
                     counts[f] = counts.get(f, 0) + 1
             least = max(2, len(words) / OFTEN)
             margin = sum([plain.get(f, 0.0) + (often.get(f, 0.0) if n >= least else 0.0) for f, n in counts.items()])
-            above = 1 / (1 + np.exp(np.clip(cuts - margin, -700, 700)))
+            above = np.isfinite(cuts) / (1 + np.exp(np.clip(cuts - margin, -700, 700)))
             return float(above.sum()), float(above[0])
 
         return one
