@@ -366,8 +366,8 @@ def digests(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_
     return map_arrow(rows, per_row(_digester(vocabulary_path), fields, ["doc_id"]), schema)
 
 
-def tokenise(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, ``token_ids``, ``n_tokens`` and the text ``decoded`` from them."""
+def tokenise(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """One row per row of ``docs``: id, the columns ``keep``, ``token_ids``, ``n_tokens`` and the text ``decoded`` from them."""
 
     def make() -> Callable[[str], tuple]:
         encoder = encoder_of(vocabulary_path)
@@ -387,6 +387,7 @@ def tokenise(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text
 
         return one
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *keep, text_or_empty(text_col).alias("text"))
+    kept = "".join(f"{c} {rows.schema[c].dataType.simpleString()}, " for c in keep)
     fields = [("token_ids", pa.list_(pa.int32())), ("n_tokens", pa.int64()), ("decoded", pa.string())]
-    return map_arrow(rows, per_row(make, fields, ["doc_id"]), "doc_id long, token_ids array<int>, n_tokens long, decoded string")
+    return map_arrow(rows, per_row(make, fields, ["doc_id", *keep]), f"doc_id long, {kept}token_ids array<int>, n_tokens long, decoded string")

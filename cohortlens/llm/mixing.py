@@ -2,8 +2,11 @@
 
 ``cells`` sums tokens by source, language and topic; ``rake`` scales the cells' weights until their sums by
 source, by language and by topic meet the targets; ``mix`` gives every document its cell's factor (calibrated weight over
-natural weight) and samples documents with probability ``min(1, rate * factor)`` by a hash of the identifier, so that
-reruns and retries choose the same documents.
+natural weight) and samples documents by a hash of the identifier, so that reruns and retries choose the same documents.
+
+The sample (``copies``, ``counted``, ``sampled``) has ``floor(rate * factor)`` copies of a document and one more with the fraction
+that is left as probability: the expected tokens of every cell are ``rate`` times its weight, also where the factor is above 1.
+``mix`` keeps the columns of its SQL, probability ``min(1, rate * factor)``: whether a document is in the sample, not how often.
 
 Targets: for each margin either an exponent (target share in proportion to ``natural share ** exponent``; 1 keeps the
 natural shares, 0 makes them equal) or a dict of shares by value, where values that are not named get none.
@@ -98,7 +101,7 @@ def uniform(identifier: Column, seed: str) -> Column:
 
 
 def weighted(docs: DataFrame, targets: dict | None = None, rounds: int = ROUNDS, rate: float = RATE, seed: str = SEED, id_col: str = "doc_id", text_col: str = "text", topic: Column | None = None) -> DataFrame:
-    """The rows of ``docs`` with ``_source``, ``_lang``, ``_topic``, ``_tokens``, ``_factor``, ``_probability``, ``_sampled``."""
+    """The rows of ``docs`` with ``_source``, ``_lang``, ``_topic``, ``_tokens``, ``_factor``, ``_probability``, ``_sampled``, ``_copies``."""
     factors = rake(cells(docs, text_col, topic), targets, rounds).select([F.col(m).alias(f"c_{m}") for m in MARGINS] + [F.col("factor").alias("_factor")])
     rows = docs.select("*", *described(docs, text_col, topic))
     # every document has its cell; equality of nulls included
@@ -106,8 +109,10 @@ def weighted(docs: DataFrame, targets: dict | None = None, rounds: int = ROUNDS,
     for m in MARGINS:
         on = on & F.col(f"_{m}").eqNullSafe(F.col(f"c_{m}"))
     joined = rows.join(factors, on).drop(*[f"c_{m}" for m in MARGINS])
-    joined = joined.withColumn("_probability", F.least(F.lit(1.0), F.lit(float(rate)) * F.col("_factor")))
-    return joined.withColumn("_sampled", uniform(F.col(id_col), seed) < F.col("_probability"))
+    wanted, draw = F.lit(float(rate)) * F.col("_factor"), uniform(F.col(id_col), seed)
+    joined = joined.withColumn("_probability", F.least(F.lit(1.0), wanted))
+    joined = joined.withColumn("_sampled", draw < F.col("_probability"))
+    return joined.withColumn("_copies", F.floor(wanted) + (draw < wanted - F.floor(wanted)).cast("long"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -126,6 +131,27 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     )
 
 
+def copies(docs: DataFrame, **options) -> DataFrame:
+    """One row per document: doc_id, source, lang, topic, n_tokens, factor (not rounded), n_copies (how often the sample has it)."""
+    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
+    out = weighted(docs.select(id_col, text_col, "source", "lang"), **options)
+    return out.select(
+        F.col(id_col).alias("doc_id"),
+        F.col("_source").alias("source"),
+        F.col("_lang").alias("lang"),
+        F.col("_topic").alias("topic"),
+        F.col("_tokens").alias("n_tokens"),
+        F.col("_factor").alias("factor"),
+        F.col("_copies").alias("n_copies"),
+    )
+
+
+def counted(docs: DataFrame, **options) -> DataFrame:
+    """The documents of the sample once each, with the columns they came with and ``n_copies``."""
+    return weighted(docs, **options).where("_copies > 0").select(*docs.columns, F.col("_copies").alias("n_copies"))
+
+
 def sampled(docs: DataFrame, **options) -> DataFrame:
-    """The sampled documents, with the columns they came with."""
-    return weighted(docs, **options).where("_sampled").select(docs.columns)
+    """The sample, each document as often as it has copies, with the columns they came with."""
+    chosen = weighted(docs, **options).where("_copies > 0")
+    return chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(docs.columns)

@@ -52,12 +52,16 @@ def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read_table(spark, folder, "documents"))
 
 
+def source_mixing_copies(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.copies(read_table(spark, folder, "documents"))
+
+
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(read_table(spark, folder, "documents"), tokenizer_file())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_html_text, op3_toxicity, op4_secret_scan, op5_line_dedup, op6_lattice_dedup, op7_jaccard_join, op8_exact_dedup, op9_source_mixing, op10_bpe)
+    f.__name__: f for f in (op1_suffix_dedup, op2_html_text, op3_toxicity, op4_secret_scan, op5_line_dedup, op6_lattice_dedup, op7_jaccard_join, op8_exact_dedup, op9_source_mixing, source_mixing_copies, op10_bpe)
 }
 
 

@@ -1,7 +1,8 @@
 """A training corpus from raw documents: five stages, each written and read again.
 
 Every stage takes (spark, docs, sf_dir) and works on all documents that the stage before it kept; its decisions take effect.
-All but the last return the columns of ``documents``; the last returns doc_id, token_ids, n_tokens and the decoded text.
+The first three return the columns of ``documents``, mixing adds ``n_copies``: how often the mixed corpus has the document. The last
+returns doc_id, n_copies, token_ids, n_tokens (of one copy) and the decoded text.
 """
 
 from __future__ import annotations
@@ -38,13 +39,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are sampled with the probabilities of their source, language and topic."""
-    return mixing.sampled(docs)
+    """Documents get as many copies as the weights of their source, language and topic ask for; those without any go."""
+    return mixing.counted(docs)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, and the text decoded from them."""
-    return bpe.tokenise(docs, tokenizer_file())
+    return bpe.tokenise(docs, tokenizer_file(), keep=["n_copies"])
 
 
 STAGES: list[tuple[str, Stage]] = [
