@@ -33,7 +33,7 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return lines.report(read_table(spark, folder, "documents"))
+    return lines.report(read_table(spark, folder, "documents"), short=True)
 
 
 def op6_lattice_dedup(spark: SparkSession, folder: str) -> DataFrame:
