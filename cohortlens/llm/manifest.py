@@ -32,6 +32,9 @@ ARITY, STRIDE = 8, 3
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 #: characters of a digest
 HEX = 64
+PATH = "array<struct<slot: int, others: string>>"
+#: nodes under a node, and levels from one stored level to the next
+Shape = tuple[int, int]
 
 
 def leaf_digest(values: Sequence[Column]) -> Column:
@@ -53,22 +56,25 @@ class Manifest:
     subroots: DataFrame
     top: list[DataFrame]
     root: DataFrame
+    shape: Shape
 
 
-def _folded(frame: DataFrame, level: int) -> DataFrame:
-    """Add ``runs0 ..``: the joined digests of each run of the subtree's levels, and ``up``: the node above them all.
+def _folded(frame: DataFrame, k: int, shape: Shape) -> DataFrame:
+    """For stored level ``k``, add ``runs0 ..``: the joined digests of each run of the subtree's levels, and ``up``: the node above them all.
 
     The tree of a group may end within the stride; levels above its subroot have no runs.
     """
+    arity, stride = shape
     out = frame.withColumn("_at", F.expr("transform(nodes, n -> n.digest)"))
-    for k in range(STRIDE):
-        runs = f"transform(sequence(0, (size(_at) - 1) div {ARITY}), r -> array_join(slice(_at, r * {ARITY} + 1, {ARITY}), ''))"
-        out = out.withColumn(f"runs{k}", F.expr(f"IF(height > {level + k}, {runs}, cast(array() AS array<string>))"))
-        out = out.withColumn("_at", F.expr(f"IF(height > {level + k}, transform(runs{k}, s -> sha2(cast(s AS binary), 256)), _at)"))
+    for j in range(stride):
+        more = f"height > {stride * k + j}"
+        runs = f"transform(sequence(0, (size(_at) - 1) div {arity}), r -> array_join(slice(_at, r * {arity} + 1, {arity}), ''))"
+        out = out.withColumn(f"runs{j}", F.expr(f"IF({more}, {runs}, cast(array() AS array<string>))"))
+        out = out.withColumn("_at", F.expr(f"IF({more}, transform(runs{j}, s -> sha2(cast(s AS binary), 256)), _at)"))
     return out.withColumn("up", F.element_at("_at", 1)).drop("_at")
 
 
-def _placed(leaves: DataFrame, order: Sequence[str]) -> DataFrame:
+def _placed(leaves: DataFrame, order: Sequence[str], arity: int) -> DataFrame:
     """Leaves with ``place`` (0-based, by ``order`` within ``grp``) and the ``height`` of their group's tree."""
     number = F.monotonically_increasing_id()
     in_order = leaves.repartitionByRange("grp", *order, "salt").sortWithinPartitions("grp", *order, "salt")
@@ -80,21 +86,22 @@ def _placed(leaves: DataFrame, order: Sequence[str]) -> DataFrame:
         F.col("part").alias("o_part"),
         F.col("grp").alias("o_grp"),
         (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"),
-        sum(((size > F.lit(ARITY**k)).cast("int") for k in range(21)), F.lit(0)).alias("height"),
+        sum(((size > F.lit(arity**k)).cast("int") for k in range(62) if arity**k < 1 << 62), F.lit(0)).alias("height"),
     )
     same = (F.col("part") == F.col("o_part")) & F.col("grp").eqNullSafe(F.col("o_grp"))
     return rows.join(offsets, same).select("grp", "height", (F.col("number") + F.col("shift")).alias("place"), "digest", "row")
 
 
-def _tree(leaves: DataFrame, order: Sequence[str], name: str) -> tuple[list[DataFrame], DataFrame]:
+def _tree(leaves: DataFrame, order: Sequence[str], name: str, shape: Shape) -> tuple[list[DataFrame], DataFrame]:
     """Stored levels, and the subroot of each group: (grp, digest)."""
-    nodes, levels, subroots = _placed(leaves, order), [], None
+    arity, stride = shape
+    nodes, levels, subroots = _placed(leaves, order, arity), [], None
     while nodes is not None:
         k = len(levels)
-        subtrees = nodes.groupBy("grp", "height", F.expr(f"place div {ARITY**STRIDE}").alias("subtree"))
+        subtrees = nodes.groupBy("grp", "height", F.expr(f"place div {arity**stride}").alias("subtree"))
         levels.append(materialise(subtrees.agg(F.sort_array(F.collect_list(F.struct("place", "digest", "row"))).alias("nodes")), f"manifest-{name}-{k}"))
-        above = _folded(levels[k], STRIDE * k)
-        goes_on = F.col("height") > STRIDE * (k + 1)
+        above = _folded(levels[k], k, shape)
+        goes_on = F.col("height") > stride * (k + 1)
         ended = above.where(~goes_on).select("grp", F.col("up").alias("digest"))
         subroots = ended if subroots is None else subroots.unionByName(ended)
         nodes = above.where(goes_on).select("grp", "height", F.col("subtree").alias("place"), F.col("up").alias("digest"), F.lit(None).cast("int").alias("row"))
@@ -109,6 +116,7 @@ def build(
     order_col: str = "doc_id",
     group_col: str = "lang",
     carry: dict[str, Column] | None = None,
+    shape: Shape = (ARITY, STRIDE),
 ) -> Manifest:
     """The manifest of ``docs``. ``carry`` names further values of a row that its leaf keeps beside the order column (such as another
     digest to verify); the texts are read once, here, and not stored."""
@@ -119,36 +127,36 @@ def build(
         F.struct(F.col(order_col).alias("key"), *[v.alias(k) for k, v in (carry or {}).items()]).alias("row"),
         F.monotonically_increasing_id().alias("salt"),
     )
-    levels, subroots = _tree(materialise(leaves, "manifest-leaves"), ["place_key", "digest"], "leaves")
+    levels, subroots = _tree(materialise(leaves, "manifest-leaves"), ["place_key", "digest"], "leaves", shape)
     tops = subroots.select(F.lit(0).alias("grp"), F.col("grp").alias("place_key"), "digest", F.struct(F.col("grp").alias("key")).alias("row"), F.lit(0).alias("salt"))
-    top, root = _tree(tops, ["place_key"], "top")
-    return Manifest(levels, subroots, top, root.select(F.col("digest").alias("root")))
+    top, root = _tree(tops, ["place_key"], "top", shape)
+    return Manifest(levels, subroots, top, root.select(F.col("digest").alias("root")), shape)
 
 
-#: SQL: one step of a proof, for the node at place {i} of a subtree's level whose runs are {runs}
-_STEP = f"""IF(size({{runs}}) > 0, array(named_struct('slot', cast({{i}} % {ARITY} AS int), 'others', concat(
-    substr(element_at({{runs}}, cast({{i}} div {ARITY} AS int) + 1), 1, {HEX} * cast({{i}} % {ARITY} AS int)),
-    substr(element_at({{runs}}, cast({{i}} div {ARITY} AS int) + 1), {HEX} * cast({{i}} % {ARITY} AS int) + {HEX + 1})))), {{none}})"""
-_PATH = "array<struct<slot: int, others: string>>"
+def _step(runs: str, place: str, arity: int) -> str:
+    """SQL: one step of a proof, for the node at ``place`` of a subtree's level with these runs."""
+    slot, run = f"cast({place} % {arity} AS int)", f"element_at({runs}, cast({place} div {arity} AS int) + 1)"
+    others = f"concat(substr({run}, 1, {HEX} * {slot}), substr({run}, {HEX} * {slot} + {HEX + 1}))"
+    return f"IF(size({runs}) > 0, array(named_struct('slot', {slot}, 'others', {others})), cast(array() AS {PATH}))"
 
 
-def _proved(levels: list[DataFrame], start: DataFrame) -> DataFrame:
+def _proved(levels: list[DataFrame], start: DataFrame, shape: Shape) -> DataFrame:
     """Leaves with their proofs: (grp, place, digest, row, subroot, path). ``start`` (s_grp, subroot, path) has the way on from each
     group's subroot.
 
     A path is an array of structs: ``slot``, the place in the run, and ``others``, the joined digests of the run's other nodes.
     """
-    none = f"cast(array() AS {_PATH})"
+    arity, stride = shape
     above = None
     for k in range(len(levels) - 1, -1, -1):
-        frame = _folded(levels[k], STRIDE * k)
-        goes_on = F.col("height") > STRIDE * (k + 1)
+        frame = _folded(levels[k], k, shape)
+        goes_on = F.col("height") > stride * (k + 1)
         rows = frame.where(~goes_on).join(start, F.col("grp").eqNullSafe(F.col("s_grp"))).drop("s_grp")
         if above is not None:
             ups = above.select(F.col("grp").alias("a_grp"), F.col("place").alias("a_place"), "subroot", "path")
             same = F.col("grp").eqNullSafe(F.col("a_grp")) & (F.col("subtree") == F.col("a_place"))
             rows = rows.unionByName(frame.where(goes_on).join(ups, same).drop("a_grp", "a_place"))
-        steps = [_STEP.format(i=f"(pos div {ARITY**j})", runs=f"runs{j}", none=none) for j in range(STRIDE)]
+        steps = [_step(f"runs{j}", f"(pos div {arity**j})", arity) for j in range(stride)]
         above = rows.select("*", F.posexplode("nodes").alias("pos", "node")).select(
             "grp", "node.place", "node.digest", "node.row", "subroot", F.expr(f"concat({', '.join(steps)}, path)").alias("path")
         )
@@ -158,9 +166,9 @@ def _proved(levels: list[DataFrame], start: DataFrame) -> DataFrame:
 def proofs(manifest: Manifest) -> DataFrame:
     """One row per leaf: grp, place, digest, row, subroot, path (the siblings, level by level up to the root) and root."""
     spark = manifest.root.sparkSession
-    whole = spark.createDataFrame([(0, None, [])], f"s_grp int, subroot string, path {_PATH}")
-    tops = _proved(manifest.top, whole).select(F.col("row.key").alias("s_grp"), F.col("digest").alias("subroot"), "path")
-    return _proved(manifest.levels, materialise(tops, "manifest-tops")).withColumn("root", manifest.root.scalar())
+    whole = spark.createDataFrame([(0, None, [])], f"s_grp int, subroot string, path {PATH}")
+    tops = _proved(manifest.top, whole, manifest.shape).select(F.col("row.key").alias("s_grp"), F.col("digest").alias("subroot"), "path")
+    return _proved(manifest.levels, materialise(tops, "manifest-tops"), manifest.shape).withColumn("root", manifest.root.scalar())
 
 
 def folded(leaf: Column | str, path: str = "path") -> Column:
@@ -168,7 +176,7 @@ def folded(leaf: Column | str, path: str = "path") -> Column:
 
     def up(node: Column, step: Column) -> Column:
         cut = step["slot"] * HEX
-        run = F.concat(F.substring(step["others"], F.lit(1), cut), node, F.substring(step["others"], cut + 1, F.lit(ARITY * HEX)))
+        run = F.concat(F.substring(step["others"], F.lit(1), cut), node, F.substring(step["others"], cut + 1, F.length(step["others"])))
         return F.sha2(run.cast("binary"), 256)
 
     return F.aggregate(F.col(path), F.col(leaf) if isinstance(leaf, str) else leaf, up)
