@@ -4,7 +4,8 @@
 normalised text. The state (RocksDB, on the executors' disks, with changelogs in the shared checkpoint
 folder) keeps for every text ever seen its digest, the smallest identifier, the locator of that row's content
 (file and row in the file) and the number of rows. It never expires, and a later run with the same
-``checkpoint`` reads new files only. Each task merges its rows by digest before the shuffle, so a group
+``checkpoint`` reads new files only, of the same table or of another one: ``keep_id`` and ``group_size`` then
+cover all tables read so far, and texts kept from another table are fetched through their locators. Each task merges its rows by digest before the shuffle, so a group
 that holds a third of all rows reaches its state as one row per task. Then every row
 whose digest has more than one row is compared with the kept row's text, byte by byte; rows that only share the
 digest form groups of their own.
@@ -113,17 +114,34 @@ def dedup(spark: SparkSession, path: str, checkpoint: str | None = None, id_col:
     alone = rows.select("doc_id", "digest").join(state.where("group_size = 1").select("digest"), "digest").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "digest"
     )
-    shared = state.where("group_size > 1").select("digest", "keep_id", F.col("file").alias("kept_file"), F.col("row").alias("kept_row"))
+    shared = state.where("group_size > 1").select("digest", "keep_id", "group_size", F.col("file").alias("kept_file"), F.col("row").alias("kept_row"))
     hits = materialise(rows.join(shared, "digest"), "exact-dedup-hits")
     kept = hits.where((F.col("file") == F.col("kept_file")) & (F.col("row") == F.col("kept_row"))).select("digest", F.col("normal").alias("kept_normal"))
+    kept = kept.unionByName(_kept_elsewhere(spark, hits, kept, id_col, text_col))
     # null: the bytes are those of the kept row; otherwise a text that only shares the digest
     other = F.when(F.col("normal") != F.col("kept_normal"), F.col("normal"))
-    checked = hits.join(kept, "digest").select("doc_id", "digest", other.alias("other"))
-    groups = checked.groupBy("digest", "other").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    a, g = checked.alias("a"), groups.alias("g")
-    together = a.join(g, (F.col("a.digest") == F.col("g.digest")) & F.col("a.other").eqNullSafe(F.col("g.other"))).select(
-        "a.doc_id", "g.keep_id", "g.group_size", "a.digest"
+    checked = materialise(hits.join(kept, "digest", "left").select("doc_id", "digest", "keep_id", "group_size", other.alias("other")), "exact-dedup-checked")
+    strangers = checked.where("other is not null")
+    groups = strangers.groupBy("digest", "other").agg(F.min("doc_id").alias("own_keep"), F.count(F.lit(1)).alias("own_size"))
+    apart = strangers.join(groups, ["digest", "other"]).select("doc_id", F.col("own_keep").alias("keep_id"), F.col("own_size").alias("group_size"), "digest")
+    less = strangers.groupBy("digest").agg(F.count(F.lit(1)).alias("less"))
+    together = checked.where("other is null").join(less, "digest", "left").select(
+        "doc_id", "keep_id", (F.col("group_size") - F.coalesce("less", F.lit(0))).alias("group_size"), "digest"
     )
-    return alone.unionByName(together).select(
+    return alone.unionByName(together).unionByName(apart).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("digest").alias("text_sha256")
     )
+
+
+def _kept_elsewhere(spark: SparkSession, hits: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Kept texts that lie in tables streamed earlier with the same checkpoint, read from the files that the state names.
+
+    Only names of files come to the driver, as with any listing of input.
+    """
+    missing = hits.join(kept, "digest", "left_anti").select("digest", "kept_file", "kept_row").distinct()
+    files = [r.kept_file for r in missing.select("kept_file").distinct().collect()]
+    if not files:
+        return kept.limit(0)
+    found = _rows(spark.read.parquet(*files), id_col, text_col).drop("doc_id", "digest")
+    at = (F.col("file") == F.col("kept_file")) & (F.col("row") == F.col("kept_row"))
+    return found.join(missing, at).select("digest", F.col("normal").alias("kept_normal"))

@@ -7,6 +7,7 @@ import re
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cohortlens.llm import exact_dedup, html_text, lattice
 from cohortlens.llm.components import components
@@ -47,6 +48,28 @@ def test_exact_dedup_state_goes_on(spark, tmp_path):
     assert after == {2: 2, 6: 2, 1: 1}
 
 
+def test_exact_dedup_of_a_second_folder(spark, tmp_path):
+    """Texts kept from another folder are found through their locators, and no row of the second folder is lost."""
+    one = written(spark.createDataFrame([(1, "a b"), (2, "c"), (12, "late")], "doc_id long, text string"), tmp_path, "one")
+    two = written(spark.createDataFrame([(8, "a  b"), (9, "new"), (10, "late"), (11, "new")], "doc_id long, text string").repartition(2), tmp_path, "two")
+    state = str(tmp_path / "state")
+    first = exact_dedup.dedup(spark, one, state).collect()
+    assert sorted(tuple(r)[:4] for r in first) == [(1, 1, 1, True), (2, 2, 1, True), (12, 12, 1, True)]
+    second = exact_dedup.dedup(spark, two, state).collect()
+    assert sorted(tuple(r)[:4] for r in second) == [(8, 1, 2, False), (9, 9, 2, True), (10, 10, 2, True), (11, 9, 2, False)]
+    again = exact_dedup.dedup(spark, one, state).collect()
+    assert sorted(tuple(r)[:4] for r in again) == [(1, 1, 2, True), (2, 2, 1, True), (12, 10, 2, False)]
+
+
+def test_texts_that_only_share_a_digest(spark, tmp_path, monkeypatch):
+    """The bytes decide, not the digest."""
+    monkeypatch.setattr(exact_dedup, "digest", lambda normal: F.substring(normal, 1, 1))
+    rows = [(5, "ab"), (6, "ac"), (7, "ab"), (8, "ac"), (9, "b"), (3, "ad")]
+    path = written(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), tmp_path, "same")
+    got = sorted(tuple(r)[:4] for r in exact_dedup.dedup(spark, path).collect())
+    assert got == [(3, 3, 1, True), (5, 5, 2, True), (6, 6, 2, True), (7, 5, 2, False), (8, 6, 2, False), (9, 9, 1, True)]
+
+
 def vectors(spark, count=400):
     rng = np.random.default_rng(3)
     base = rng.standard_normal((count // 8, 32))
