@@ -15,8 +15,8 @@ has; those documents are done. The others join by index lists (prefix shingle: d
 All links between different components are tried, so components are exact.
 
 Defined cases: null or empty texts and texts without words have an empty set and link with nothing; with fewer
-words than ``WORDS`` the whole sequence is one shingle; a null identifier links with nothing; rows that repeat
-an identifier share its set's component; an empty table gives no rows; other columns are ignored.
+words than ``WORDS`` the whole sequence is one shingle; a null identifier links with nothing; links are between sets, not
+identifiers: rows that repeat an identifier have the component of their own set each; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -102,10 +102,16 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def text_mark() -> Column:
+    """Tells rows apart that repeat an identifier in different texts."""
+    return F.xxhash64("text")
+
+
 def prepared(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n, the fingerprint of its set, the shared shingles of its prefix with positions, its set if there are any."""
+    """One row per document: doc_id, the mark of its text, n, the fingerprint of its set, the shared shingles of its prefix with positions,
+    its set if there are any."""
     buckets = P.shuffle_parts(docs.sparkSession)
-    table = P.blocks(docs, "jaccard")
+    table = P.blocks(docs.select("doc_id", "text", text_mark().alias("mark")), "jaccard", carry=True)
 
     def ask(row: dict) -> Iterator[dict]:
         keys, counts = _block_keys(shingle_sets(row["texts"], words))
@@ -117,9 +123,9 @@ def prepared(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Dat
         sets = shingle_sets(row["texts"], words)
         keys, _ = _block_keys(sets)
         levels = P.answers_of(row["answers"], keys, buckets)
-        for doc_id, own in zip(row["doc_ids"], sets, strict=True):
+        for doc_id, old, own in zip(row["doc_ids"], row["rows"], sets, strict=True):
             n = len(own)
-            out = {"doc_id": doc_id, "n": n, "print_a": None, "print_b": None, "tokens": [], "places": [], "shingles": b""}
+            out = {"doc_id": doc_id, "mark": old["mark"], "n": n, "print_a": None, "print_b": None, "tokens": [], "places": [], "shingles": b""}
             if n:
                 level = levels[np.searchsorted(keys, own)]
                 order = np.lexsort((own, level))[: prefix_length(n, percent)]
@@ -132,7 +138,7 @@ def prepared(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Dat
                     out["shingles"] = own.tobytes()
             yield out
 
-    schema = "doc_id long, n long, print_a long, print_b long, tokens array<long>, places array<int>, shingles binary"
+    schema = "doc_id long, mark long, n long, print_a long, print_b long, tokens array<long>, places array<int>, shingles binary"
     return materialise(P.each_block(P.with_answers(table, answers), rows, schema), "jaccard-sets")
 
 
@@ -226,17 +232,18 @@ def _between(apart: DataFrame, named: DataFrame, sets: DataFrame, percent: int)
     return P.each_block(together, compare, "a long, b long")
 
 
-def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
-    table = prepared(docs, words, percent)
-    plain = table.select("doc_id", "n", "print_a", "print_b")
-    # equal sets: one class, answered by its smallest identifier
-    classes = materialise(plain.where("n > 0 and doc_id is not null").groupBy("n", "print_a", "print_b").agg(F.min("doc_id").alias("first")), "jaccard-classes")
-    firsts = classes.select(F.col("first").alias("doc_id"))
-    lists = table.where("size(tokens) > 0").select("doc_id", "n", "tokens", "places").join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    lists = lists.select("doc_id", "n", F.element_at("places", 1).alias("own"), F.explode(F.arrays_zip("tokens", "places")).alias("t")).select("doc_id", "n", "own", F.col("t.tokens").alias("token"), F.col("t.places").alias("place"))
+def _classes(table: DataFrame, percent: int) -> DataFrame:
+    """One row per distinct set: its fingerprint (n, print_a, print_b), ``node`` (its number), ``first`` (smallest identifier with it)
+    and ``component`` (the smallest node reachable by links)."""
+    same = ["n", "print_a", "print_b"]
+    # equal sets: one class, answered by a row with its smallest identifier
+    sized = table.where("n > 0 and doc_id is not null").groupBy(same).agg(F.min("doc_id").alias("first"))
+    classes = materialise(sized.withColumn("node", F.monotonically_increasing_id()), "jaccard-classes")
+    # from here on a set goes by its number
+    answering = table.where("size(tokens) > 0").join(classes.withColumnRenamed("first", "doc_id"), ["doc_id", *same]).dropDuplicates(["node"]).drop("doc_id").withColumnRenamed("node", "doc_id")
+    lists = answering.select("doc_id", "n", F.element_at("places", 1).alias("own"), F.explode(F.arrays_zip("tokens", "places")).alias("t")).select("doc_id", "n", "own", F.col("t.tokens").alias("token"), F.col("t.places").alias("place"))
     lists = materialise(lists, "jaccard-lists")
-    sets = table.where("size(tokens) > 0").select("doc_id", "shingles").join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    sets = answering.select("doc_id", "shingles")
     # a list's leader has the fewest shingles of its own: what the others were copied from has none, and leads all its lists
     leaders = lists.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("own", "doc_id", "n", "place")).alias("lead")).where("size > 1").select(
         "token", F.col("lead.doc_id").alias("a"), F.col("lead.n").alias("na"), F.col("lead.place").alias("place_a")
@@ -248,20 +255,40 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     apart = _apart(lists, named, percent)
     more = materialise(_between(apart, named, sets, percent), "jaccard-more-links")
     named = components(links.union(more))
-    found = classes.join(named.withColumnRenamed("node", "first"), "first", "left").select("n", "print_a", "print_b", F.coalesce("component", "first").alias("component"))
-    d, c = plain.alias("d"), found.alias("c")
-    on = (F.col("d.n") == F.col("c.n")) & (F.col("d.print_a") == F.col("c.print_a")) & (F.col("d.print_b") == F.col("c.print_b"))
-    joined = d.join(c, on, "left")
+    return classes.join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _on_set(d: str, c: str) -> Column:
+    return (F.col(f"{d}.n") == F.col(f"{c}.n")) & (F.col(f"{d}.print_a") == F.col(f"{c}.print_a")) & (F.col(f"{d}.print_b") == F.col(f"{c}.print_b"))
+
+
+def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id."""
+    table = prepared(docs, words, percent)
+    classes = materialise(_classes(table, percent), "jaccard-components")
+    # most sets are components of their own; a large component is one key of few, so a skewed join splits it
+    smallest = classes.groupBy("component").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("members")).where("members > 1").drop("members")
+    found = classes.join(smallest, "component", "left").select("n", "print_a", "print_b", F.coalesce("component_id", "first").alias("component_id"))
+    joined = table.select("doc_id", "n", "print_a", "print_b").alias("d").join(found.alias("c"), _on_set("d", "c"), "left")
     return joined.select(
-        "d.doc_id", F.col("d.n").alias("n_shingles"), F.when(F.col("d.doc_id").isNotNull(), F.coalesce("c.component", "d.doc_id")).alias("component_id")
+        "d.doc_id", F.col("d.n").alias("n_shingles"), F.when(F.col("d.doc_id").isNotNull(), F.coalesce("c.component_id", "d.doc_id")).alias("component_id")
     )
 
 
 def representatives(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The documents, with their columns, without those whose component has a smaller identifier.
+    """The documents, with their columns, one of each component: a row with its smallest identifier.
 
-    Rows without identifier stay; of rows that repeat an identifier one stays.
+    Rows without identifier or without words stay.
     """
-    named = groups(docs.select("doc_id", "text"), words, percent)
-    kept = named.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).union(docs.where("doc_id is null"))
+    table = prepared(docs.select("doc_id", "text"), words, percent)
+    classes = _classes(table, percent)
+    # the set that answers for a component, then a row that answers for the set
+    chosen = classes.groupBy("component").agg(F.min(F.struct("first", "n", "print_a", "print_b")).alias("s")).select("s.*")
+    joined = table.select("doc_id", "mark", "n", "print_a", "print_b").alias("d").join(chosen.alias("c"), _on_set("d", "c") & (F.col("d.doc_id") == F.col("c.first")))
+    rows = joined.groupBy("d.doc_id", "d.n", "d.print_a", "d.print_b").agg(F.min("d.mark").alias("mark")).select("doc_id", "mark")
+    rows = materialise(rows, "jaccard-kept").withColumnsRenamed({"doc_id": "kept_id", "mark": "kept_mark"})
+    apart = F.col("doc_id").isNull() | ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    # rows that repeat identifier and text are one
+    mark = docs.where(~apart).select(F.struct(docs.columns).alias("row"), F.col("doc_id").alias("key_id"), text_mark().alias("key_mark"))
+    kept = mark.join(rows, (F.col("key_id") == F.col("kept_id")) & (F.col("key_mark") == F.col("kept_mark")), "left_semi")
+    return kept.dropDuplicates(["key_id", "key_mark"]).select("row.*").union(docs.where(apart))
