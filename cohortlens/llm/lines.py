@@ -1,7 +1,7 @@
 """Line dedup: equal lines, and lines within ``EDITS`` edits, by a segment-partition join.
 
-Lines of ``MIN_CHARS`` characters or more are compared, and with ``short`` also shorter ones that are not blank: for equality at every
-length, for edits from ``SHORT_NEAR`` characters on, as far as no segment is empty. Other lines always stay. Equal lines are found
+Lines that are not blank are compared, for equality at every length, for edits from ``NEAR_CHARS`` characters on, as far as no segment
+is empty; blank lines only from ``BLANK_CHARS`` characters on, shorter ones always stay. Equal lines are found
 first, by their fingerprints; the one in the smallest document (and there the first) stands for all.
 Among those, a line is cut into ``EDITS`` + 1 segments, so of two lines within ``EDITS`` edits at least one
 segment of the shorter line occurs unchanged in the longer one, and near its place: the longer line probes, for each length from its own
@@ -31,8 +31,8 @@ from . import packed as P
 from .components import components
 from .pair_blocks import in_pairs_of_blocks
 
-EDITS, MIN_CHARS = 2, 20
-SHORT_NEAR = EDITS + 1
+EDITS, BLANK_CHARS = 2, 20
+NEAR_CHARS = EDITS + 1
 #: entries of a key compared at once, and entries per task group
 KEY_BLOCK, GROUP_ENTRIES = 256, 20_000
 INDEX = 128
@@ -49,7 +49,7 @@ def _rolling(which: int) -> P.Rolling:
 class Lines:
     """The lines of a block's texts as places in one array of code points."""
 
-    def __init__(self, texts: list[str], short: bool = False):
+    def __init__(self, texts: list[str]):
         self.text = "\n".join([*texts, ""])
         self.points = np.frombuffer(self.text.encode("utf-32-le"), dtype=np.uint32)
         self.ends = np.flatnonzero(self.points == 10)
@@ -58,12 +58,10 @@ class Lines:
         stops = np.cumsum([len(t) + 1 for t in texts]) - 1 if texts else np.zeros(0, int)
         self.doc = np.searchsorted(stops, self.starts)  # of each line
         self.sums = [_rolling(w).sums(self.points) for w in (0, 1)]
-        self.compared = np.flatnonzero(self.sizes >= MIN_CHARS)
-        self.near_chars = SHORT_NEAR if short else MIN_CHARS
-        if short:
-            # only short lines are looked at, so the cost does not follow the text
-            more = [k for k in np.flatnonzero((self.sizes > 0) & (self.sizes < MIN_CHARS)).tolist() if not self.line(k).isspace()]
-            self.compared = np.sort(np.concatenate([self.compared, np.array(more, np.int64)]))
+        # only short lines are looked at, so the cost does not follow the text
+        short = np.flatnonzero((self.sizes > 0) & (self.sizes < BLANK_CHARS)).tolist()
+        written = np.array([k for k in short if not self.line(k).isspace()], np.int64)
+        self.compared = np.sort(np.concatenate([np.flatnonzero(self.sizes >= BLANK_CHARS), written]))
 
     def line(self, k: int) -> str:
         return self.text[self.starts[k] : self.ends[k]]
@@ -91,7 +89,7 @@ class Lines:
         start, size = self.starts[some], self.sizes[some]
         for less in range(EDITS + 1):
             length = size - less  # of the lines that are looked for
-            ok = length >= self.near_chars
+            ok = length >= NEAR_CHARS
             at = 0
             base, extra = length // (EDITS + 1), length % (EDITS + 1)
             for j in range(EDITS + 1):
@@ -211,14 +209,14 @@ def _verify(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
 
-def _marked(docs: DataFrame, id_col: str, text_col: str, carry: bool, short: bool) -> DataFrame:
+def _marked(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
     """Blocks with ``firsts`` (answers about equal lines) and ``near`` (fingerprints of near copies that go)."""
     buckets = P.shuffle_parts(docs.sparkSession)
     table = P.blocks(docs, "lines", id_col, text_col, carry=carry)
     slim = table.select("block", "doc_ids", "texts")
 
     def ask_equal(row: dict) -> Iterator[dict]:
-        where, keys, owner, _, _ = Lines(row["texts"], short).equal_keys(row["doc_ids"], buckets)
+        where, keys, owner, _, _ = Lines(row["texts"]).equal_keys(row["doc_ids"], buckets)
         yield from P.question_rows(row["block"], where, owner, buckets, wide=keys, own_flags=True)
 
     firsts = materialise(P.answer(P.each_block(slim, ask_equal, P.QUESTION), _not_first, np.int64), "lines-equal")
@@ -226,7 +224,7 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, carry: bool, short: boo
 
     def standing(row: dict) -> tuple[Lines, np.ndarray]:
         """The block's lines that stand for all equal ones."""
-        lines = Lines(row["texts"], short)
+        lines = Lines(row["texts"])
         where, _, _, at, _ = lines.equal_keys(row["doc_ids"], buckets)
         return lines, np.sort(lines.compared[at[P.answers_of(row["firsts"], where, buckets) == 0]])
 
@@ -275,9 +273,9 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, carry: bool, short: boo
     return table.join(gone, "block", "left")
 
 
-def _kept_lines(row: dict, buckets: int, short: bool) -> tuple[Lines, np.ndarray, np.ndarray]:
+def _kept_lines(row: dict, buckets: int) -> tuple[Lines, np.ndarray, np.ndarray]:
     """The lines, which of them go as equal, which as near copies."""
-    lines = Lines(row["texts"], short)
+    lines = Lines(row["texts"])
     where, _, _, at, which = lines.equal_keys(row["doc_ids"], buckets)
     first = np.zeros(len(lines.compared), bool)
     first[at[P.answers_of(row["firsts"], where, buckets) == 0]] = True
@@ -298,27 +296,27 @@ def _texts(row: dict, lines: Lines, gone: np.ndarray) -> Iterator[tuple[str, sli
         yield text, own
 
 
-def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short: bool = False) -> DataFrame:
+def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_lines, n_equal, n_near (lines that go), kept_sha256 (of the remaining text)."""
     buckets = P.shuffle_parts(docs.sparkSession)
 
     def rows(row: dict) -> Iterator[dict]:
-        lines, equal, near = _kept_lines(row, buckets, short)
+        lines, equal, near = _kept_lines(row, buckets)
         for doc_id, (text, own) in zip(row["doc_ids"], _texts(row, lines, equal | near), strict=True):
             yield {
                 "doc_id": doc_id, "n_lines": own.stop - own.start, "n_equal": int(equal[own].sum()), "n_near": int(near[own].sum()),
                 "kept_sha256": hashlib.sha256(text.encode()).hexdigest(),
             }
 
-    return P.each_block(_marked(docs, id_col, text_col, False, short), rows, "doc_id long, n_lines long, n_equal long, n_near long, kept_sha256 string")
+    return P.each_block(_marked(docs, id_col, text_col, False), rows, "doc_id long, n_lines long, n_equal long, n_near long, kept_sha256 string")
 
 
-def deduped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short: bool = False) -> DataFrame:
+def deduped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, with all their columns, without the lines that go; documents that lose every line go too."""
     buckets = P.shuffle_parts(docs.sparkSession)
 
     def rows(row: dict) -> Iterator[dict]:
-        lines, equal, near = _kept_lines(row, buckets, short)
+        lines, equal, near = _kept_lines(row, buckets)
         gone = equal | near
         for old, (text, own) in zip(row["rows"], _texts(row, lines, gone), strict=True):
             if gone[own].any() and not text.strip():
@@ -327,7 +325,7 @@ def deduped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sho
 
     marked = docs.withColumn(NULL, F.col(text_col).isNull())
     schema = docs.schema
-    return P.each_block(_marked(marked, id_col, text_col, True, short), rows, schema)
+    return P.each_block(_marked(marked, id_col, text_col, True), rows, schema)
 
 
 #: name of the column that remembers null texts

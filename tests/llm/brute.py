@@ -73,12 +73,15 @@ def jaccard(rows: list[tuple], words: int = 4, percent: int = 85) -> list[tuple]
     for i, t in rows:
         w = [x for x in re.split(SPACES, re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) if x]
         sets.append((i, frozenset(tuple(w[k : k + words]) for k in range(len(w) - words + 1)) if len(w) >= words else frozenset([tuple(w)] if w else [])))
-    known = [(i, s) for i, s in sets if i is not None]
-    links = [
-        (i, j) for n, (i, s) in enumerate(known) for j, u in known[n + 1 :] if s and u and 100 * len(s & u) >= percent * len(s | u)
-    ]
-    named = component_of([i for i, _ in known], links)
-    return [(i, len(s), named.get(i)) for i, s in sets]
+    known = sorted({s for i, s in sets if i is not None and s}, key=lambda s: sorted(s))
+    links = [(m, n) for n, s in enumerate(known) for m, u in enumerate(known[:n]) if 100 * len(s & u) >= percent * len(s | u)]
+    named = component_of(list(range(len(known))), links)
+    number = {s: named[n] for n, s in enumerate(known)}
+    smallest: dict[int, int] = {}
+    for i, s in sets:
+        if i is not None and s:
+            smallest[number[s]] = min(i, smallest.get(number[s], i))
+    return [(i, len(s), None if i is None else smallest[number[s]] if s else i) for i, s in sets]
 
 
 def edits(a: str, b: str) -> int:
@@ -91,18 +94,18 @@ def edits(a: str, b: str) -> int:
     return row[-1]
 
 
-def line_dedup(rows: list[tuple], most: int = 2, least: int = 20) -> list[tuple]:
-    """Rows must have different identifiers."""
+def line_dedup(rows: list[tuple], most: int = 2, blank: int = 20) -> list[tuple]:
+    """Rows must have different identifiers. Blank lines are compared from ``blank`` characters on."""
     first: dict[str, tuple] = {}
     for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
         for k, line in enumerate((t or "").split("\n")):
-            if len(line) >= least:
+            if line.strip() or len(line) >= blank:
                 first.setdefault(line, (i is None, i or 0, k))
     by_size = defaultdict(list)
     for line in first:
         by_size[len(line)].append(line)
     links = []
-    for line in first:
+    for line in (x for x in first if len(x) > most):
         for more in range(most + 1):
             for other in by_size.get(len(line) + more, ()):
                 if other != line and sum((Counter(line) - Counter(other)).values()) <= most and edits(line, other) <= most:
@@ -115,9 +118,9 @@ def line_dedup(rows: list[tuple], most: int = 2, least: int = 20) -> list[tuple]
     for i, t in rows:
         lines, equal, near, kept = (t or "").split("\n"), 0, 0, []
         for k, line in enumerate(lines):
-            if len(line) >= least and first[line] != (i is None, i or 0, k):
+            if line in first and first[line] != (i is None, i or 0, k):
                 equal += 1
-            elif len(line) >= least and best[named[line]][1] != line:
+            elif line in first and best[named[line]][1] != line:
                 near += 1
             else:
                 kept.append(line)

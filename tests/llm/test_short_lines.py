@@ -53,13 +53,13 @@ def texts():
 
 def test_short_lines_against_brute_force(spark, texts):
     df = spark.createDataFrame(texts, SCHEMA).repartition(3)
-    got = [tuple(r) for r in lines.report(df, short=True).collect()]
+    got = [tuple(r) for r in lines.report(df).collect()]
     assert brute.ordered(got) == brute.ordered(plain(texts))
 
 
 def test_a_whole_repeat_of_short_lines_goes(spark):
     df = spark.createDataFrame([(1, "One.\n\nTwo words."), (2, "One.\n\nTwo words."), (3, "\n"), (4, None)], SCHEMA)
-    assert {r.doc_id: r.text for r in lines.deduped(df, short=True).collect()} == {1: "One.\n\nTwo words.", 3: "\n", 4: None}
+    assert {r.doc_id: r.text for r in lines.deduped(df).collect()} == {1: "One.\n\nTwo words.", 3: "\n", 4: None}
 
 
 def test_the_query_leaves_no_equal_lines(spark):
