@@ -4,9 +4,9 @@
 source, by language and by topic meet the targets; ``mix`` gives every document its cell's factor (calibrated weight over
 natural weight) and samples documents by a hash of the identifier, so that reruns and retries choose the same documents.
 
-The sample (``copies``, ``counted``, ``sampled``) has ``floor(rate * factor)`` copies of a document and one more with the fraction
-that is left as probability: the expected tokens of every cell are ``rate`` times its weight, also where the factor is above 1.
-``mix`` keeps the columns of its SQL, probability ``min(1, rate * factor)``: whether a document is in the sample, not how often.
+The sample has ``floor(rate * factor)`` copies of a document and one more with the fraction that is left as probability: the
+expected tokens of every cell are ``rate`` times its weight, also where the factor is above 1. ``mix`` and ``copies`` report the
+copies of every document, ``counted`` and ``sampled`` return the sample's documents.
 
 Targets: for each margin either an exponent (target share in proportion to ``natural share ** exponent``; 1 keeps the
 natural shares, 0 makes them equal) or a dict of shares by value, where values that are not named get none.
@@ -101,7 +101,7 @@ def uniform(identifier: Column, seed: str) -> Column:
 
 
 def weighted(docs: DataFrame, targets: dict | None = None, rounds: int = ROUNDS, rate: float = RATE, seed: str = SEED, id_col: str = "doc_id", text_col: str = "text", topic: Column | None = None) -> DataFrame:
-    """The rows of ``docs`` with ``_source``, ``_lang``, ``_topic``, ``_tokens``, ``_factor``, ``_probability``, ``_sampled``, ``_copies``."""
+    """The rows of ``docs`` with ``_source``, ``_lang``, ``_topic``, ``_tokens``, ``_factor``, ``_copies``."""
     factors = rake(cells(docs, text_col, topic), targets, rounds).select([F.col(m).alias(f"c_{m}") for m in MARGINS] + [F.col("factor").alias("_factor")])
     rows = docs.select("*", *described(docs, text_col, topic))
     # every document has its cell; equality of nulls included
@@ -109,14 +109,13 @@ def weighted(docs: DataFrame, targets: dict | None = None, rounds: int = ROUNDS,
     for m in MARGINS:
         on = on & F.col(f"_{m}").eqNullSafe(F.col(f"c_{m}"))
     joined = rows.join(factors, on).drop(*[f"c_{m}" for m in MARGINS])
-    wanted, draw = F.lit(float(rate)) * F.col("_factor"), uniform(F.col(id_col), seed)
-    joined = joined.withColumn("_probability", F.least(F.lit(1.0), wanted))
-    joined = joined.withColumn("_sampled", draw < F.col("_probability"))
+    # rounded, so that the order of a sum decides nothing
+    wanted, draw = F.round(F.lit(float(rate)) * F.col("_factor"), 9), uniform(F.col(id_col), seed)
     return joined.withColumn("_copies", F.floor(wanted) + (draw < wanted - F.floor(wanted)).cast("long"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """One row per document: doc_id, source, lang, topic, n_tokens, factor, probability (six decimals), sampled."""
+    """One row per document: doc_id, source, lang, topic, n_tokens, factor (six decimals), n_copies, sampled (if there are any)."""
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     out = weighted(docs.select(id_col, text_col, "source", "lang"), **options)
     return out.select(
@@ -126,8 +125,8 @@ def mix(docs: DataFrame, **options) -> DataFrame:
         F.col("_topic").alias("topic"),
         F.col("_tokens").alias("n_tokens"),
         F.round("_factor", 6).alias("factor"),
-        F.round("_probability", 6).alias("probability"),
-        F.col("_sampled").alias("sampled"),
+        F.col("_copies").alias("n_copies"),
+        (F.col("_copies") > 0).alias("sampled"),
     )
 
 

@@ -33,7 +33,7 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return lines.report(read_table(spark, folder, "documents"), short=True)
+    return lines.report(read_table(spark, folder, "documents"))
 
 
 def op6_lattice_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -104,10 +104,12 @@ def _mixing_sql() -> str:
                 f"from w{k} w join t_{m} t on w.{m} is not distinct from t.{m})"
             )
             k += 1
-    last = f"""f as (select source, lang, topic, case when tokens > 0 then w / tokens else 0.0 end as factor from w{k})
-    select t.doc_id, t.source, t.lang, t.topic, t.n as n_tokens, round(f.factor, 6) as factor, round(least(1.0, f.factor), 6) as probability,
-      ('0x' || substr(md5('mix-1:' || coalesce(t.doc_id::varchar, 'null')), 1, 12))::bigint::double / 281474976710656.0 < least(1.0, f.factor) as sampled
-    from t join f on t.source is not distinct from f.source and t.lang is not distinct from f.lang and t.topic is not distinct from f.topic"""
+    last = f"""f as (select source, lang, topic, case when tokens > 0 then w / tokens else 0.0 end as factor from w{k}),
+    u as (select t.*, f.factor, round(f.factor, 9) as wanted,
+        ('0x' || substr(md5('mix-1:' || coalesce(t.doc_id::varchar, 'null')), 1, 12))::bigint::double / 281474976710656.0 as draw
+      from t join f on t.source is not distinct from f.source and t.lang is not distinct from f.lang and t.topic is not distinct from f.topic),
+    c as (select *, floor(wanted)::bigint + (draw < wanted - floor(wanted))::bigint as n_copies from u)
+    select doc_id, source, lang, topic, n as n_tokens, round(factor, 6) as factor, n_copies, n_copies > 0 as sampled from c"""
     return ",\n".join([*steps, last])
 
 

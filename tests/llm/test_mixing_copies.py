@@ -42,14 +42,24 @@ def test_copies_follow_the_factor(skewed):
     assert all(int(r.factor) <= r.n_copies <= int(r.factor) + 1 for r in rows)
     again = mixing.copies(skewed.repartition(7), targets=SHARES).collect()
     assert {(r.doc_id, r.n_copies) for r in rows} == {(r.doc_id, r.n_copies) for r in again}
-    # in the sample at all as in the columns of the SQL
-    mixed = {r.doc_id: r.sampled for r in mixing.mix(skewed, targets=SHARES).collect()}
-    assert all(mixed[r.doc_id] == (r.n_copies > 0) for r in rows)
+    # the registered query has the same copies
+    mixed = {r.doc_id: (r.n_copies, r.sampled) for r in mixing.mix(skewed, targets=SHARES).collect()}
+    assert all(mixed[r.doc_id] == (r.n_copies, r.n_copies > 0) for r in rows)
     counted = mixing.counted(skewed, targets=SHARES)
     assert counted.columns == [*skewed.columns, "n_copies"]
     assert {(r.doc_id, r.n_copies) for r in counted.collect()} == {(r.doc_id, r.n_copies) for r in rows if r.n_copies}
 
 
+def test_the_registered_sample_meets_the_targets(spark):
+    """Token shares of the whole table's sample against natural share ** 0.7, within what drawing the fractions allows."""
+    rows = QUERIES["op9_source_mixing"](spark, str(DATA.parent / "sf0.1")).cache()
+    sample = rows.withColumn("tokens", F.col("n_tokens") * F.col("n_copies"))
+    for margin in mixing.MARGINS:
+        natural, got = shares(rows, margin, "n_tokens"), shares(sample, margin, "tokens")
+        norm = sum(s**0.7 for s in natural.values())
+        assert all(abs(got[v] - s**0.7 / norm) < 0.005 for v, s in natural.items()), (margin, got)
+
+
 def test_the_pipeline_carries_the_copies(spark, skewed):
     stage = dict(corpus_pipeline.STAGES)
     mixed = stage["mixing"](spark, skewed, str(DATA))

@@ -14,13 +14,14 @@ from cohortlens.llm.queries import ORACLES, tokenizer_file
 
 def test_all_are_registered():
     names = [n for n in __spark_entry__.queries() if n.startswith("op") or n == "pipeline"]
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n != "pipeline") == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_copies", "mixing", "tokens"]
 
 
 def test_queries_with_sql(spark):
     duck = duckdb.connect()
-    duck.execute(f"create view documents as select * from '{DATA}/documents.parquet'")
+    for table in ("documents", "benchmark"):
+        duck.execute(f"create view {table} as select * from '{DATA}/{table}.parquet'")
     for name, sql in ORACLES.items():
         got = __spark_entry__.queries()[name](spark, str(DATA))
         columns = sorted(got.columns)
