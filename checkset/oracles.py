@@ -4,9 +4,23 @@ from __future__ import annotations
 
 import re
 
-from checkset.queries import CUTOFF, EARLIER_DATE, RECENT, RUN_DATE, RUN_TS, SCORER, SPLIT_WEEK
+from checkset.queries import (
+    CUTOFF,
+    EARLIER_DATE,
+    FEW_TREES,
+    HEATMAP_MODULES,
+    RECENT,
+    RUN_DATE,
+    RUN_TS,
+    SCORER,
+    SPLIT_WEEK,
+    STUDY_KEY,
+    TREE_FEATURES,
+    TWO_TREES,
+)
+from cohortlens.operators.boosting import LEAST_GAIN, columns_of
 from cohortlens.params import RunParams
-from cohortlens.schemas import CLICK_FEATURES, MODEL_FEATURES
+from cohortlens.schemas import CLICK_FEATURES, MODEL_FEATURES, OUTPUT_TABLES
 from cohortlens.sources.adapters import FIRST_DAY, MODULE_OF_TYPE
 
 ORACLES: dict[str, str] = {}
@@ -661,11 +675,186 @@ SAMPLE = f"select *, {uniform(42, 'id_student', 'code_module', 'week')} as u fro
 oracle("linear_contributions", contributions(MODEL_ROWS), "mean_abs_contribution")
 oracle("top_features", f"select * from ({contributions(SAMPLE)}) order by mean_abs_contribution desc, feature limit 5", "mean_abs_contribution")
 
-oracle("top_feature_map", f"select * from ({contributions(SAMPLE)}) order by mean_abs_contribution desc, feature limit 5", "mean_abs_contribution")
+oracle("top_feature_map", f"select * from ({contributions(MODEL_ROWS)}) order by mean_abs_contribution desc, feature limit 5", "mean_abs_contribution")
 oracle("model_save", f"select count(*) as rows, cast(0 as bigint) as different from ({MODEL_ROWS}) where week < {SPLIT_WEEK}")
 
+
+
+def permuted() -> str:
+    """Mean loss of area when a feature comes from the row a step further on in a random order, one step per repeat."""
+    names = ", ".join(f"cast({f} as double) as {f}" for f in MODEL_FEATURES)
+    others = ", ".join(f"d.{f} as other_{f}" for f in MODEL_FEATURES)
+    variants = " union all ".join(
+        f"select rep, '{f}' as feature, target_high_risk, 1.0 / (1.0 + exp(-({margin(SCORER.intercept).replace(f'(({f} -', f'((other_{f} -')}))) as score from pairs"
+        for f in MODEL_FEATURES
+    )
+    area = """select rep, feature, (sum(place) filter (target_high_risk = 1) - p * (p + 1) / 2.0) / (p * n) as auc from (
+        select rep, feature, target_high_risk, rank() over (partition by rep, feature order by score) + (count(*) over (partition by rep, feature, score) - 1) / 2.0 as place,
+            count(*) filter (target_high_risk = 1) over (partition by rep, feature) as p, count(*) filter (target_high_risk = 0) over (partition by rep, feature) as n
+        from {}) group by rep, feature, p, n"""
+    return f"""
+    with placed as materialized (
+        select row_number() over (order by u, id_student, code_module, week) - 1 as place, count(*) over () as n, target_high_risk, {names}
+        from (select *, {uniform(42, 'id_student', 'code_module', 'week')} as u from evaluated)),
+    pairs as materialized (
+        select r.rep, p.*, {others} from placed p cross join (select unnest(range(1, 11)) as rep) r
+        join placed d on d.place = (p.place + 1 + cast(floor({uniform(42, 'r.rep')} * greatest(p.n - 1, 1)) as bigint)) % p.n),
+    variants as materialized ({variants}),
+    base as (select 0 as rep, '' as feature, target_high_risk, 1.0 / (1.0 + exp(-({margin(SCORER.intercept)}))) as score from placed)
+    select v.feature, avg(b.auc - v.auc) as importance, stddev_pop(b.auc - v.auc) as importance_std
+    from ({area.format('variants')}) v cross join ({area.format('base')}) b group by v.feature"""
+
+
+oracle("permutation_importance", permuted(), "importance, importance_std")
+
+
+def newton_sql(rows: str, features: list[str], label: str, steps: int = 9) -> str:
+    """Newton's method, a step a block: sums over all rows, then a Gauss-Jordan elimination of the small system, a pivot a table."""
+    k = len(features) + 1
+    z = [f"case when s_{f} > 0 then (cast({f} as double) - m_{f}) / s_{f} else 0.0 end as z{i + 1}" for i, f in enumerate(features)]
+    moments = ", ".join(f"avg(cast({f} as double)) as m_{f}, stddev_pop(cast({f} as double)) as s_{f}" for f in features)
+    parts = [
+        f"base as ({rows})",
+        f"z as materialized (select {', '.join(z)}, 1.0::double as z{k}, cast({label} as double) as y from base cross join (select {moments} from base))",
+        f"b0 as (select {', '.join(f'0.0::double as b{i + 1}' for i in range(k))})",
+    ]
+    places = [(i, j) for i in range(1, k + 1) for j in range(1, k + 1)]
+    penalty = {(i, i): " + 1.0" for i in range(1, k)}
+    for t in range(steps):
+        at = " + ".join(f"b{i} * z{i}" for i in range(1, k + 1))
+        sums = [f"sum(p * (1 - p) * z{i} * z{j}){penalty.get((i, j), '')}" for i, j in places]
+        sums += [f"sum((p - y) * z{i}){'' if i == k else f' + any_value(b{i})'}" for i in range(1, k + 1)]
+        rows_of = [i for i, _ in places] + list(range(1, k + 1))
+        columns = [j for _, j in places] + [k + 1] * k
+        parts.append(
+            f"s{t}_0 as materialized (select unnest({rows_of}) as i, unnest({columns}) as j, unnest([{', '.join(sums)}]) as v "
+            f"from (select *, 1 / (1 + exp(-({at}))) as p from z cross join b{t}))"
+        )
+        for n in range(1, k + 1):
+            parts.append(
+                f"s{t}_{n} as materialized (select e.i, e.j, case when e.i = {n} then r.v / p.v else e.v - c.v * r.v / p.v end as v from s{t}_{n - 1} e "
+                f"join s{t}_{n - 1} r on r.i = {n} and r.j = e.j join s{t}_{n - 1} c on c.i = e.i and c.j = {n} join s{t}_{n - 1} p on p.i = {n} and p.j = {n})"
+            )
+        steps_of = ", ".join(f"any_value(b{i}) - max(v) filter (i = {i}) as b{i}" for i in range(1, k + 1))
+        parts.append(f"b{t + 1} as materialized (select {steps_of} from s{t}_{k} cross join b{t} where j = {k + 1})")
+    names = [*features, "intercept"]
+    ends = " union all ".join(f"select '{f}' as feature, b{i + 1} as coefficient from b{steps}" for i, f in enumerate(names))
+    return f"with {', '.join(parts)} {ends}"
+
+
+oracle("train_newton", newton_sql(f"select * from ({MODEL_ROWS}) where week < {SPLIT_WEEK}", MODEL_FEATURES, "target_high_risk"), "coefficient")
+
+
+def boosting_sql(rows: str, features: list[str], label: str, keys: list[str]) -> str:
+    """Every tree and level spelled out: sums by node, feature and bin, the best cut of each node, the rows' way down."""
+    o = FEW_TREES
+    cut_list = ", ".join(
+        f"list_sort(list_distinct(quantile_cont(cast({f} as double), [{', '.join(f'{i}::double / {o.bins}' for i in range(1, o.bins))}]))) as c{k}" for k, f in enumerate(features)
+    )
+    bin_list = ", ".join(f"len(list_filter(c{k}, lambda c: c <= cast({f} as double)))" for k, f in enumerate(features))
+    text = " || '|' || ".join([f"cast({k} as varchar)" for k in keys] + [f"'{o.seed}'"])
+    parts = [
+        f"base as materialized ({rows})",
+        f"cuts as materialized (select {cut_list} from base)",
+        f"r0 as materialized (select cast({label} as double) as y, [{bin_list}] as bins, md5({text}) as key, {o.base_margin}::double as margin from base cross join cuts)",
+    ]
+    found = []
+    for t in range(1, o.trees + 1):
+        chosen = columns_of(t, features, o.column_share, o.seed)
+        parts.append(
+            f"d{t}_0 as materialized (select bins, p - y as g, p * (1 - p) as h, 1 as node from (select *, 1 / (1 + exp(-margin)) as p from r{t - 1}) "
+            f"where cast(('0x' || substr(md5(key || '|{t}'), 1, 8)) as bigint) / 4294967296.0::double < {o.row_share})"
+        )
+        way = "1"
+        for level in range(o.depth + 1):
+            parts.append(f"n{t}_{level} as materialized (select node, sum(g) as g, sum(h) as h from d{t}_{level} where node >= {2**level} group by node)")
+            if level == o.depth:
+                break
+            parts.append(
+                f"s{t}_{level} as (select node, f, b, sum(g) as g, sum(h) as h from (select node, g, h, f, bins[f + 1] as b from d{t}_{level}, unnest({chosen}) as u(f) where node >= {2**level}) group by all)"
+            )
+            window = "over (partition by s.node, f order by b rows between unbounded preceding and 1 preceding)"
+            parts.append(f"l{t}_{level} as (select s.node, f, b, n.g as tg, n.h as th, sum(s.g) {window} as gl, sum(s.h) {window} as hl from s{t}_{level} s join n{t}_{level} n using (node))")
+            gain = f"gl * gl / (hl + {o.leaf_penalty}) + (tg - gl) * (tg - gl) / (th - hl + {o.leaf_penalty}) - tg * tg / (th + {o.leaf_penalty})"
+            parts.append(
+                f"b{t}_{level} as materialized (select * from (select *, row_number() over (partition by node order by round(gain, 9) desc, f, b) as place from "
+                f"(select *, {gain} as gain from l{t}_{level} where gl is not null) where least(hl, th - hl) >= {o.least_hessian} and gain > {LEAST_GAIN}) where place = 1)"
+            )
+            parts.append(
+                f"d{t}_{level + 1} as materialized (select bins, g, h, case when b.node is null then d.node when bins[f + 1] < b then 2 * d.node else 2 * d.node + 1 end as node "
+                f"from (select bins, g, h, node from d{t}_{level}) d left join (select node, f, b from b{t}_{level}) b on b.node = d.node)"
+            )
+        nodes = " union all ".join(f"select {t} as tree, n.node, f, b, gain, n.h as cover, -{o.rate} * n.g / (n.h + {o.leaf_penalty}) as value from n{t}_{k} n left join b{t}_{k} b using (node)" for k in range(o.depth))
+        nodes += f" union all select {t}, node, null, null, null, h, -{o.rate} * g / (h + {o.leaf_penalty}) from n{t}_{o.depth}"
+        parts.append(f"t{t} as materialized ({nodes})")
+        found.append(f"select * from t{t}")
+        rows_at = f"(select *, 1 as node from r{t - 1})"
+        for level in range(o.depth):
+            rows_at = (
+                f"(select r.* exclude (node), case when b.node is null then r.node when bins[f + 1] < b then 2 * r.node else 2 * r.node + 1 end as node "
+                f"from {rows_at} r left join (select node, f, b from b{t}_{level}) b on b.node = r.node)"
+            )
+        parts.append(f"r{t} as materialized (select r.* exclude (node, margin), margin + value as margin from {rows_at} r join (select node, value from t{t}) using (node))")
+    names = "[" + ", ".join(f"'{f}'" for f in features) + "]"
+    all_cuts = "[" + ", ".join(f"c{k}" for k in range(len(features))) + "]"
+    return f"""with {', '.join(parts)}
+    select tree, node, {names}[f + 1] as feature, {all_cuts}[f + 1][b] as threshold, gain, cover, value from ({' union all '.join(found)}) cross join cuts"""
+
+
+TREES = boosting_sql("select * from study", CLICK_FEATURES, "target", STUDY_KEY)
+oracle("boosted_trees", TREES, "threshold, gain, cover, value")
+oracle(
+    "boosted_importance",
+    f"""select feature, case when sum(g) over () > 0 then g / sum(g) over () else 0.0 end as importance, splits, row_number() over (order by g desc, feature) as rank from (
+        select feature, coalesce(avg(gain), 0.0) as g, count(gain) as splits from (select unnest({CLICK_FEATURES}) as feature) left join ({TREES}) using (feature) group by 1)""",
+    "importance",
+)
+
+
+def given_trees() -> str:
+    """The two given trees as nested cases: value of the leaf, and change of value per feature on the way."""
+    nodes = {(t, n): (f, x, left, v) for t, n, f, x, left, _, _, v in TWO_TREES}
+
+    def walk(tree: int, n: int, of: str | None) -> str:
+        f, x, left, value = nodes[tree, n]
+        if f is None:
+            return "0.0" if of else f"{value}::double"
+        sides = []
+        for child in (2 * n, 2 * n + 1):
+            step = f"({nodes[tree, child][3]}::double - {value}::double) + " if of == f else ""
+            sides.append(f"({step}{walk(tree, child, of)})")
+        return f"case when coalesce({f} < {x}, {left}) then {sides[0]} else {sides[1]} end"
+
+    columns = ", ".join(f"{walk(1, 1, f)} + {walk(2, 1, f)} as {f}" for f in TREE_FEATURES)
+    return f"select {PANEL_KEY}, {walk(1, 1, None)} + {walk(2, 1, None)} as margin, {nodes[1, 1][3]}::double + ({nodes[2, 1][3]})::double as base, {columns} from panel"
+
+
+oracle("tree_contributions", given_trees(), f"margin, base, {', '.join(TREE_FEATURES)}")
+
 # ---- sources and sinks -------------------------------------------------------------------------
 
+NOTE = """event_type || chr(10) || '"' || coalesce(props, '') || '", ' || coalesce(cast(user_id as varchar), '') || chr(10)"""
+MALFORMED = "(event_id % 97 = 0 or event_id % 89 = 1)"
+oracle("csv_multiline_scan", f"select cast(event_id as varchar) as event_id, {NOTE} as note, cast(cast(floor(value) as bigint) as varchar) as value from events where not {MALFORMED}")
+oracle(
+    "csv_rejects",
+    f"""select 'wrong number of cells' as reason, event_id || ',"' || replace({NOTE}, '"', '""') || '"' ||
+        case when event_id % 97 = 0 then '' else coalesce(',' || cast(floor(value) as bigint), '') || ',more' end as record from events where {MALFORMED}""",
+)
+oracle(
+    "landing_audit",
+    f"""select 'student_info' as "table", count(*) as rows, cast(0 as bigint) as rejects from student_info
+    union all select 'student_assessment', count(*), 0 from student_assessment union all select 'assessments', count(*), 0 from assessments
+    union all select 'student_vle', count(*), 0 from student_vle
+    union all select 'events', count(*) filter (not {MALFORMED}), count(*) filter {MALFORMED.replace('(', '(where (', 1)}) from events""",
+)
+oracle(
+    "heatmap_pivot",
+    f"""select week, {', '.join(f"avg(high_risk_rate) filter (code_module = '{m}') as {m}" for m in HEATMAP_MODULES)}
+    from summary where run_date = date '{RUN_DATE}' group by week""",
+    ", ".join(HEATMAP_MODULES),
+)
+
 oracle("csv_scan", "select * from panel", PANEL_DOUBLES, events_default=EVENTS_RAW)
 oracle(
     "load_audit",
@@ -689,4 +878,27 @@ oracle("assignment_csv", SCENARIOS, "risk_score, base_pass_prob, uplift_scenario
 oracle("roi_csv", roi(COHORT), ROI_DOUBLES)
 oracle("sql_chain_summary", "select * from summary_sql", "avg_risk_score")
 oracle("snapshot_csv", "select id_student, code_module, week, risk_score from snap", "risk_score")
-oracle("artifact_manifest", "select 'run-1' as run_id, cast(2 as bigint) as files, true as all_filled")
+oracle(
+    "artifact_manifest",
+    """select * from (with files as (
+        select 'rows_per_week' as report, 'week,rows' as line union all
+        select 'rows_per_week', week || ',' || rows from (select week, count(*) as rows from risk group by week order by week limit 20) union all
+        select 'target_counts', 'target,rows' union all select 'target_counts', target || ',' || count(*) from study group by target)
+    select 'run-1' as run_id, report, cast(1 as bigint) as files, cast(sum(strlen(line) + 1) as bigint) as size_bytes from files group by report)""",
+)
+
+
+def declared() -> str:
+    """The declared columns, with the values that two runs leave in the two filled tables."""
+    filled = {"mart.student_risk_daily": "risk_runs", "mart.course_summary_daily": "summary"}
+    rows = []
+    for (namespace, table), ddl in OUTPUT_TABLES.items():
+        name = f"{namespace}.{table}"
+        for column in ddl.split(", "):
+            c, kind = column.split(" ")
+            count = f"(select count({c}) from {filled[name]})" if name in filled else "cast(0 as bigint)"
+            rows.append(f"""select '{name}' as "table", '{c}' as "column", '{kind.lower()}' as type, {count} as filled""")
+    return " union all ".join(rows)
+
+
+oracle("output_tables", declared())

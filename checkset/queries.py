@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlens.functions.columns import percent_text
-from cohortlens.operators import alerts, clicks, evaluation, events, experiments, explain, marts, models, quality, reports, scoring, split, staging, weekly
+from cohortlens.operators import alerts, boosting, clicks, evaluation, events, experiments, explain, marts, models, newton, quality, reports, scoring, split, staging, weekly
 from cohortlens.params import RunParams
 from cohortlens.plans import sql_chain
 from cohortlens.schemas import CLICK_FEATURES, MODEL_FEATURES, MODEL_LABEL, STUDENT_VLE
 from cohortlens.session import materialise, scratch_path
-from cohortlens.sources import adapters, readers, writers
+from cohortlens.sources import adapters, readers, records, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,6 +27,7 @@ EARLIER_DATE = "2024-01-25"
 # The test tables span 30 days, so the study cuts at day 20 with a recent window of 7 days.
 CUTOFF, RECENT = 20, 7
 SPLIT_WEEK = 2
+HEATMAP_MODULES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 PANEL_KEY = ["id_student", "code_module", "week"]
 
 # A given coefficient table: scores that do not depend on a training run.
@@ -40,6 +41,24 @@ SCORER = scoring.LinearScorer(
 EARLIER_SCORER = scoring.LinearScorer(MODEL_FEATURES, SCORER.means, SCORER.scales, SCORER.coefficients, -0.3)
 
 
+# Trees with few, small rounds, as their SQL spells every round out; and two given trees, a node a row (NODES of boosting).
+FEW_TREES = boosting.Settings(trees=3, depth=2, bins=16)
+STUDY_KEY = ["id_student", "code_presentation"]
+TREE_FEATURES = ["rolling_score_3w", "cum_submissions", "score_trend_2w"]
+TWO_TREES = [
+    (1, 1, "rolling_score_3w", 40.0, False, 9.0, 50.0, 0.1),
+    (1, 2, "cum_submissions", 6.0, False, 4.0, 30.0, 0.4),
+    (1, 3, None, None, None, None, 20.0, -0.3),
+    (1, 4, None, None, None, None, 12.0, 0.7),
+    (1, 5, None, None, None, None, 18.0, 0.15),
+    (2, 1, "score_trend_2w", -5.0, True, 6.0, 48.0, -0.05),
+    (2, 2, None, None, None, None, 15.0, 0.25),
+    (2, 3, "rolling_score_3w", 55.0, True, 3.0, 33.0, -0.2),
+    (2, 6, None, None, None, None, 14.0, 0.05),
+    (2, 7, None, None, None, None, 19.0, -0.45),
+]
+
+
 def query(f: Query) -> Query:
     QUERIES[f.__name__] = f
     return f
@@ -671,13 +690,45 @@ def top_features(spark, d):
 
 @query
 def top_feature_map(spark, d):
-    """The top features as one map, opened again."""
-    rows = explain.linear_contributions(split.seeded_sample(split.model_rows(panel(spark, d)), 200, PANEL_KEY), SCORER)
+    """The top features as one map, opened again; all model rows are explained."""
+    rows = explain.linear_contributions(split.model_rows(panel(spark, d)), SCORER)
     as_map = explain.feature_map(explain.top_features(rows, "mean_abs_contribution", 5), "mean_abs_contribution")
     return rounded(as_map.select(F.explode("top_features").alias("feature", "mean_abs_contribution")))
 
 
-# ---- training (rows only) ----------------------------------------------------------------
+@query
+def permutation_importance(spark, d):
+    return rounded(explain.permutation_importance(evaluated(spark, d), SCORER, MODEL_LABEL, PANEL_KEY))
+
+
+@query
+def tree_contributions(spark, d):
+    """What each feature adds to the margin of each row, for a given model of two trees."""
+    model = boosting.BoostedTrees(spark.createDataFrame(TWO_TREES, boosting.NODES), TREE_FEATURES, boosting.Settings(trees=2, depth=2))
+    rows = model.contributions(model.score(panel(spark, d)))
+    return rounded(rows.select(*PANEL_KEY, "margin", "base", *[F.col("contributions")[f].alias(f) for f in TREE_FEATURES]))
+
+
+# ---- training: Newton and trees with SQL, the others rows only -----------------------------
+
+
+@query
+def train_newton(spark, d):
+    return rounded(models.coefficient_rows(spark, newton.fit_newton(training_rows(spark, d))))
+
+
+@query
+def boosted_trees(spark, d):
+    """The nodes of a few trees on the click study."""
+    model = boosting.fit_boosted(study(spark, d), CLICK_FEATURES, "target", STUDY_KEY, FEW_TREES)
+    return rounded(model.nodes.drop("nulls_left"))
+
+
+@query
+def boosted_importance(spark, d):
+    model = boosting.fit_boosted(study(spark, d), CLICK_FEATURES, "target", STUDY_KEY, FEW_TREES)
+    return rounded(model.importance())
+
 
 
 @query
@@ -700,11 +751,6 @@ def train_gbt(spark, d):
     return models.tree_importance(spark, model)
 
 
-@query
-def permutation_importance(spark, d):
-    return explain.permutation_importance(evaluated(spark, d), SCORER, MODEL_LABEL, PANEL_KEY)
-
-
 # ---- sources and sinks, written below the shared folder and read back ----------------------
 
 
@@ -721,6 +767,43 @@ def _csv_folder(spark, d) -> str:
     return folder
 
 
+def _quoted_folder(spark, d) -> str:
+    """Events as CSV whose cells hold line breaks, quotes and separators; some records have too few or too many cells."""
+    folder = scratch_path(spark, "quoted")
+    note = F.concat_ws("", "event_type", F.lit('\n"'), "props", F.lit('", '), F.col("user_id").cast("string"), F.lit("\n"))
+    rows = adapters.driver_table(spark, d, "events").select("event_id", note.alias("note"), F.floor("value").cast("bigint").alias("value"))
+    short, long = F.col("event_id") % 97 == 0, F.col("event_id") % 89 == 1
+    writers.write_csv(rows.where(~short & ~long), f"{folder}/good")
+    quoted = F.concat(F.lit('"'), F.replace("note", F.lit('"'), F.lit('""')), F.lit('"'))
+    cells = F.concat_ws(",", "event_id", quoted, F.when(~short, F.col("value")), F.when(~short, F.lit("more")))
+    bad = rows.where(short | long).select(F.pmod("event_id", F.lit(4)).alias("part"), F.col("event_id").alias("place"), cells.alias("line"))
+    # one header a file
+    heads = spark.range(4).select(F.col("id").alias("part"), F.lit(-1).cast("bigint").alias("place"), F.lit("event_id,note,value").alias("line"))
+    lines = bad.unionByName(heads).repartition(4, "part").sortWithinPartitions("part", "place")
+    lines.select("part", "line").write.partitionBy("part").text(f"{folder}/bad")
+    return folder
+
+
+@query
+def csv_multiline_scan(spark, d):
+    """Cells with line breaks and quotes, read back as they were; malformed records are not among them."""
+    return records.read_csv_records(spark, _quoted_folder(spark, d)).rows
+
+
+@query
+def csv_rejects(spark, d):
+    """The malformed records, whole."""
+    return records.read_csv_records(spark, _quoted_folder(spark, d)).rejects.select("reason", "record")
+
+
+@query
+def landing_audit(spark, d):
+    """Rows and rejects per landed table, observed while landing."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS raw_audit")
+    loads = readers.read_raw_records(spark, _csv_folder(spark, d)) | {"events": records.read_csv_records(spark, _quoted_folder(spark, d))}
+    return writers.land_records(loads, "raw_audit", scratch_path(spark, "landing"))
+
+
 @query
 def csv_scan(spark, d):
     """Raw CSV files to weekly features."""
@@ -872,12 +955,31 @@ def metric_json(spark, d):
 
 @query
 def artifact_manifest(spark, d):
-    """Files of a written run; sizes depend on the writer, so only what must hold is returned."""
+    """Files of a run and their bytes, per report; the reports hold integers only, so SQL knows every byte."""
     folder = scratch_path(spark, "run")
-    writers.write_small_csv(summary(spark, d), f"{folder}/course_summary")
-    writers.write_small_csv(experiments.roi_grid(cohort(spark, d)), f"{folder}/roi")
+    writers.write_small_csv(reports.rows_per_week(risk(spark, d)), f"{folder}/rows_per_week")
+    writers.write_small_csv(reports.value_counts(study(spark, d), "target").drop("share"), f"{folder}/target_counts")
     manifest = writers.artifact_manifest(spark, folder, "run-1", "part-*.csv")
-    return manifest.groupBy("run_id").agg(F.count("*").alias("files"), F.min(F.col("size_bytes") > 0).alias("all_filled"))
+    report = F.element_at(F.split("storage_uri", "/"), -2).alias("report")
+    return manifest.groupBy("run_id", report).agg(F.count("*").alias("files"), F.sum("size_bytes").alias("size_bytes"))
+
+
+@query
+def heatmap_pivot(spark, d):
+    """Weeks as rows, the modules of the course dimension as columns."""
+    facts = marts.course_summary(risk(spark, d), one_row_per_student=True)
+    return rounded(reports.module_heatmap(facts, HEATMAP_MODULES))
+
+
+@query
+def output_tables(spark, d):
+    """The output tables as declared, two of them filled; per column its type, position and how many values it holds."""
+    prefix = f"ddl_{uuid.uuid4().hex}_"
+    writers.create_tables(spark, prefix)
+    writers.create_tables(spark, prefix)
+    writers.append_table(risk_runs(spark, d), f"{prefix}mart.student_risk_daily")
+    writers.append_table(marts.course_summary(risk_runs(spark, d), one_row_per_student=True), f"{prefix}mart.course_summary_daily")
+    return writers.table_columns(spark, prefix)
 
 
 @query

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.functions.columns import uniform
 from cohortlens.functions.ordered import shuffled_ranks
 from cohortlens.operators.evaluation import curve_areas, score_curve
 from cohortlens.operators.models import TrainedModel
@@ -69,7 +70,7 @@ def permutation_importance(
     receivers = ranked.select("_rank", "_rows", *features, label).withColumn(
         "rep", F.explode(F.sequence(F.lit(1), F.lit(repeats)))
     )
-    step = F.lit(1) + F.pmod(F.xxhash64(F.lit(seed), F.col("rep")), F.greatest(F.col("_rows") - 1, F.lit(1)))
+    step = F.lit(1) + F.floor(uniform(seed, F.col("rep")) * F.greatest(F.col("_rows") - 1, F.lit(1)))
     aimed = receivers.withColumn("_donor", F.pmod(F.col("_rank") + step, F.col("_rows")))
     donors = ranked.select(F.col("_rank").alias("_donor"), *[F.col(c).alias(f"other_{c}") for c in features])
     pairs = aimed.join(donors, "_donor")

@@ -7,12 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.schemas import RAW_FILES, struct
+from cohortlens.sources.records import CsvLoad, read_csv_records
 
 
 def read_text_table(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV file or folder with a header, every column as text, header names trimmed."""
-    df = spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"')
-    return df.toDF(*[c.strip() for c in df.columns])
+    """A CSV file or folder with headers, every column as text, header names trimmed; cells may hold line breaks.
+
+    A malformed record is an error, as in a bulk copy; ``records.read_csv_records`` has them in a table of their own.
+    """
+    return read_csv_records(spark, path).strict()
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -27,17 +30,17 @@ def read_csv_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     )
 
 
-def _read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+def _read_if_present(spark: SparkSession, path: str) -> CsvLoad | None:
     try:
-        return read_text_table(spark, path)
+        return read_csv_records(spark, path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
-def read_raw_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All raw tables of a folder as text; required files must exist, optional ones may not."""
+def read_raw_records(spark: SparkSession, folder: str) -> dict[str, CsvLoad]:
+    """All raw tables of a folder as text, with their rejects; required files must exist, optional ones may not."""
     found = {
         table: _read_if_present(spark, f"{folder.rstrip('/')}/{file}")
         for table, (file, _) in RAW_FILES.items()
@@ -45,7 +48,12 @@ def read_raw_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     missing = [file for table, (file, required) in RAW_FILES.items() if required and found[table] is None]
     if missing:
         raise FileNotFoundError(f"required raw files missing in {folder}: {', '.join(missing)}")
-    return {table: df for table, df in found.items() if df is not None}
+    return {table: load for table, load in found.items() if load is not None}
+
+
+def read_raw_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """All raw tables of a folder as text; a malformed record is an error."""
+    return {table: load.strict() for table, load in read_raw_records(spark, folder).items()}
 
 
 def source_table(spark: SparkSession, namespace: str, table: str) -> DataFrame:

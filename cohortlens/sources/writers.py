@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.schemas import NAMESPACES, OUTPUT_TABLES
+from cohortlens.sources.records import QUOTING, CsvLoad
+
+# cells are written as they are: quotes doubled, white space kept
+CSV_OUT = {"header": True, **QUOTING, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def land_raw(tables: dict[str, DataFrame], namespace: str = "raw", location: str | None = None) -> dict[str, str]:
@@ -24,13 +28,46 @@ def land_raw(tables: dict[str, DataFrame], namespace: str = "raw", location: str
     return names
 
 
-def create_tables(spark: SparkSession) -> None:
-    """Namespaces and output tables, left alone where they exist."""
+def land_records(loads: dict[str, CsvLoad], namespace: str = "raw", location: str | None = None) -> DataFrame:
+    """Land raw tables as text and say what was landed: table, rows, rejects.
+
+    The counts are observed while the rows are written, so no file is read again for them. Rejects, if there
+    are any, go to a table of their own, ``<table>_rejects``, with file, reason and record.
+    """
+    audit = []
+    for table, load in loads.items():
+        seen = Observation(f"landing {table}")
+        parsed = load.parsed.observe(seen, *load.counts())
+        good = parsed.where("reason is null").select(*[F.col("cells").getField(f"c{k}").alias(c) for k, c in enumerate(load.columns)])
+        land_raw({table: good}, namespace, location)
+        counts = seen.get
+        if counts["rejects"]:
+            land_raw({f"{table}_rejects": load.rejects}, namespace, location)
+        audit.append((table, counts["rows"], counts["rejects"]))
+    spark = next(iter(loads.values())).parsed.sparkSession
+    return spark.createDataFrame(audit, "table string, rows long, rejects long")
+
+
+def create_tables(spark: SparkSession, prefix: str = "") -> None:
+    """Namespaces and output tables, left alone where they exist. ``prefix`` goes before the namespaces' names."""
     for namespace in NAMESPACES:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{namespace}`")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{prefix}{namespace}`")
     for (namespace, table), ddl in OUTPUT_TABLES.items():
         by = " PARTITIONED BY (run_date)" if ddl.startswith("run_date DATE") else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS `{namespace}`.`{table}` ({ddl}) USING parquet{by}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS `{prefix}{namespace}`.`{table}` ({ddl}) USING parquet{by}")
+
+
+def table_columns(spark: SparkSession, prefix: str = "") -> DataFrame:
+    """What the catalog says of the output tables, and what they hold: table, column, type, filled (values that are not null)."""
+    out = None
+    for namespace, table in OUTPUT_TABLES:
+        name = f"{namespace}.{table}"
+        rows = spark.table(f"`{prefix}{namespace}`.`{table}`")
+        counts = rows.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c, _ in rows.dtypes])
+        entries = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(t).alias("type"), F.col(f"`{c}`").alias("filled")) for c, t in rows.dtypes]))
+        one = counts.select(entries.alias("e")).select(F.lit(name).alias("table"), "e.*")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def add_missing_column(spark: SparkSession, table: str, column: str, sql_type: str) -> bool:
@@ -70,12 +107,12 @@ def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True)
+    df.write.mode("overwrite").csv(path, **CSV_OUT)
 
 
 def write_small_csv(df: DataFrame, path: str) -> None:
     """One file; only for results of a fixed small size (a report, a grid, a 500-row sample)."""
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True)
+    df.coalesce(1).write.mode("overwrite").csv(path, **CSV_OUT)
 
 
 def write_json(df: DataFrame, path: str) -> None:

@@ -12,7 +12,7 @@ from checkset.oracles import ORACLES
 from checkset.queries import QUERIES
 
 TABLES = ["events", "customer", "part"]
-ROWS_ONLY = {"train_logistic", "train_mlp", "train_gbt", "permutation_importance"}
+ROWS_ONLY = {"train_logistic", "train_mlp", "train_gbt"}
 
 
 @pytest.fixture(scope="module")
