@@ -848,6 +848,24 @@ oracle(
     union all select 'student_vle', count(*), 0 from student_vle
     union all select 'events', count(*) filter (not {MALFORMED}), count(*) filter {MALFORMED.replace('(', '(where (', 1)}) from events""",
 )
+oracle("committed_latest_run", "select * from risk", RISK_DOUBLES)
+oracle(
+    "committed_history",
+    f"""select case run_date when date '{RUN_DATE}' then 'r2' else 'r1' end as run_id, run_date, count(*) as rows,
+        cast(sum(high_risk_flag) as bigint) as flagged, count(*) as logged from risk_runs group by run_date""",
+)
+oracle("incremental_panel", "select * from panel", PANEL_DOUBLES)
+oracle(
+    "risk_weekly_bucketed",
+    "select * from risk_weekly",
+    "risk_score, weekly_score_mean, rolling_3_week_mean, weekly_score_trend, studied_credits, pass_probability_base",
+)
+oracle(
+    "generations_scan",
+    """select event_id, user_id, case when event_id % 3 <> 0 then event_type end as event_type,
+        case event_id % 3 when 0 then floor(value) when 2 then value end as value from events""",
+    "value",
+)
 oracle(
     "heatmap_pivot",
     f"""select week, {', '.join(f"avg(high_risk_rate) filter (code_module = '{m}') as {m}" for m in HEATMAP_MODULES)}

@@ -13,10 +13,10 @@ from pyspark.sql import types as T
 from cohortlens.functions.columns import percent_text
 from cohortlens.operators import alerts, boosting, clicks, evaluation, events, experiments, explain, marts, models, newton, quality, reports, scoring, split, staging, weekly
 from cohortlens.params import RunParams
-from cohortlens.plans import sql_chain
+from cohortlens.plans import incremental, sql_chain
 from cohortlens.schemas import CLICK_FEATURES, MODEL_FEATURES, MODEL_LABEL, STUDENT_VLE
 from cohortlens.session import materialise, scratch_path
-from cohortlens.sources import adapters, readers, records, writers
+from cohortlens.sources import adapters, commits, readers, records, stored, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -904,12 +904,76 @@ def partition_overwrite_sink(spark, d):
     return back.groupBy(F.col("run_date").cast("date").alias("run_date")).agg(F.count("*").alias("rows"), F.sum("high_risk_flag").alias("flagged"))
 
 
+RISK_SCHEMA = "run_date DATE, id_student BIGINT, code_module STRING, week INT, risk_score DOUBLE, high_risk_flag INT, weekly_score_mean DOUBLE, cum_submissions DOUBLE"
+
+
+def _committed_runs(spark, d) -> str:
+    """Two runs, the second one twice, and a third that died before its commit."""
+    root = scratch_path(spark, "runs")
+    rows = panel(spark, d)
+    for run_id, scorer, day, ends in (("r1", EARLIER_SCORER, EARLIER_DATE, True), ("r2", SCORER, RUN_DATE, True), ("r2", SCORER, RUN_DATE, True), ("r3", SCORER, "2024-02-08", False)):
+        run = commits.Run(spark, root, run_id, day)
+        run.write("student_risk", marts.student_risk(scoring.score_linear(rows, scorer), day))
+        if ends:
+            run.commit()
+    return root
+
+
+@query
+def committed_latest_run(spark, d):
+    return rounded(commits.newest_run(spark, _committed_runs(spark, d), "student_risk", RISK_SCHEMA))
+
+
+@query
+def committed_history(spark, d):
+    """Rows per run that readers see, as read and as the log has them."""
+    root = _committed_runs(spark, d)
+    seen = commits.read_runs(spark, root, "student_risk", RISK_SCHEMA).groupBy("run_id", "run_date").agg(F.count("*").alias("rows"), F.sum("high_risk_flag").alias("flagged"))
+    return seen.join(commits.committed(spark, root).select("run_id", F.col("rows").alias("logged")), "run_id")
+
+
+@query
+def incremental_panel(spark, d):
+    """The panel fed in four batches, every seventh submission a batch late."""
+    root = scratch_path(spark, "panel-batches")
+    submissions, info, due = sources(spark, d)
+    lag = F.when(F.pmod(F.hash("id_student", "id_assessment", "date_submitted"), F.lit(7)) == 0, 1).otherwise(0)
+    batch = F.least(F.coalesce(F.floor(F.greatest("date_submitted", F.lit(0)) / 10), F.pmod("id_student", F.lit(4))) + lag, F.lit(3))
+    dealt = submissions.withColumn("batch", batch)
+    for k in range(4):
+        incremental.add_batch(spark, root, f"batch-{k}", RUN_DATE, dealt.where(F.col("batch") == k).drop("batch"), info, due)
+    return rounded(incremental.read_panel(spark, root, incremental.panel_schema(info)))
+
+
+@query
+def risk_weekly_bucketed(spark, d):
+    """The joined mart over tables stored by student and module."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS mart")
+    tables = {"scores": scores(spark, d), "panel": panel_sql(spark, d), "info": staging.stage_student_info(adapters.student_info(spark, d))}
+    names = {k: f"mart.{k}_{uuid.uuid4().hex}" for k in tables}
+    for k, df in tables.items():
+        stored.store_bucketed(df, names[k], path=scratch_path(spark, f"bucketed-{k}"))
+    return rounded(stored.risk_weekly_stored(spark, *names.values()))
+
+
+@query
+def generations_scan(spark, d):
+    """Events written three times over with growing columns and types, read as one table."""
+    root = scratch_path(spark, "generations")
+    events_now = adapters.driver_table(spark, d, "events").select("event_id", "user_id", "event_type", "value")
+    old = events_now.where("event_id % 3 = 0").selectExpr("cast(event_id AS int) AS event_id", "cast(user_id AS int) AS user_id", "cast(floor(value) AS int) AS value")
+    middle = events_now.where("event_id % 3 = 1").selectExpr("event_id", "cast(user_id AS int) AS user_id", "event_type")
+    for name, df in (("g1", old), ("g2", middle), ("g3", events_now.where("event_id % 3 = 2"))):
+        df.write.parquet(f"{root}/{name}")
+    rows = stored.read_generations(spark, [f"{root}/g{k}" for k in (1, 2, 3)], "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE")
+    return rounded(rows)
+
+
 @query
 def mart_csv_sample(spark, d):
     path = scratch_path(spark, "risk-sample")
     writers.write_small_csv(scoring.scored_order(risk(spark, d)).limit(500), path)
-    schema = "run_date DATE, id_student BIGINT, code_module STRING, week INT, risk_score DOUBLE, high_risk_flag INT, weekly_score_mean DOUBLE, cum_submissions DOUBLE"
-    return rounded(readers.read_csv_table(spark, path, schema))
+    return rounded(readers.read_csv_table(spark, path, RISK_SCHEMA))
 
 
 @query
