@@ -1,8 +1,8 @@
 """Secret scan: keyword automaton, anchored patterns near its hits, checksums of the values found.
 
 ``scan`` reads every whole text once. An Aho-Corasick automaton over the keywords of all
-kinds finds where a secret may begin; only there is the pattern of that kind tried, anchored. Runs
-of hexadecimal digits and base-58 keys have no keyword; their own pattern is the search. Values with an embedded checksum (``CHECKED``) count only if it agrees.
+kinds finds where a secret may begin; only there is the pattern of that kind tried, anchored. Base-58 keys have three
+one-letter keywords, which count only where a run of letters and digits begins and is 51 or 52 long; hexadecimal runs have no keyword, their own pattern is the search. Values with an embedded checksum (``CHECKED``) count only if it agrees.
 
 Defined cases: a null text counts as empty and gives zero counts and the digest of the empty string;
 repeated rows give repeated results; other columns of the input are ignored. Letters match in
@@ -33,8 +33,11 @@ ACCESS_RUN = re.compile(rb"AKIA[A-Z0-9]+")
 HEX_RUN = re.compile(rb"[0-9a-f]{32,}")
 GITHUB = re.compile(rb"gh[opusr]_([0-9A-Za-z]{30})([0-9A-Za-z]{6})(?![0-9A-Za-z])")
 NPM = re.compile(rb"npm_([0-9A-Za-z]{30})([0-9A-Za-z]{6})(?![0-9A-Za-z])")
-WIF = re.compile(rb"(?<![0-9A-Za-z])[5KL][1-9A-HJ-NP-Za-km-z]{50,51}(?![0-9A-Za-z])")
+WIF = re.compile(rb"[5KL][1-9A-HJ-NP-Za-km-z]{50,51}(?![0-9A-Za-z])")
+# runs of letters and digits that are as long as a base-58 key: the only places where the keywords 5, K and L may begin one
+WIF_RUN = re.compile(rb"(?<![0-9A-Za-z])[0-9A-Za-z]{51,52}(?![0-9A-Za-z])")
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+WIF_FIRST = b"5KL"
 BASE58 = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
 
 
@@ -105,10 +108,21 @@ def find_spans(raw: bytes, hits: ahocorasick.Automaton) -> list[tuple[str, int,
                 free[kind] = m.end()
                 found.append((kind, start, m.end()))
     found += [("hex", m.start(), m.end()) for m in HEX_RUN.finditer(raw)]
-    found += [("wif", m.start(), m.end()) for m in WIF.finditer(raw) if wif_is_valid(m[0])]
+    for run in WIF_RUN.finditer(raw):
+        if raw[run.start()] in WIF_FIRST and (m := WIF.match(raw, run.start())) and wif_is_valid(m[0]):
+            found.append(("wif", m.start(), m.end()))
     return found
 
 
+def in_code_points(raw: bytes, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """Spans of a UTF-8 text in code points. Characters are counted once, from one offset to the next."""
+    place, at, chars = {}, 0, 0
+    for offset in sorted({x for _, s, e in spans for x in (s, e)}):
+        chars += len(raw[at:offset].decode())
+        place[offset], at = chars, offset
+    return [(k, place[s], place[e]) for k, s, e in spans]
+
+
 def _scanner() -> Callable[[str], tuple]:
     hits = automaton()
     rank = {k: i for i, k in enumerate([*KINDS, *CHECKED, "wif"])}
@@ -120,7 +134,7 @@ def _scanner() -> Callable[[str], tuple]:
         if not spans:
             return 0, 0, 0, nothing, ""
         if len(raw) != len(text):  # bytes to code points
-            spans = [(k, len(raw[:s].decode()), len(raw[:e].decode())) for k, s, e in spans]
+            spans = in_code_points(raw, spans)
         spans.sort(key=lambda x: (x[1], rank[x[0]]))
         base = ",".join(f"{k}:{s}:{e}" for k, s, e in spans if k in KINDS)
         counts = [sum(k == kind for k, _, _ in spans) for kind in KINDS]
