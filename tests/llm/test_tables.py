@@ -91,6 +91,22 @@ def plain_links(rows):
     ]
 
 
+def test_cells_keep_near_pairs_and_part_unrelated_ones():
+    """At cosine 0.98 nearly all pairs share a cell with one's home; of random pairs hardly any."""
+    rng = np.random.default_rng(1)
+    a, r = rng.standard_normal((2, 2000, 48))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    r -= (r * a).sum(axis=1, keepdims=True) * a
+    b = 0.98 * a + np.sqrt(1 - 0.98**2) * r / np.linalg.norm(r, axis=1, keepdims=True)
+
+    def share(x, y):
+        return ((x[:, :, :1] == y).any(axis=2) | (y[:, :, :1] == x).any(axis=2)).any(axis=1).mean()
+
+    cells = lattice.cells_of(a)
+    assert share(cells, lattice.cells_of(b)) >= 0.999
+    assert np.mean([share(cells, np.roll(cells, k, axis=0)) for k in range(1, 20)]) < 0.0005
+
+
 def test_lattice_dedup(spark, monkeypatch):
     monkeypatch.setattr(lattice, "CELL_BLOCK", 4)  # so that cells are split
     rows = vectors(spark)
@@ -120,7 +136,7 @@ def test_lattice_points_are_nearest():
             for p in (np.floor(x - shift) + np.array(d) + shift for d in itertools.product((0, 1), repeat=8))
             if (p - shift).sum() % 2 == 0
         )
-        assert abs(((lattice.e8_points(x[None], 1)[0, 0] / 2 - x) ** 2).sum() - best) < 1e-9
+        assert abs(((lattice.e8_points(x[None], 1)[0][0, 0] / 2 - x) ** 2).sum() - best) < 1e-9
 
 
 def test_components_of_a_long_chain_and_a_hub(spark):
@@ -156,6 +172,57 @@ def test_pages_without_a_marked_article(spark):
     assert got[9].startswith("Welcome to the site") and got[9].endswith("ever since")
 
 
+def plain_runs(pages, run=8, copy_share=0.9):
+    """Texts of unmarked pages (id, host, blocks) by the definition: every run of tokens is looked up on every other page."""
+    tokens = {i: (h, " ".join(b).split(" ") if b else []) for i, h, b in pages}
+
+    def grams(i):
+        h, t = tokens[i]
+        return [(h, *t[k : k + run]) for k in range(len(t) - run + 1)]
+
+    def covered(i, wanted):
+        gone = set()
+        for k, g in enumerate(grams(i)):
+            if wanted(i, g):
+                gone |= set(range(k, k + run))
+        return gone
+
+    on = {}
+    for i in tokens:
+        for g in grams(i):
+            on.setdefault(g, set()).add(i)
+    copies = {i for i in tokens if len(tokens[i][1]) >= run and len(covered(i, lambda _, g: len(on[g]) > 1)) >= copy_share * len(tokens[i][1])}
+    out = {}
+    for i, _, blocks in pages:
+        gone, at, text = covered(i, lambda _, g: len(on[g]) > 1 and on[g] - copies), 0, []
+        for b in blocks:
+            words = b.split(" ")
+            kept = [w for k, w in enumerate(words) if at + k not in gone]
+            at += len(words)
+            text += [" ".join(kept)] if kept else []
+        out[i] = "\n".join(text)
+    return out
+
+
+def test_host_runs_against_the_definition(spark):
+    """Menus go, stories stay, on mirrored pages too; near copies, short pages and other hosts."""
+    rng = np.random.default_rng(2)
+    words = [f"w{k}" for k in range(400)]
+
+    def prose(n):
+        return " ".join(rng.choice(words, n))
+
+    menu, foot, story = prose(14), prose(9), prose(80)
+    pages = [(k, "a.example", [menu, prose(60), prose(30), foot]) for k in range(4)]
+    pages += [(10, "a.example", [menu, story, foot]), (11, "a.example", [menu, story, foot]), (12, "a.example", [menu, story + " changed", foot])]
+    pages += [(20, "b.example", [story]), (21, "b.example", [story]), (22, "c.example", [menu, story]), (23, "a.example", ["short"]), (24, "a.example", [])]
+    pages += [(30, "d.example", [prose(40) + " " + foot + " " + prose(40)]), (31, "d.example", [prose(50), foot + " " + prose(5)])]
+    rows = [(i, f"http://{h}/{i}", "".join(f"<p>{b}</p>" for b in blocks)) for i, h, blocks in pages]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert got == plain_runs(pages)
+    assert got[10] == got[11] == story and got[20] == got[21] == story and menu not in "".join(got[k] for k in range(4))
+
+
 @pytest.mark.parametrize("page", ["<article>" + "<p>x" * 20_000, "<" * 5_000, "<div>" * 5_000, "<!--" * 2_000, "&amp" * 3_000])
 def test_odd_pages_end(page):
     html_text.parse(page)

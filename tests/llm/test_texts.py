@@ -133,12 +133,22 @@ def test_secret_scan(spark, docs, nothing):
     assert secrets.scan(docs).count() == docs.count() and secrets.scan(nothing).count() == 0
 
 
+def test_secrets_of_a_long_text_in_two_scripts(spark):
+    """Thousands of spans between characters of several bytes: places are counted once, not from the start for every span."""
+    text = "".join(f"日é token=abcdefgh{k} AKIA{'Z' * 16} " for k in range(20_000))
+    got = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert got.n_assign == got.n_access == 20_000 and got.base_sha256 == brute.sha(plain_spans(text))
+
+
 def test_secret_checksums(spark):
     body = b"0123456789abcdefghijABCDEFGHIJ"
     good = "ghp_" + body.decode() + secrets.crc_base62(body).decode()
     df = spark.createDataFrame([(1, f"é {good}!"), (2, good[:-1] + "~"), (3, "npm_" + good[4:-1] + ("0" if good[-1] != "0" else "1"))], "doc_id long, text string")
     got = {r.doc_id: r.spans for r in secrets.scan(df).collect()}
     assert got == {1: "github:2:42", 2: "", 3: ""}
+    key = "5HueCGU8rMjxEXxiPuD5BDku4MkFqeZyd4dZ1jvhTVqvbTLvyTJ"
+    placed = spark.createDataFrame([(1, f"日 {key},"), (2, f"x{key}"), (3, f"{key}9"), (4, f"{key} {key[::-1]} {key}")], "doc_id long, text string")
+    assert {r.doc_id: r.spans for r in secrets.scan(placed).collect()} == {1: "wif:2:53", 2: "", 3: "", 4: "wif:0:51,wif:104:155"}
     # a published example key
     assert secrets.wif_is_valid(b"5HueCGU8rMjxEXxiPuD5BDku4MkFqeZyd4dZ1jvhTVqvbTLvyTJ") and not secrets.wif_is_valid(b"5HueCGU8rMjxEXxiPuD5BDku4MkFqeZyd4dZ1jvhTVqvbTLvyTK")
 
