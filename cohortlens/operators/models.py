@@ -1,4 +1,4 @@
-"""Classifiers by name, all of them ``pyspark.ml`` estimators trained across the cluster."""
+"""Classifiers by name: ``pyspark.ml`` estimators, and the Newton fit and the boosted trees of this package."""
 
 from __future__ import annotations
 
@@ -12,7 +12,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.operators.scoring import LinearScorer, standard_moments, with_flag
+from cohortlens.operators.boosting import BoostedTrees, Settings, fit_boosted
+from cohortlens.operators.newton import fit_newton
+from cohortlens.operators.scoring import LinearScorer, score_linear, standard_moments, with_flag
 from cohortlens.params import RunParams
 from cohortlens.schemas import MODEL_FEATURES, MODEL_LABEL
 from cohortlens.session import checkpointed
@@ -115,6 +117,58 @@ def train(
     return TrainedModel(name, pipeline, features, settings, row)
 
 
+@dataclass
+class NewtonModel:
+    """The logistic score fitted by Newton's method."""
+
+    scorer: LinearScorer
+    features: list[str]
+    settings: dict
+    name: str = "newton"
+
+    def linear(self) -> LinearScorer:
+        return self.scorer
+
+    def score(self, df: DataFrame, threshold: float = RunParams.risk_threshold) -> DataFrame:
+        return score_linear(df, self.scorer, threshold)
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        coefficient_rows(spark, self.scorer).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+@dataclass
+class TreeModel:
+    """Boosted trees as a table of nodes."""
+
+    trees: BoostedTrees
+    features: list[str]
+    settings: dict
+    name: str = "boosted"
+
+    def score(self, df: DataFrame, threshold: float = RunParams.risk_threshold) -> DataFrame:
+        return self.trees.score(df, threshold).drop("margin")
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        self.trees.nodes.coalesce(1).write.mode("overwrite").parquet(path)
+
+
+OWN_MODELS = ("newton", "boosted")
+
+
+def train_named(df: DataFrame, name: str, keys: Sequence[str], features: Sequence[str] = MODEL_FEATURES, label: str = MODEL_LABEL, seed: int = RunParams.seed, **options):
+    """Fit a model by name: one of ``OWN_MODELS`` or one of the library's (``train``). ``keys`` name the unique key of the rows."""
+    features = list(features)
+    if name == "newton":
+        return NewtonModel(fit_newton(df, features, label, **options), features, {"model_type": "LogisticRegression", "solver": "newton", "random_seed": seed})
+    if name == "boosted":
+        settings = Settings(seed=seed, **options)
+        shown = {"model_type": "BoostedTrees", "trees": settings.trees, "max_depth": settings.depth, "step_size": settings.rate, "random_seed": seed}
+        return TreeModel(fit_boosted(df, features, label, keys, settings), features, shown)
+    if name not in MODELS:
+        raise ValueError(f"unknown model {name!r}, choose one of {sorted([*MODELS, *OWN_MODELS])}")
+    return train(df, name, features, label, seed, **options)
+
+
 def model_metadata(
     spark: SparkSession, model: TrainedModel, split_week: int, train_rows: int, test_rows: int, seed: int
 ) -> DataFrame:
@@ -126,7 +180,10 @@ def model_metadata(
     )
 
 
-def save_model(model: TrainedModel, path: str) -> None:
+def save_model(model: TrainedModel | NewtonModel | TreeModel, path: str) -> None:
+    if isinstance(model, (NewtonModel, TreeModel)):
+        model.save(SparkSession.active(), path)
+        return
     model.pipeline.write().overwrite().save(path)
 
 

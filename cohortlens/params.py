@@ -23,4 +23,5 @@ class RunParams:
     cutoff_day: int = 90
     recent_days: int = 30
     model_name: str = "logistic"
+    model_options: tuple[tuple[str, object], ...] = ()
     model_version: str = "v1"

@@ -57,10 +57,11 @@ def run_daily(
     rows = split.model_rows(panel)
     at = split.split_week(rows, params.split_week).first()["split_week"]
     train_rows = rows.filter(F.col("week") < at)
-    model = models.train(train_rows, params.model_name, seed=params.seed)
+    model = models.train_named(train_rows, params.model_name, PANEL_KEY, seed=params.seed, **dict(params.model_options))
     models.save_model(model, f"{out}/model")
 
-    if model.name == "logistic":
+    linear = model.name in ("logistic", "newton")
+    if linear:
         scored = scoring.score_linear(panel, model.linear(), params.risk_threshold)
     else:
         scored = model.score(panel, params.risk_threshold)
@@ -77,8 +78,10 @@ def run_daily(
         models.model_metadata(spark, model, at, sizes["train"], sizes["test"], params.seed), f"{out}/model_metadata"
     )
 
-    if model.name == "logistic":
+    if linear:
         importance, value = explain.linear_contributions(train_rows, model.linear()), "mean_abs_contribution"
+    elif model.name == "boosted":
+        importance, value = model.trees.mean_contributions(train_rows), "mean_abs_contribution"
     else:
         importance = explain.permutation_importance(train_rows, model, MODEL_LABEL, PANEL_KEY, seed=params.seed)
         value = "importance"

@@ -7,7 +7,7 @@ import pytest
 from conftest import DATA, rows
 from pyspark.sql import functions as F
 
-from cohortlens.operators import clicks, marts, quality, reports, staging
+from cohortlens.operators import clicks, marts, models, quality, reports, staging
 from cohortlens.params import RunParams
 from cohortlens.plans import click_study, daily, sql_chain
 from cohortlens.sources import adapters, readers, writers
@@ -158,6 +158,19 @@ def test_daily_run_with_another_model(spark, inputs, tmp_path):
     assert got["top_features"].count() == 9 and "experiment" not in got
 
 
+@pytest.mark.parametrize("name, options", [("newton", ()), ("boosted", (("trees", 3), ("depth", 3)))])
+def test_daily_run_with_own_models(spark, inputs, tmp_path, name, options):
+    """Explained by contributions of all rows; the model is saved as a table."""
+    out = str(tmp_path / "run")
+    got = daily.run_daily(spark, *inputs, out=out, run_ts=TS, run_id="r1", params=RunParams(split_week=2, model_name=name, model_options=options))
+    assert got["metrics"].first().model_backend == name and got["metrics"].first().auc > 0.5
+    assert got["top_features"].columns == ["feature", "mean_abs_contribution"] and got["top_features"].count() == 9
+    saved = spark.read.parquet(f"{out}/model")
+    assert saved.columns[0] == ("feature" if name == "newton" else "tree") and saved.count() > 3
+    with pytest.raises(ValueError, match="newton"):
+        models.train_named(got["weekly_panel"], "oracle", daily.PANEL_KEY)
+
+
 def test_sql_chain(spark, inputs):
     writers.create_tables(spark)
     submissions, info, _ = inputs
@@ -182,6 +195,7 @@ def test_click_study(spark):
         adapters.student_info(spark, d), adapters.student_vle(spark, d), adapters.student_assessment(spark, d), RunParams(cutoff_day=20, recent_days=7), trees=3
     )
     assert {r.side: r.rows for r in got["sides"].collect()} == {"train": 120, "test": 30}
-    assert got["importance"].count() == 6 and got["report"].count() == 5
+    assert got["importance"].count() == got["contributions"].count() == 6 and got["report"].count() == 5
+    assert {r.tree for r in got["trees"].collect()} == {1, 2, 3}
     points = got["roc_points"].agg(F.max("fpr"), F.max("tpr"), F.min("tpr")).first()
     assert tuple(points) == (1.0, 1.0, 0.0)
