@@ -200,10 +200,11 @@ def _between(apart: DataFrame, named: DataFrame, sets: DataFrame, percent: int)
     labelled = sets.join(named.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(F.coalesce("component", "doc_id").alias("label"), "doc_id", "shingles")
 
     def in_blocks(rows: DataFrame) -> DataFrame:
-        """(host, block of structs) from rows (host, label, doc_id, shingles)."""
+        """(host, block, sets) from rows (host, label, doc_id, shingles); the rows of a host are dealt by block, not by host."""
         sizes = rows.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / F.lit(SET_BLOCK)).alias("blocks"))
         spread = rows.join(sizes, "host").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
-        return spread.groupBy("host", "block").agg(F.collect_list(F.struct("label", "doc_id", "shingles")).alias("sets")).select("host", "sets")
+        blocks = spread.repartition("host", "block").groupBy("host", "block").agg(F.collect_list(F.struct("label", "doc_id", "shingles")).alias("sets"))
+        return materialise(blocks, "jaccard-set-blocks")
 
     hosts = in_blocks(labelled.join(apart.select("host").distinct(), labelled.label == F.col("host")).select("host", "label", "doc_id", "shingles"))
     guests = in_blocks(labelled.join(apart, labelled.label == F.col("guest")).select("host", "label", "doc_id", "shingles"))
@@ -228,7 +229,11 @@ def _between(apart: DataFrame, named: DataFrame, sets: DataFrame, percent: int)
                 linked.add(guest["label"])
                 yield {"a": row["sets"][hit[0]]["doc_id"], "b": guest["doc_id"]}
 
-    together = hosts.join(guests.withColumnRenamed("sets", "guests"), "host").select("sets", "guests")
+    # every pair of a host's block and a guests' block is a key of its own: a large component is as many tasks as it has pairs
+    pairs = hosts.select("host", "block").join(guests.select("host", F.col("block").alias("guest_block")), "host")
+    own = hosts.join(pairs, ["host", "block"])
+    visitors = guests.select("host", F.col("block").alias("guest_block"), F.col("sets").alias("guests"))
+    together = own.repartition("host", "guest_block", "block").join(visitors.join(pairs, ["host", "guest_block"]), ["host", "block", "guest_block"]).select("sets", "guests")
     return P.each_block(together, compare, "a long, b long")
 
 
