@@ -58,11 +58,13 @@ def _settings(spark: SparkSession, values: dict[str, str]):
 
 
 def _rows(table: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    # the files' own metadata, also where the table has a column of that name
+    meta = table.metadataColumn("_metadata")
     rows = table.select(
         F.col(id_col).cast("long").alias("doc_id"),
         normalised(F.col(text_col)).alias("normal"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.row_index").alias("row"),
+        meta.getField("file_path").alias("file"),
+        meta.getField("row_index").alias("row"),
     )
     return rows.withColumn("digest", digest(F.col("normal")))
 

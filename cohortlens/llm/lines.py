@@ -321,12 +321,12 @@ def deduped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         for old, (text, own) in zip(row["rows"], _texts(row, lines, gone), strict=True):
             if gone[own].any() and not text.strip():
                 continue
-            yield old | {text_col: None if old[NULL] else text}
+            yield {c: v for c, v in old.items() if c != mark} | {text_col: None if old[mark] else text}
 
-    marked = docs.withColumn(NULL, F.col(text_col).isNull())
+    mark = "was_null"  # whether the text was null, under a name that the documents do not have
+    while mark in docs.columns:
+        mark += "_"
+    marked = docs.withColumn(mark, F.col(text_col).isNull())
     schema = docs.schema
     return P.each_block(_marked(marked, id_col, text_col, True), rows, schema)
 
-
-#: name of the column that remembers null texts
-NULL = "_text_was_null"

@@ -101,16 +101,16 @@ def uniform(identifier: Column, seed: str) -> Column:
 
 
 def weighted(docs: DataFrame, targets: dict | None = None, rounds: int = ROUNDS, rate: float = RATE, seed: str = SEED, id_col: str = "doc_id", text_col: str = "text", topic: Column | None = None) -> DataFrame:
-    """The rows of ``docs`` with ``_source``, ``_lang``, ``_topic``, ``_tokens``, ``_factor``, ``_copies``."""
+    """``row`` (the row of ``docs``, whatever its columns are called) with ``_source``, ``_lang``, ``_topic``, ``_tokens``, ``_factor``, ``_copies``."""
     factors = rake(cells(docs, text_col, topic), targets, rounds).select([F.col(m).alias(f"c_{m}") for m in MARGINS] + [F.col("factor").alias("_factor")])
-    rows = docs.select("*", *described(docs, text_col, topic))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *described(docs, text_col, topic))
     # every document has its cell; equality of nulls included
     on = F.lit(True)
     for m in MARGINS:
         on = on & F.col(f"_{m}").eqNullSafe(F.col(f"c_{m}"))
     joined = rows.join(factors, on).drop(*[f"c_{m}" for m in MARGINS])
     # rounded, so that the order of a sum decides nothing
-    wanted, draw = F.round(F.lit(float(rate)) * F.col("_factor"), 9), uniform(F.col(id_col), seed)
+    wanted, draw = F.round(F.lit(float(rate)) * F.col("_factor"), 9), uniform(F.col("row").getField(id_col), seed)
     return joined.withColumn("_copies", F.floor(wanted) + (draw < wanted - F.floor(wanted)).cast("long"))
 
 
@@ -119,7 +119,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     out = weighted(docs.select(id_col, text_col, "source", "lang"), **options)
     return out.select(
-        F.col(id_col).alias("doc_id"),
+        F.col("row").getField(id_col).alias("doc_id"),
         F.col("_source").alias("source"),
         F.col("_lang").alias("lang"),
         F.col("_topic").alias("topic"),
@@ -135,7 +135,7 @@ def copies(docs: DataFrame, **options) -> DataFrame:
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     out = weighted(docs.select(id_col, text_col, "source", "lang"), **options)
     return out.select(
-        F.col(id_col).alias("doc_id"),
+        F.col("row").getField(id_col).alias("doc_id"),
         F.col("_source").alias("source"),
         F.col("_lang").alias("lang"),
         F.col("_topic").alias("topic"),
@@ -145,12 +145,17 @@ def copies(docs: DataFrame, **options) -> DataFrame:
     )
 
 
+def _columns(docs: DataFrame) -> list[Column]:
+    return [F.col("row").getField(c).alias(c) for c in docs.columns]
+
+
 def counted(docs: DataFrame, **options) -> DataFrame:
-    """The documents of the sample once each, with the columns they came with and ``n_copies``."""
-    return weighted(docs, **options).where("_copies > 0").select(*docs.columns, F.col("_copies").alias("n_copies"))
+    """The documents of the sample once each, with the columns they came with and ``n_copies`` (which takes the place of one of that name)."""
+    columns = [c for c, name in zip(_columns(docs), docs.columns, strict=True) if name != "n_copies"]
+    return weighted(docs, **options).where("_copies > 0").select(*columns, F.col("_copies").alias("n_copies"))
 
 
 def sampled(docs: DataFrame, **options) -> DataFrame:
     """The sample, each document as often as it has copies, with the columns they came with."""
     chosen = weighted(docs, **options).where("_copies > 0")
-    return chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(docs.columns)
+    return chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(_columns(docs))

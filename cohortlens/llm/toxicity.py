@@ -203,27 +203,28 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, n_feat
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with ``_severity`` and ``_p_toxic``."""
-    keep = docs.columns
-    schema = docs.select("*", F.lit(0.0).alias("_severity"), F.lit(0.0).alias("_p_toxic")).schema
+    """``row`` (the row of ``docs``, whatever its columns are called), ``severity`` and ``p_toxic``."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    at = docs.columns.index(text_col)
+    schema = rows.select("row", F.lit(0.0).alias("severity"), F.lit(0.0).alias("p_toxic")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = model.scorer()
-        at = keep.index(text_col)
         for batch in batches:
-            results = [one(t or "") for t in batch.column(at).to_pylist()]
+            results = [one(t or "") for t in batch.column("row").field(at).to_pylist()]
             added = [pa.array([r[i] for r in results], pa.float64()) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*keep, "_severity", "_p_toxic"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *added], names=["row", "severity", "p_toxic"])
 
-    return map_arrow(docs, run, schema)
+    return map_arrow(rows, run, schema)
 
 
 def severity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, severity (expected grade), p_toxic, toxic."""
     scored = score(docs.select("doc_id", "text"), fit(docs, labels))
-    return scored.select("doc_id", F.col("_severity").alias("severity"), F.col("_p_toxic").alias("p_toxic"), (F.col("_p_toxic") >= LIMIT).alias("toxic"))
+    return scored.select("row.doc_id", "severity", "p_toxic", (F.col("p_toxic") >= LIMIT).alias("toxic"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not rejected, with the columns they came with."""
-    return score(docs, fit(docs, labels)).where(F.col("_p_toxic") < LIMIT).select(docs.columns)
+    kept = score(docs, fit(docs, labels)).where(F.col("p_toxic") < LIMIT)
+    return kept.select([F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -8,7 +8,7 @@ import brute
 import pytest
 from pyspark.sql import functions as F
 
-from cohortlens.llm import bpe, jaccard, lines, mixing, packed, secrets, suffix_dedup, toxicity
+from cohortlens.llm import bpe, exact_dedup, jaccard, lines, mixing, packed, secrets, suffix_dedup, toxicity
 from cohortlens.llm.queries import tokenizer_file
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars int, block long, n string, token string, normal string, label int"
@@ -238,7 +238,7 @@ def test_toxicity_on_held_out_documents(spark):
     model = toxicity.fit(df, spark.createDataFrame([r for r in labels if r[0] % 8 < 4], "doc_id long, toxic int, quality int"))
     assert model.cuts == sorted(model.cuts)
     held = toxicity.score(df.where("doc_id % 8 >= 4"), model).collect()
-    bad, clean = ([r._p_toxic for r in held if (r.doc_id % 4 == 0) == toxic] for toxic in (True, False))
+    bad, clean = ([r.p_toxic for r in held if (r.row.doc_id % 4 == 0) == toxic] for toxic in (True, False))
     # held-out area under the curve, and most of the toxic documents found at the limit with few clean ones
     assert sum(b > c for b in bad for c in clean) >= 0.98 * len(bad) * len(clean)
     assert sum(b >= toxicity.LIMIT for b in bad) >= 0.9 * len(bad) and sum(c >= toxicity.LIMIT for c in clean) <= 0.1 * len(clean)
@@ -258,3 +258,25 @@ def test_blocks_are_not_shuffled(spark, docs):
 def test_line_dedup_without_any_shared_line(spark):
     df = spark.createDataFrame([(k, f"{k * 7919} a line that is like no other {k * k}{k}") for k in (3, 70, 911)], "doc_id long, text string")
     assert {(r.n_equal, r.n_near) for r in lines.report(df).collect()} == {(0, 0)}
+
+
+def test_columns_with_the_operators_own_names(spark, tmp_path):
+    """What a document carries along is kept as it is, under whatever name."""
+    own = ["_tokens", "_source", "_copies", "row", "was_null", "_severity", "p_toxic", "severity", "_metadata", "key_id", "mark", "kept_id", "block", "sets", "digest", "node", "n_copies"]
+    rows = [(k, f"one {k} line\nanother line {k % 2} here", "en", "s", *[f"{c}{k}" for c in own]) for k in range(12)] + [(20, None, None, None, *own)]
+    df = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, {', '.join(f'{c} string' for c in own)}")
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(12)], "doc_id long, quality int, toxic int")
+    carried = {r[0]: r[4:] for r in rows}
+
+    def check(out, columns=own):
+        assert out.columns[: len(df.columns)] == df.columns or "n_copies" not in columns
+        for r in out.collect():
+            assert tuple(r[c] for c in columns) == tuple(v for v, c in zip(carried[r.doc_id], own, strict=True) if c in columns)
+
+    check(toxicity.accepted(df, labels))
+    check(lines.deduped(df))
+    check(jaccard.representatives(df, 5, 80))
+    check(mixing.sampled(df))
+    check(mixing.counted(df), own[:-1])
+    df.write.parquet(str(tmp_path / "docs"))
+    assert exact_dedup.dedup(spark, str(tmp_path / "docs")).count() == len(rows)
