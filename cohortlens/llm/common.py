@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-#: Rows handed to Python at once. A row may be a very long text, so the number is small.
-BATCH_ROWS = 512
+#: Rows and bytes handed to Python at once: a batch ends at either, or with one row that is longer. All operators set the same, so that
+#: the order of their calls does not matter to frames that are read later.
+BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,9 +22,14 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def bound_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with small batches, so that memory follows the longest texts, not the partition."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    bound_batches(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 

@@ -25,7 +25,7 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 
 from cohortlens.session import scratch_path
 
-from .common import map_arrow, text_or_empty
+from .common import bound_batches, map_arrow, text_or_empty
 
 #: Bytes of text per block; one longer text is a block of its own.
 BLOCK_BYTES = 1 << 20
@@ -128,7 +128,7 @@ def blocks(docs: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "
 
 
 def each_block(frame: DataFrame, fn: Callable[[dict], Iterator[dict]], schema: str | StructType) -> DataFrame:
-    """``fn`` of each block row (a dict of its columns) gives rows (dicts). One block is in memory at a time."""
+    """``fn`` of each block row (a dict of its columns) gives rows (dicts). One block is unpacked at a time, a batch of a few is in memory."""
     arrow = to_arrow_schema(_parse_datatype_string(schema) if isinstance(schema, str) else schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +139,7 @@ def each_block(frame: DataFrame, fn: Callable[[dict], Iterator[dict]], schema: s
                 for at in range(0, len(rows), 4096):
                     yield pa.RecordBatch.from_pylist(rows[at : at + 4096], schema=arrow)
 
-    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
+    bound_batches(frame.sparkSession)
     return frame.mapInArrow(run, schema)
 
 
