@@ -108,8 +108,8 @@ def _mixing_sql() -> str:
     u as (select t.*, f.factor, round(f.factor, 9) as wanted,
         ('0x' || substr(md5('mix-1:' || coalesce(t.doc_id::varchar, 'null')), 1, 12))::bigint::double / 281474976710656.0 as draw
       from t join f on t.source is not distinct from f.source and t.lang is not distinct from f.lang and t.topic is not distinct from f.topic),
-    c as (select *, floor(wanted)::bigint + (draw < wanted - floor(wanted))::bigint as n_copies from u)
-    select doc_id, source, lang, topic, n as n_tokens, round(factor, 6) as factor, n_copies, n_copies > 0 as sampled from c"""
+    counted as (select *, floor(wanted)::bigint + (draw < wanted - floor(wanted))::bigint as n_copies from u)
+    select doc_id, source, lang, topic, n as n_tokens, round(factor, 6) as factor, n_copies, n_copies > 0 as sampled from counted"""
     return ",\n".join([*steps, last])
 
 
