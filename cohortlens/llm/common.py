@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -27,10 +28,29 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def release_memory() -> None:
+    """Hand freed memory back to the system. Python workers outlive their tasks, and Spark's next step may need the memory."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library; it has ways of its own
+        pass
+
+
+def trimmed(fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``fn``, with memory released at the end of each task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        release_memory()
+
+    return run
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with small batches, so that memory follows the longest texts, not the partition."""
     bound_batches(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(trimmed(fn), schema)
 
 
 def per_row(make: Callable[[], Callable[[str], tuple]], fields: list[tuple[str, pa.DataType]], keep: list[str]) -> Callable:

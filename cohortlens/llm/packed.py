@@ -25,7 +25,7 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 
 from cohortlens.session import scratch_path
 
-from .common import bound_batches, map_arrow, text_or_empty
+from .common import bound_batches, map_arrow, release_memory, text_or_empty, trimmed
 
 #: Bytes of text per block; one longer text is a block of its own.
 BLOCK_BYTES = 1 << 20
@@ -140,7 +140,7 @@ def each_block(frame: DataFrame, fn: Callable[[dict], Iterator[dict]], schema: s
                     yield pa.RecordBatch.from_pylist(rows[at : at + 4096], schema=arrow)
 
     bound_batches(frame.sparkSession)
-    return frame.mapInArrow(run, schema)
+    return frame.mapInArrow(trimmed(run), schema)
 
 
 def split_keys(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -203,6 +203,7 @@ def answer(questions: DataFrame, judge: Callable[[int, list[bytes], list[np.ndar
         result = judge(key[0].as_py(), table.column("keys").to_pylist(), flags).astype(np.uint8)
         cuts = np.cumsum([len(f) for f in flags])[:-1]
         replies = [pack_answer(x) for x in np.split(result, cuts)]
+        release_memory()
         return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "reply": pa.array(replies, pa.binary())})
 
     rows = questions.groupBy("bucket").applyInArrow(run, "block long, bucket int, reply binary").where("length(reply) > 0")
