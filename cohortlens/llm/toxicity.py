@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, text_or_empty
+from .common import map_arrow, release_memory, text_or_empty
 
 TRAIN_ROWS, FEATURES, GRADES = 20_000, 4_000, 4
 PREFIXES = (4, 5, 6, 7)
@@ -199,6 +199,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, n_feat
     grades[toxic == 1] = 1 + np.searchsorted(levels, held[toxic == 1], side="left")
     order = np.lexsort((held, grades, [len(x) for x in found]))  # sums do not depend on the order of tasks
     weights, cuts = fit_ordinal([found[i] for i in order], grades[order], len(names))
+    del train, found
+    release_memory()  # the driver goes on with the next stages
     return Model({n: float(w) for n, w in zip(names, weights, strict=True) if w != 0.0}, [float(x) for x in cuts])
 
 
