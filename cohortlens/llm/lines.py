@@ -213,7 +213,7 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFra
     """Blocks with ``firsts`` (answers about equal lines) and ``near`` (fingerprints of near copies that go)."""
     buckets = P.shuffle_parts(docs.sparkSession)
     table = P.blocks(docs, "lines", id_col, text_col, carry=carry)
-    slim = table.select("block", "doc_ids", "texts")
+    slim = table.select("home", "block", "doc_ids", "texts")
 
     def ask_equal(row: dict) -> Iterator[dict]:
         where, keys, owner, _, _ = Lines(row["texts"]).equal_keys(row["doc_ids"], buckets)
@@ -268,9 +268,10 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFra
     members = materialise(some.select("uid", "block", "doc_id", "line").join(named, "uid"), "lines-classes")
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "block", "line")
     kept = members.groupBy("component").agg(F.min_by("uid", first).alias("uid"))
-    gone = members.join(kept.select("uid"), "uid", "left_anti").groupBy("block").agg(F.collect_list("uid").alias("near"))
+    # a line stands for its equals in one block only, so the blocks of a home may see each other's
+    gone = members.join(kept.select("uid"), "uid", "left_anti").groupBy(P.home().alias("home")).agg(F.collect_list("uid").alias("near"))
     table = P.with_answers(table, firsts, "firsts")
-    return table.join(gone, "block", "left")
+    return table.join(gone, "home", "left")
 
 
 def _kept_lines(row: dict, buckets: int) -> tuple[Lines, np.ndarray, np.ndarray]:

@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 from pyspark.sql.types import StructType, _parse_datatype_string
@@ -29,6 +29,9 @@ from .common import bound_batches, map_arrow, release_memory, text_or_empty, tri
 
 #: Bytes of text per block; one longer text is a block of its own.
 BLOCK_BYTES = 1 << 20
+#: 2 ** HOME_BITS blocks of a task that follow each other have one home, the bucket's key: a file for them all, not one for each. Every
+#: file costs a process (Hadoop's local file system starts chmod), and many small ones burden any store.
+HOME_BITS = 3
 
 U64 = np.uint64
 _MULT = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -77,12 +80,16 @@ class Rolling:
         return mix((sums[ends] - sums[starts]) * self.backs[starts])
 
 
+def home() -> Column:
+    return F.shiftright("block", HOME_BITS)
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def blocks(docs: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, carry: bool = False) -> DataFrame:
-    """The documents packed to blocks, as a table bucketed by ``block``: block, doc_ids, texts. Nothing is shuffled.
+    """The documents packed to blocks, as a table bucketed by ``home``: home, block, doc_ids, texts. Nothing is shuffled.
 
     Nulls count as empty texts; null identifiers stay null. With ``carry``, all columns of ``docs`` but the text go along in ``rows``.
     """
@@ -121,9 +128,9 @@ def blocks(docs: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "
         kind = rows.schema["row"].dataType
         row_type = to_arrow_type(kind)
         schema += f", rows array<{kind.simpleString()}>"
-    packed = map_arrow(rows, pack, schema)
+    packed = map_arrow(rows, pack, schema).withColumn("home", home())
     table = f"{name}_blocks_{uuid.uuid4().hex}"
-    packed.write.bucketBy(shuffle_parts(spark), "block").sortBy("block").option("path", scratch_path(spark, table)).saveAsTable(table)
+    packed.write.bucketBy(shuffle_parts(spark), "home").sortBy("block").option("path", scratch_path(spark, table)).saveAsTable(table)
     return spark.table(table)
 
 
@@ -249,7 +256,9 @@ def answers_of(answers: list | None, keys: np.ndarray, buckets: int, first_bucke
 
 def with_answers(frame: DataFrame, answers: DataFrame, name: str = "answers") -> DataFrame:
     """The blocks with their answers (null where there is none). The blocks are not shuffled."""
-    return frame.join(answers.withColumnRenamed("answers", name), "block", "left")
+    by_home = answers.groupBy(home().alias("home")).agg(F.collect_list(F.struct("block", "answers")).alias(name))
+    own = F.filter(name, lambda a: a["block"] == F.col("block"))
+    return frame.join(by_home, "home", "left").withColumn(name, F.get(own, F.lit(0))["answers"])
 
 
 def repeated(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:

@@ -255,6 +255,17 @@ def test_blocks_are_not_shuffled(spark, docs):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_blocks_of_a_task_share_files_and_get_their_own_answers(spark):
+    df = spark.range(0, 16, 1, 1).selectExpr("id as doc_id", "repeat('x', 40) as text")
+    table = packed.blocks(df, "few", block_bytes=60)
+    assert table.count() == 16
+    # a file per home, not one per block
+    assert len(table.inputFiles()) <= 2
+    asked = table.selectExpr("block", "array(named_struct('bucket', cast(block % 1000 as int), 'reply', cast('r' as binary))) as answers").where("block % 3 > 0")
+    for r in packed.with_answers(table, asked).collect():
+        assert (r.answers[0].bucket if r.answers else None) == (r.block % 1000 if r.block % 3 else None)
+
+
 def test_line_dedup_without_any_shared_line(spark):
     df = spark.createDataFrame([(k, f"{k * 7919} a line that is like no other {k * k}{k}") for k in (3, 70, 911)], "doc_id long, text string")
     assert {(r.n_equal, r.n_near) for r in lines.report(df).collect()} == {(0, 0)}
