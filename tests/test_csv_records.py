@@ -97,6 +97,15 @@ def test_files_without_quoted_breaks_are_not_shuffled(spark, tmp_path):
     assert "LeftAnti" in plain and "rightHint=(strategy=broadcast)" in plain
 
 
+def test_lines_of_a_split_meet_in_its_task(spark, tmp_path):
+    """No shuffle and no window gathers the lines of whole splits; what splits cut is a small table."""
+    put(tmp_path, "a.csv", "a,b\n" + "".join(f'{k},"one\ntwo ""{k}"""\n' for k in range(500)))
+    load = records.read_csv_records(spark, str(tmp_path))
+    assert rows(load.rows) == sorted((str(k), f'one\ntwo "{k}"') for k in range(500))
+    plan = load.rows._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert any("MapInArrow" in line for line in plan) and not any("Window [" in line and "quotes" in line for line in plan)
+
+
 def test_landing_is_counted_while_it_is_written(spark, tmp_path):
     spark.sql("CREATE DATABASE IF NOT EXISTS landed")
     put(tmp_path / "raw", "studentInfo.csv", 'id_student,code_module\n1,"A\nB"\n2,C,too many\n3,D\n')
