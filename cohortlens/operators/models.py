@@ -20,6 +20,8 @@ from cohortlens.schemas import MODEL_FEATURES, MODEL_LABEL
 from cohortlens.session import checkpointed
 
 INPUT = "features"
+#: rows of a task from which on boosting deals them to more tasks
+TASK_ROWS = 20_000
 
 
 @dataclass
@@ -100,13 +102,18 @@ def train(
     """Fit the named model on the rows of ``df``; an unknown name is an error.
 
     Only the moments (one row) and the fitted model come to the driver. Every training pass
-    reads the rows, so they are checkpointed once, in as many partitions as their size asks for.
+    reads the rows, so they are checkpointed once, in as many partitions as their size asks for; for boosting, whose
+    passes (one a level and tree) are work, not reading, in one per ``TASK_ROWS`` up to the session's parallelism.
     """
     if name not in MODELS:
         raise ValueError(f"unknown model {name!r}, choose one of {sorted(MODELS)}")
     features = list(features)
     rows = checkpointed(df.select(*features, F.col(label).cast("double").alias("_label")))
     row = standard_moments(rows, features).first().asDict()
+    if name == "gbt":
+        tasks = min(rows.sparkSession.sparkContext.defaultParallelism, -(-row["n"] // TASK_ROWS))
+        if tasks > rows.rdd.getNumPartitions():
+            rows = checkpointed(rows.repartition(tasks))
     estimator, settings = MODELS[name](seed, row["n"], len(features), **options)
     estimator.setLabelCol("_label")
     if name in STANDARDISED:

@@ -90,3 +90,13 @@ def test_standardise_agrees_with_the_training_moments(spark, data):
     df, x, _ = data
     row = scoring.standard_moments(df, FEATURES).first()
     assert row.scale_a == pytest.approx(x[:, 0].std()) and row.n == 300
+
+
+def test_boosting_deals_its_rows_to_more_tasks(spark, data, monkeypatch):
+    df, _, _ = data
+    seen = []
+    monkeypatch.setattr(models, "TASK_ROWS", 100)
+    monkeypatch.setattr(models.Pipeline, "fit", lambda self, rows: seen.append(rows) or None)
+    models.train(df.coalesce(1), "gbt", FEATURES, "y", trees=2)
+    models.train(df.coalesce(1), "logistic", FEATURES, "y")
+    assert [r.rdd.getNumPartitions() for r in seen] == [3, 1] and seen[0].count() == 300
