@@ -1,14 +1,22 @@
-"""Main text of HTML pages: the marked article, else what a host's suffix array leaves.
+"""Main text of HTML pages: what a host's suffix array leaves of their articles.
 
-``parse`` cuts a page to blocks, leaving out what is boilerplate by its element or its class names. Where the page marks its
-article (``article``, ``main`` or role main), the blocks inside are its text, whole, also if other pages repeat them. For the
-other pages of a host, boilerplate is what repeats: their token streams are put end to end, and the host's suffixes, cut to ``RUN`` tokens,
-are sorted in buckets of the key (host, fingerprint of the next ``RUN`` tokens). Equal neighbours of distinct pages are repeated runs; tokens
-they cover are removed, and unique runs stay. A page of which repeated runs cover ``COPY_SHARE`` or more is itself a copy of another
-page: what only such pages share is their text and stays; a run is boilerplate where a page with a text of its own has it too.
+``parse`` cuts a page to blocks and says of each whether its element or class names leave it out, and whether the page marks its
+article (``article``, ``main`` or role main). The token streams of all pages of a host, what is left out included, are put end to end, and
+the host's suffixes, cut to ``RUN`` tokens, are sorted in buckets of the key (host, fingerprint of the next ``RUN`` tokens). Equal neighbours of
+distinct pages are repeated runs. What they say depends on where they stand:
 
-Scale: suffix keys are aggregated per task before the shuffle to the smallest and largest page of each key, so a host
-with a third of all pages meets as a few numbers per key; no host is gathered.
+* on a page without a marked article, tokens that repeated runs of such pages cover are removed, and unique runs stay;
+* a marked article loses a block if runs cover all of it that stand in most articles of the host (more than half of them, and
+  ``SITE_PAGES`` or more) and also outside of an article. A teaser stands in one article only, a quoted line in few, or in no menu or
+  footer: these stay, as do headlines, and an article that would lose every block.
+
+A page of whose text repeated runs cover ``COPY_SHARE`` or more is itself a copy of another page: what only such pages share is their text and
+stays; a run is boilerplate where pages with a text of their own have it too.
+
+Scale: pages are packed to blocks (``packed``), and no text is shuffled. Every run has an anchor, the smallest fingerprint of ``ANCHOR`` tokens
+in it; equal runs have equal anchors. First only distinct anchors are sent, about one for three tokens; then the
+runs whose anchor repeats; then those that repeat themselves, with what is known of copies. A block sends a key once,
+so a host with a third of all pages meets as a few numbers per block; no host is gathered.
 
 Defined cases: a null or empty html gives an empty text; a null url is a host of its own name (empty); an element that is never closed ends
 at the next ``article`` or ``main``, or with the page; rows that repeat a page are distinct pages; an empty table gives no rows; other columns are ignored.
@@ -16,13 +24,13 @@ at the next ``article`` or ``main``, or with the page; rows that repeat a page a
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,10 +39,15 @@ from cohortlens.session import materialise
 from . import packed as P
 from .common import map_arrow
 
-#: tokens of a repeated run
-RUN = 8
+#: tokens of a repeated run, and of its anchor
+RUN, ANCHOR = 8, 4
 #: share of a page's tokens in repeated runs from which on it counts as a copy
 COPY_SHARE = 0.9
+#: articles a run stands in, at least, before it can be the site's and not theirs
+SITE_PAGES = 3
+#: before a line of a stream: left out, headline. White space, so no block holds them
+LEFT, HEADLINE = "\x1c", "\x1d"
+HEADLINES = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 # Names of elements and words in class names.
 RAW = "script|style|textarea|title|noscript|iframe|xmp|noembed|noframes|template"
@@ -88,11 +101,11 @@ def _is_main(name: str, attrs: str) -> bool:
 
 
 def parse(page: str) -> tuple[list[str], bool]:
-    """The blocks of the page's article and True; without a marked article the blocks of the page and False."""
-    everywhere: list[str] = []
-    marked: list[str] = []
+    """The page's blocks in order and whether it marks its article. ``LEFT`` precedes those that are not its text, ``HEADLINE`` its headlines."""
+    blocks: list[tuple[str, str, bool]] = []  # where it stands (left out, in the article, or neither), its text, whether it is a headline
     found = False
     piece: list[str] = []  # of the block that is open
+    opened = ""  # the element that began it
     skip, depth = "", 0  # element that is left out, and how many of its name are open
     inside, levels = "", 0  # element that marks the article, and how many of its name are open
     at = 0
@@ -102,12 +115,10 @@ def parse(page: str) -> tuple[list[str], bool]:
             text = " ".join(html.unescape("".join(piece)).split())
             piece.clear()
             if text:
-                everywhere.append(text)
-                if inside:
-                    marked.append(text)
+                blocks.append(("left" if skip else "article" if inside else "", text, opened in HEADLINES))
 
     for m in _MARKUP.finditer(page):
-        if not skip and m.start() > at:
+        if m.start() > at:
             piece.append(page[at : m.start()])
         at = m.end()
         name = m["name"]
@@ -117,18 +128,24 @@ def parse(page: str) -> tuple[list[str], bool]:
         closing, attrs = bool(m["close"]), m["attrs"]
         if skip:
             if not closing and not inside and _is_main(name, attrs) and not _is_boilerplate(name, attrs, False):
+                close_block()
                 skip = ""  # what was open is never closed
             else:
+                ends = closing and name == inside
                 if name == skip and name not in VOID:
                     depth += -1 if closing else 1
-                    if depth == 0:
-                        skip = ""
-                elif closing and name == inside:
+                    ends = depth == 0
+                if ends or name in BLOCK:
+                    close_block()
+                elif name in SPACED:
+                    piece.append(" ")
+                if ends:
                     skip = ""
                 if skip or name != inside:
                     continue
         if name in BLOCK:
             close_block()
+            opened = "" if closing else name
         elif name in SPACED:
             piece.append(" ")
         if closing:
@@ -146,10 +163,12 @@ def parse(page: str) -> tuple[list[str], bool]:
             levels += name == inside
         elif _is_main(name, attrs):
             inside, levels, found = name, 1, True
-    if not skip and at < len(page):
+    if at < len(page):
         piece.append(page[at:])
     close_block()
-    return (marked, True) if found and marked else (everywhere, False)
+    marked = found and any(where == "article" for where, _, _ in blocks)
+    left = {"left", ""} if marked else {"left"}
+    return [(LEFT if where in left else HEADLINE if headline else "") + text for where, text, headline in blocks], marked
 
 
 def host_of(url: str | None) -> str:
@@ -157,98 +176,234 @@ def host_of(url: str | None) -> str:
     return m[1] if m else ""
 
 
-def run_keys(blocks: list[str], host: str) -> np.ndarray:
-    """A fingerprint of the host and each run of ``RUN`` tokens of the page."""
-    tokens = " ".join(blocks).split(" ") if blocks else []
-    if len(tokens) < RUN:
-        return np.zeros(0, dtype=np.int64)
-    rolling = P.Rolling()
-    raw = [t.encode() for t in [host, *tokens]]
-    ends = np.cumsum([len(r) for r in raw])
-    starts = ends - [len(r) for r in raw]
-    words = rolling.of(rolling.sums(np.frombuffer(b"".join(raw), np.uint8)), starts, ends)
-    keys = np.full(len(tokens) - RUN + 1, words[0], dtype=np.uint64)
-    for k in range(RUN):
-        keys = P.mix(keys * np.uint64(0x9E3779B97F4A7C15) + words[1 + k : 1 + k + len(keys)])
-    return keys.view(np.int64)
-
-
-def without_runs(blocks: list[str], repeated: np.ndarray) -> list[str]:
-    """The blocks without the tokens that repeated runs cover."""
-    gone = np.zeros(len(repeated) + RUN - 1 if len(repeated) else 0, bool)
-    for i in np.flatnonzero(repeated):
-        gone[i : i + RUN] = True
-    out, at = [], 0
-    for block in blocks:
-        tokens = block.split(" ")
-        kept = [t for k, t in enumerate(tokens) if at + k >= len(gone) or not gone[at + k]]
-        at += len(tokens)
-        if kept:
-            out.append(" ".join(kept))
+_TOOLS: list[P.Rolling] = []
+
+
+def _rolling() -> P.Rolling:
+    """One per Python worker: its tables of powers are filled once."""
+    if not _TOOLS:
+        _TOOLS.append(P.Rolling())
+    return _TOOLS[0]
+
+
+#: where a run stands: on a page without marked article, in a marked article, or left out
+FREE, ARTICLE, ASIDE = range(3)
+
+
+class Pages:
+    """The pages of one block end to end: lines, the runs of their tokens, and what they ask."""
+
+    def __init__(self, row: dict):
+        self.marked = np.array([r["marked"] for r in row["rows"]], bool)
+        # of a page, what is left out comes last: no run crosses
+        found = [(p, line) for p, text in enumerate(row["texts"]) for line in sorted(text.split("\n") if text else [], key=lambda x: x[0] == LEFT)]
+        self.page = np.array([p for p, _ in found], np.int64)
+        self.left = np.array([line[0] == LEFT for _, line in found], bool)
+        self.headline = np.array([line[0] == HEADLINE for _, line in found], bool)
+        self.lines = [line[1:] if line[0] in (LEFT, HEADLINE) else line for _, line in found]
+        counts = np.array([line.count(" ") + 1 for line in self.lines], np.int64)
+        self.ends = np.cumsum(counts)
+        self.begins = self.ends - counts
+        self.line_of = np.repeat(np.arange(len(counts)), counts)
+        self.hosts = np.array([int.from_bytes(hashlib.blake2b(host_of(r["url"]).encode(), digest_size=8).digest(), "big") for r in row["rows"]], dtype=P.U64)
+        self._runs()
+
+    def _runs(self) -> None:
+        """``places`` of runs (first tokens), with ``keys`` (two independent ones) and ``anchors``."""
+        n = len(self.line_of)
+        raw = np.frombuffer((" ".join(self.lines) + " ").encode(), np.uint8)
+        stops = np.flatnonzero(raw == 0x20)[:n]
+        rolling = _rolling()
+        words = rolling.of(rolling.sums(raw), np.concatenate([[0], stops[:-1] + 1])[:n], stops)
+        page = self.page[self.line_of]
+        segment = 2 * page + self.left[self.line_of]
+        self.places = np.flatnonzero(segment[: max(0, n - RUN + 1)] == segment[RUN - 1 :])
+        grams = self.hosts[page[: max(0, n - ANCHOR + 1)]]
+        for k in range(ANCHOR):
+            grams = P.mix(grams * P.U64(0x9E3779B97F4A7C15) + words[k : k + len(grams)])
+        first, last = grams[self.places], grams[self.places + RUN - ANCHOR]
+        self.keys = P.mix(first * P.U64(0xC2B2AE3D27D4EB4F) + last), P.mix(P.mix(first) * P.U64(0x9E3779B97F4A7C15) ^ last) >> P.U64(8)
+        self.anchors = first
+        for k in range(1, RUN - ANCHOR + 1):
+            self.anchors = np.minimum(self.anchors, grams[self.places + k])
+        self.run_page = page[self.places]
+        self.kind = np.where(self.left[self.line_of[self.places]], ASIDE, np.where(self.marked[self.run_page], ARTICLE, FREE))
+
+    def facts(self, runs: np.ndarray, which: np.ndarray, size: int, own: np.ndarray, totals: np.ndarray | None = None) -> np.ndarray:
+        """Of each key, from its ``runs``: pages without marked article (3: or more), pages with a text of their own that have it in the article
+        (3: or more), whether it stands outside of articles, whether a page without marked article and with a text of its own has it.
+
+        With ``totals`` (articles of each page's host) also how many of those articles exactly, and of how many.
+        """
+        page, kind = self.run_page[runs], self.kind[runs]
+
+        def pages(mask: np.ndarray) -> np.ndarray:
+            pairs = np.unique(which[mask] * len(self.marked) + page[mask])
+            return np.bincount(pairs // len(self.marked), minlength=size)
+
+        def some(mask: np.ndarray) -> np.ndarray:
+            return np.bincount(which[mask], minlength=size) > 0
+
+        articles = pages((kind == ARTICLE) & own[page])
+        short = np.minimum(pages(kind == FREE), 3) | np.minimum(articles, 3) << 2 | some(kind != ARTICLE) << 4 | some((kind == FREE) & own[page]) << 5
+        if totals is None:
+            return short.astype(np.uint8)
+        of = np.zeros(size, np.int64)
+        of[which] = totals[page]
+        return short | articles << 8 | of << 32
+
+    def ask_anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct anchors, and which of them each run has."""
+        return np.unique(self.anchors, return_inverse=True)
+
+    def ask_runs(self, runs: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct keys of ``runs`` in sending order (for the bucket, to compare), and which of them each run has."""
+        keys, at, which = np.unique(self.keys[1][runs], return_index=True, return_inverse=True)
+        where = self.keys[0][runs][at]
+        order = np.argsort(P.split_keys(where, buckets)[0], kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        return where[order], keys[order], rank[which]
+
+    def covered(self, runs: np.ndarray) -> np.ndarray:
+        """The tokens that ``runs`` cover."""
+        edges = np.zeros(len(self.line_of) + RUN + 1, np.int64)
+        np.add.at(edges, self.places[runs], 1)
+        np.add.at(edges, self.places[runs] + RUN, -1)
+        return np.cumsum(edges)[: len(self.line_of)] > 0
+
+    def said(self, answers: np.ndarray, runs: np.ndarray) -> np.ndarray:
+        """Those of ``runs`` that stand in the text of a page and of which the answer for such pages (1: without marked article, 2: with) is yes."""
+        kind = self.kind[runs]
+        return runs[(kind == FREE) & (answers & 1 > 0) | (kind == ARTICLE) & (answers & 2 > 0)]
+
+    def own(self, repeated: np.ndarray) -> np.ndarray:
+        """The pages that are no copies: repeated runs cover less than ``COPY_SHARE`` of their text."""
+        text = ~self.left[self.line_of]
+        page = self.page[self.line_of]
+        sizes = np.bincount(page[text], minlength=len(self.marked))
+        gone = np.bincount(page[text & self.covered(repeated)], minlength=len(self.marked))
+        return (gone == 0) | (gone / np.maximum(sizes, 1) < COPY_SHARE)
+
+    def texts(self, runs: np.ndarray) -> Iterator[list[str]]:
+        """The blocks of each page's text: without the tokens that ``runs`` cover, of marked articles without the blocks that they cover whole."""
+        gone = self.covered(runs)
+        sums = np.concatenate([[0], np.cumsum(gone)])
+        hit = sums[self.ends] - sums[self.begins]
+        whole = (hit == self.ends - self.begins) & ~self.headline
+        edges = np.searchsorted(self.page, np.arange(len(self.marked) + 1))
+        for p, marked in enumerate(self.marked):
+            own = [k for k in range(edges[p], edges[p + 1]) if not self.left[k]]
+            if marked:
+                kept = [k for k in own if not whole[k]]
+                yield [self.lines[k] for k in kept or own]
+            else:
+                parts = [" ".join(t for t, x in zip(self.lines[k].split(" "), gone[self.begins[k] : self.ends[k]], strict=True) if not x) if hit[k] else self.lines[k] for k in own]
+                yield [x for x in parts if x]
+
+
+def _judge(keys: np.ndarray, facts: np.ndarray) -> np.ndarray:
+    """1: the run repeats on pages without marked article, 2: it repeats in articles, 3: both.
+
+    Facts with totals: 1 if one of those pages has a text of its own; 2 if most articles of the host have the run, and it stands outside of them.
+    """
+    final = facts.dtype != np.uint8
+    order = np.argsort(keys, kind="stable")
+    ranked, facts = keys[order], facts[order].astype(np.int64)
+    begins = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+    marks = np.bitwise_or.reduceat(facts, begins)
+    free = np.add.reduceat(facts & 3, begins) > 1
+    if final:
+        articles, of = np.add.reduceat(facts >> 8 & 0xFFFFFF, begins), facts[begins] >> 32
+        free, articles = free & (marks >> 5 & 1 > 0), (articles >= SITE_PAGES) & (2 * articles > of) & (marks >> 4 & 1 > 0)
+    else:
+        articles = np.add.reduceat(facts >> 2 & 3, begins) > 1
+    out = np.empty(len(keys), np.uint8)
+    out[order] = np.repeat(free + 2 * articles, np.diff(np.append(begins, len(keys))))
     return out
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """uid (a number of the row), page_id, url, blocks, marked (whether the page marks its article)."""
+    """page_id, url, stream (the lines of ``parse``), marked (whether the page marks its article)."""
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = TaskContext.get().partitionId() << 33
         for batch in batches:
             results = [parse(h) for h in batch.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(range(n, n + len(results)), pa.int64()), batch.column("page_id"), batch.column("url"),
-                    pa.array([r[0] for r in results], pa.list_(pa.string())), pa.array([r[1] for r in results], pa.bool_()),
-                ],
-                names=["uid", "page_id", "url", "blocks", "marked"],
-            )
-            n += len(results)
+                [batch.column("page_id"), batch.column("url"), pa.array(["\n".join(r[0]) for r in results], pa.string()), pa.array([r[1] for r in results], pa.bool_())],
+                names=["page_id", "url", "stream", "marked"],
+            )
 
     kinds = dict(rows.dtypes)
-    return materialise(map_arrow(rows, run, f"uid long, page_id {kinds['page_id']}, url {kinds['url']}, blocks array<string>, marked boolean"), "html-blocks")
+    return map_arrow(rows, run, f"page_id {kinds['page_id']}, url {kinds['url']}, stream string, marked boolean")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
-    table = parsed(pages)
-    rest = table.where("not marked")
-
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [run_keys(b, host_of(u)) for b, u in zip(batch.column("blocks").to_pylist(), batch.column("url").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("uid"), pa.array(found, pa.list_(pa.int64()))], names=["uid", "keys"])
-
-    by_page = materialise(map_arrow(rest.select("uid", "url", "blocks"), keys, "uid long, keys array<long>"), "html-runs")
-    runs = by_page.select("uid", F.posexplode("keys").alias("place", "key"))
-
-    def places_of(which: DataFrame) -> DataFrame:
-        return runs.join(which, "key").groupBy("uid").agg(F.collect_list("place").alias("places"))
-
-    def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = zip(batch.column("places").to_pylist(), batch.column("n").to_pylist(), strict=True)
-            share = [np.bincount(np.add.outer(p, range(RUN)).ravel()).astype(bool).sum() / (n + RUN - 1) for p, n in found]
-            yield pa.RecordBatch.from_arrays([batch.column("uid"), pa.array(share, pa.float64())], names=["uid", "share"])
-
-    twice = runs.groupBy("key").agg(F.min("uid").alias("a"), F.max("uid").alias("b")).where("a <> b").select("key")
-    sizes = by_page.select("uid", F.size("keys").alias("n"))
-    copies = materialise(map_arrow(places_of(twice).join(sizes, "uid"), shares, "uid long, share double").where(F.col("share") >= COPY_SHARE).select("uid"), "html-copies")
-    own = runs.join(copies.withColumn("copy", F.lit(1)), "uid", "left")
-    repeated = own.groupBy("key").agg(F.min("uid").alias("a"), F.max("uid").alias("b"), F.count_if(F.col("copy").isNull()).alias("own")).where("a <> b and own > 0").select("key")
-    covered = places_of(repeated)
-
-    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            blocks, places = batch.column("blocks").to_pylist(), batch.column("places").to_pylist()
-            for i, found in enumerate(places):
-                if found:
-                    mark = np.zeros(max(found) + 1, bool)
-                    mark[found] = True
-                    blocks[i] = without_runs(blocks[i], mark)
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(blocks, pa.list_(pa.string()))], names=["page_id", "url", "blocks"])
-
-    kinds = dict(table.dtypes)
-    cleaned = map_arrow(rest.join(covered, "uid", "left").select("page_id", "url", "blocks", "places"), remove, f"page_id {kinds['page_id']}, url {kinds['url']}, blocks array<string>")
-    text = F.array_join("blocks", "\n")
-    return table.where("marked").select("page_id", "url", "blocks").unionByName(cleaned).select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
+    buckets = P.shuffle_parts(pages.sparkSession)
+    streams = parsed(pages)
+    table = P.blocks(streams.withColumn("none", F.lit(0)), "html", "none", "stream", carry=True, compression="zstd")
+
+    def candidates(row: dict) -> tuple[Pages, np.ndarray]:
+        """The block, and its runs whose anchor repeats."""
+        block = Pages(row)
+        anchors, which = block.ask_anchors()
+        tied = P.answers_of(row["anchors"], anchors, buckets)[which]
+        return block, np.flatnonzero((block.kind == FREE) & (tied & 1 > 0) | (tied & 2 > 0))
+
+    def repeated(row: dict) -> tuple[Pages, np.ndarray, np.ndarray]:
+        """The block, its runs that repeat, and its pages that are no copies."""
+        block, runs = candidates(row)
+        where, _, which = block.ask_runs(runs, buckets)
+        answers = P.answers_of(row["repeated"], where, buckets)[which]
+        return block, runs[answers > 0], block.own(block.said(answers, runs))
+
+    def ask_anchors(row: dict) -> Iterator[dict]:
+        block = Pages(row)
+        anchors, which = block.ask_anchors()
+        facts = block.facts(np.arange(len(which)), which, len(anchors), np.ones(len(block.marked), bool))
+        yield from P.question_rows(row["block"], anchors, facts, buckets, own_flags=True)
+
+    def ask_runs(row: dict) -> Iterator[dict]:
+        block, runs = candidates(row)
+        where, keys, which = block.ask_runs(runs, buckets)
+        facts = block.facts(runs, which, len(where), np.ones(len(block.marked), bool))
+        yield from P.question_rows(row["block"], where, facts, buckets, wide=keys, own_flags=True)
+
+    def articles(row: dict) -> Iterator[dict]:
+        block, _, own = repeated(row)
+        hosts, counts = np.unique(block.hosts[own & block.marked].view(np.int64), return_counts=True)
+        for host, n in zip(hosts.tolist(), counts.tolist(), strict=True):
+            yield {"block": row["block"], "host": host, "n": n}
+
+    def ask_site(row: dict) -> Iterator[dict]:
+        block, runs, own = repeated(row)
+        known = {a["host"]: a["total"] for a in row["articles"] or ()}
+        totals = np.array([known.get(h, 0) for h in block.hosts.view(np.int64).tolist()], np.int64)
+        where, keys, which = block.ask_runs(runs, buckets)
+        yield from P.question_rows(row["block"], where, block.facts(runs, which, len(where), own, totals), buckets, wide=keys, own_flags=True)
+
+    def judge(size: int) -> Callable[[int, list[bytes], list[np.ndarray]], np.ndarray]:
+        return lambda _, parts, facts: _judge(*P.joined(parts, facts, size))
+
+    def asked(ask: Callable[[dict], Iterator[dict]], size: int, name: str, facts: type = np.uint8) -> DataFrame:
+        answers = P.answer(P.each_block(table, ask, P.QUESTION), judge(size), facts)
+        return P.with_answers(table, materialise(answers, f"html-{name}"), name)
+
+    def apply(row: dict) -> Iterator[dict]:
+        block, runs, _ = repeated(row)
+        where, _, which = block.ask_runs(runs, buckets)
+        gone = block.said(P.answers_of(row["site"], where, buckets)[which], runs)
+        for old, text in zip(row["rows"], block.texts(gone), strict=True):
+            yield {"page_id": old["page_id"], "url": old["url"], "text": "\n".join(text)}
+
+    table = asked(ask_anchors, P.NARROW, "anchors")
+    table = asked(ask_runs, P.WIDE, "repeated")
+    counts = materialise(P.each_block(table, articles, "block long, host long, n long"), "html-articles")
+    totals = counts.join(counts.groupBy("host").agg(F.sum("n").alias("total")), "host").groupBy("block").agg(F.collect_list(F.struct("host", "total")).alias("answers"))
+    table = P.with_answers(table, materialise(totals, "html-hosts"), "articles")
+    table = asked(ask_site, P.WIDE, "site", np.int64)
+    kinds = dict(streams.dtypes)
+    out = P.each_block(table, apply, f"page_id {kinds['page_id']}, url {kinds['url']}, text string")
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -88,10 +88,10 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def blocks(docs: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, carry: bool = False) -> DataFrame:
+def blocks(docs: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, carry: bool = False, **options: str) -> DataFrame:
     """The documents packed to blocks, as a table bucketed by ``home``: home, block, doc_ids, texts. Nothing is shuffled.
 
-    Nulls count as empty texts; null identifiers stay null. With ``carry``, all columns of ``docs`` but the text go along in ``rows``.
+    Nulls count as empty texts; null identifiers stay null. With ``carry``, all columns of ``docs`` but the text go along in ``rows``. ``options`` are the writer's.
     """
     spark = docs.sparkSession
 
@@ -130,7 +130,7 @@ def blocks(docs: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "
         schema += f", rows array<{kind.simpleString()}>"
     packed = map_arrow(rows, pack, schema).withColumn("home", home())
     table = f"{name}_blocks_{uuid.uuid4().hex}"
-    packed.write.bucketBy(shuffle_parts(spark), "home").sortBy("block").option("path", scratch_path(spark, table)).saveAsTable(table)
+    packed.write.bucketBy(shuffle_parts(spark), "home").sortBy("block").options(**options).option("path", scratch_path(spark, table)).saveAsTable(table)
     return spark.table(table)
 
 

@@ -226,3 +226,34 @@ def test_host_runs_against_the_definition(spark):
 @pytest.mark.parametrize("page", ["<article>" + "<p>x" * 20_000, "<" * 5_000, "<div>" * 5_000, "<!--" * 2_000, "&amp" * 3_000])
 def test_odd_pages_end(page):
     html_text.parse(page)
+
+
+def test_host_runs_decide_in_marked_articles(spark):
+    """A site's block goes from articles too; mirrored texts, teasers, headlines and quoted lines stay, and so do other hosts."""
+    rng = np.random.default_rng(3)
+    words = [f"w{k}" for k in range(400)]
+
+    def prose(n):
+        return " ".join(rng.choice(words, n))
+
+    def page(head, blocks, aside, foot):
+        return f"<nav>{prose(9)}</nav><article><h1>{head}</h1>" + "".join(f"<p>{b}</p>" for b in blocks) + f"</article><aside>{aside}</aside><footer>{foot}</footer>"
+
+    offer, teaser, quoted, story, headline = prose(12), prose(15), prose(15), [prose(40), prose(30)], prose(10)
+    texts = {k: [prose(50), quoted, prose(20)] for k in range(4)} | {4: [teaser, prose(60)], 5: story, 6: story, 7: story, 8: [prose(10) + " " + offer, prose(30)]}
+    pages = {k: page(f"head {k}", [*t[:1], offer, *t[1:]] if k < 5 else t, teaser, offer) for k, t in texts.items()}
+    want = {k: "\n".join([f"head {k}", *t]) for k, t in texts.items()}
+    pages |= {k: page(headline, [text], headline, offer) for k, text in ((20, prose(40)), (21, prose(40)), (22, prose(40)))}
+    pages |= {k: page(f"head {k}", [text], quoted, offer) for k, text in ((23, prose(40)), (24, prose(40)))}
+    want |= {k: "\n".join([headline, *re.findall("<p>(.*?)</p>", pages[k])]) for k in (20, 21, 22)}
+    want |= {k: "\n".join([f"head {k}", *re.findall("<p>(.*?)</p>", pages[k])]) for k in (23, 24)}
+    rows = [(k, f"http://a.example/{k}", h) for k, h in pages.items()] + [(30, "http://b.example/", page("other", [offer, prose(20)], "", offer))]
+    want[30] = "\n".join(["other", *re.findall("<p>(.*?)</p>", rows[-1][2])])
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert got == want
+
+
+def test_article_that_is_furniture_alone_keeps_it(spark):
+    notice = "this page has moved to another place for good and stays there"
+    rows = [(k, f"http://a.example/{k}", f"<article><p>{notice}</p></article><footer>{notice}</footer>") for k in range(5)]
+    assert {r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()} == {notice}
