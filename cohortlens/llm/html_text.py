@@ -176,16 +176,6 @@ def host_of(url: str | None) -> str:
     return m[1] if m else ""
 
 
-_TOOLS: list[P.Rolling] = []
-
-
-def _rolling() -> P.Rolling:
-    """One per Python worker: its tables of powers are filled once."""
-    if not _TOOLS:
-        _TOOLS.append(P.Rolling())
-    return _TOOLS[0]
-
-
 #: where a run stands: on a page without marked article, in a marked article, or left out
 FREE, ARTICLE, ASIDE = range(3)
 
@@ -213,7 +203,7 @@ class Pages:
         n = len(self.line_of)
         raw = np.frombuffer((" ".join(self.lines) + " ").encode(), np.uint8)
         stops = np.flatnonzero(raw == 0x20)[:n]
-        rolling = _rolling()
+        rolling = P.rolling()
         words = rolling.of(rolling.sums(raw), np.concatenate([[0], stops[:-1] + 1])[:n], stops)
         page = self.page[self.line_of]
         segment = 2 * page + self.left[self.line_of]
@@ -385,7 +375,7 @@ def extract(pages: DataFrame) -> DataFrame:
         yield from P.question_rows(row["block"], where, block.facts(runs, which, len(where), own, totals), buckets, wide=keys, own_flags=True)
 
     def judge(size: int) -> Callable[[int, list[bytes], list[np.ndarray]], np.ndarray]:
-        return lambda _, parts, facts: _judge(*P.joined(parts, facts, size))
+        return lambda _, parts, facts: P.judged(_judge, parts, facts, size)
 
     def asked(ask: Callable[[dict], Iterator[dict]], size: int, name: str, facts: type = np.uint8) -> DataFrame:
         answers = P.answer(P.each_block(table, ask, P.QUESTION), judge(size), facts)

@@ -53,7 +53,7 @@ def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
     before = np.concatenate([[True], space[:-1]])
     starts = np.flatnonzero(~space & before)
     stops = np.flatnonzero(space & ~before)
-    rolling = _rolling()
+    rolling = P.rolling()
     word = rolling.of(rolling.sums(buffer), starts, stops)
     first = np.searchsorted(starts, np.concatenate([[0], ends]))  # first word of each text
     factors = _FACTORS[np.arange(words) % len(_FACTORS)] + U64(2) * (np.arange(words, dtype=U64) // U64(len(_FACTORS)))
@@ -73,21 +73,16 @@ def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
     return out
 
 
-_CACHE: dict[str, P.Rolling] = {}
-
-
-def _rolling() -> P.Rolling:
-    """One per Python worker: its tables of powers are filled once."""
-    return _CACHE.setdefault("bytes", P.Rolling())
-
-
 def _block_keys(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, U64), np.zeros(0, int))
 
 
 def _frequency(bucket: int, parts: list[bytes], counts: list[np.ndarray]) -> np.ndarray:
     """0: one document has the shingle; else the number of documents as a power of two, rounded up, 15 at most."""
-    keys, flags = P.joined(parts, counts, P.NARROW)
+    return P.judged(_levels, parts, counts, P.NARROW)
+
+
+def _levels(keys: np.ndarray, flags: np.ndarray) -> np.ndarray:
     order = np.argsort(keys, kind="stable")
     ranked = keys[order]
     begins = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))

@@ -39,11 +39,6 @@ INDEX = 128
 
 U64 = np.uint64
 _LAST = (1 << 63) - 1
-_TOOLS: dict[int, P.Rolling] = {}
-
-
-def _rolling(which: int) -> P.Rolling:
-    return _TOOLS.setdefault(which, P.Rolling(which))
 
 
 class Lines:
@@ -57,7 +52,7 @@ class Lines:
         self.sizes = self.ends - self.starts
         stops = np.cumsum([len(t) + 1 for t in texts]) - 1 if texts else np.zeros(0, int)
         self.doc = np.searchsorted(stops, self.starts)  # of each line
-        self.sums = [_rolling(w).sums(self.points) for w in (0, 1)]
+        self.sums = [P.rolling(w).sums(self.points) for w in (0, 1)]
         # only short lines are looked at, so the cost does not follow the text
         short = np.flatnonzero((self.sizes > 0) & (self.sizes < BLANK_CHARS)).tolist()
         written = np.array([k for k in short if not self.line(k).isspace()], np.int64)
@@ -67,7 +62,7 @@ class Lines:
         return self.text[self.starts[k] : self.ends[k]]
 
     def prints(self, which: int) -> np.ndarray:
-        return _rolling(which).of(self.sums[which], self.starts[self.compared], self.ends[self.compared])
+        return P.rolling(which).of(self.sums[which], self.starts[self.compared], self.ends[self.compared])
 
     def equal_keys(self, doc_ids: list[int | None], buckets: int) -> tuple[np.ndarray, ...]:
         """Of compared lines, in sending order: bucket keys, keys, smallest document; the line that stands for each; which each line has."""
@@ -101,7 +96,7 @@ class Lines:
                     begin = at + shift
                     fits = ok & (begin >= 0) & (begin + width <= size)
                     a = (start + begin)[fits]
-                    content = _rolling(0).of(self.sums[0], a, a + width[fits])
+                    content = P.rolling(0).of(self.sums[0], a, a + width[fits])
                     keys.append(P.mix(content + (length[fits] * (EDITS + 1) + j).astype(U64) * U64(0x9E3779B97F4A7C15)))
                     lines.append(some[fits])
                     index.append(np.full(len(a), less == 0 and shift == 0))
@@ -119,7 +114,10 @@ class Lines:
 
 def _not_first(bucket: int, parts: list[bytes], owners: list[np.ndarray]) -> np.ndarray:
     """1 where another block has the line in a smaller document (or in an earlier block, if equal)."""
-    keys, owner = P.joined(parts, owners, P.WIDE)
+    return P.judged(_later, parts, owners, P.WIDE)
+
+
+def _later(keys: np.ndarray, owner: np.ndarray) -> np.ndarray:
     order = np.lexsort((np.arange(len(keys)), owner, keys))
     ranked = keys[order]
     out = np.zeros(len(keys), np.uint8)
@@ -129,7 +127,10 @@ def _not_first(bucket: int, parts: list[bytes], owners: list[np.ndarray]) -> np.
 
 def _has_partner(bucket: int, parts: list[bytes], flags: list[np.ndarray]) -> np.ndarray:
     """1 where two lines have the key, one of them as a segment of the index."""
-    keys, flag = P.joined(parts, flags, P.NARROW)
+    return P.judged(_met, parts, flags, P.NARROW)
+
+
+def _met(keys: np.ndarray, flag: np.ndarray) -> np.ndarray:
     order = np.argsort(keys, kind="stable")
     ranked = keys[order]
     begins = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))

@@ -65,7 +65,7 @@ def _tools() -> tuple[np.ndarray, P.Rolling, P.Rolling]:
     if not _STATE:
         residues = np.zeros(PERIOD, bool)
         residues[difference_cover()] = True
-        _STATE["tools"] = (residues, P.Rolling(0), P.Rolling(1))
+        _STATE["tools"] = (residues, P.rolling(0), P.rolling(1))
     return _STATE["tools"]
 
 
@@ -119,9 +119,8 @@ def _ordered(keys: np.ndarray, where: np.ndarray, buckets: int) -> tuple[np.ndar
     return where[order], keys[order], counts[order], at[order], rank[which]
 
 
-def _copies(parts: list[bytes], counts: list[np.ndarray]) -> np.ndarray:
+def _copies(keys: np.ndarray, count: np.ndarray) -> np.ndarray:
     """0: the text has no copy; 1: it has, and stands for the others; 2: it has, and is set aside."""
-    keys, count = P.joined(parts, counts, P.WIDE)
     result = P.repeated(keys, count)
     _, first = np.unique(keys, return_index=True)
     later = np.ones(len(keys), bool)
@@ -142,7 +141,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_
         yield from P.question_rows(row["block"], where, counts, buckets, wide=keys, first_bucket=buckets)
 
     def judge_samples(bucket: int, parts: list[bytes], counts: list[np.ndarray]) -> np.ndarray:
-        return P.repeated(*P.joined(parts, counts, P.NARROW)) if bucket < buckets else _copies(parts, counts)
+        return P.judged(P.repeated, parts, counts, P.NARROW) if bucket < buckets else P.judged(_copies, parts, counts, P.WIDE)
 
     def resolved(row: dict) -> tuple[Block, np.ndarray, np.ndarray]:
         """The block, the places of suffixes to sort, and for each text whether it has a copy (2: and is set aside)."""
@@ -160,7 +159,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_
         yield from P.question_rows(row["block"], where, counts, buckets, wide=keys)
 
     def judge_suffixes(bucket: int, parts: list[bytes], counts: list[np.ndarray]) -> np.ndarray:
-        return P.repeated(*P.joined(parts, counts, P.WIDE))
+        return P.judged(P.repeated, parts, counts, P.WIDE)
 
     def apply(row: dict) -> Iterator[dict]:
         block, places, copies = resolved(row)

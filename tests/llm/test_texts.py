@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import tracemalloc
 
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,6 +68,22 @@ def test_jaccard_components_that_only_meet_between_blocks(spark):
     assert rows(jaccard.groups(df)) == brute.ordered(brute.jaccard(texts))
 
 
+def test_judging_a_large_bucket_takes_little_beside_its_keys():
+    """A hundred blocks' questions in one bucket: equal keys meet, whatever their block, and no more than 40 bytes a key are in use."""
+    rng = np.random.default_rng(1)
+    blocks = [np.unique(rng.integers(0, 1 << 32, 10_000, dtype=np.uint64) & np.uint64(0xFFFFFFF0 if b % 2 else 0xFFFFFFFF)) for b in range(100)]
+    parts, flags = [packed.squeeze(keys, packed.NARROW) for keys in blocks], [np.full(len(keys), 1 + b % 2, np.uint8) for b, keys in enumerate(blocks)]
+    assert np.array_equal(packed.unsqueeze(parts, packed.NARROW), np.concatenate(blocks))
+    tracemalloc.start()
+    got = jaccard._frequency(0, parts, flags)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    _, which = np.unique(np.concatenate(blocks), return_inverse=True)
+    total = np.bincount(which, weights=np.concatenate(flags))[which]
+    assert np.array_equal(got, np.minimum(np.ceil(np.log2(total)), 15).astype(np.uint8)) and got.max() > 1
+    assert peak < 40 * len(got)
+
+
 def test_jaccard_empty_and_representatives(docs, texts, nothing):
     assert jaccard.groups(nothing).count() == 0
     kept = jaccard.representatives(docs, 5, 80)
