@@ -18,10 +18,12 @@ rows that repeat an identifier are documents of their own; an empty table gives
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pandas.util import hash_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,40 +38,46 @@ NEAR_CHARS = EDITS + 1
 #: entries of a key compared at once, and entries per task group
 KEY_BLOCK, GROUP_ENTRIES = 256, 20_000
 INDEX = 128
+#: of the fingerprint that deals lines to buckets, and of the one that tells lines of a bucket apart (16 bytes each)
+HASH_KEYS = {"bucket_prints": "bucket of a line", "line_prints": "line's own print"}
 
 U64 = np.uint64
 _LAST = (1 << 63) - 1
 
 
+def prints(texts: list[str]) -> dict[str, bytes]:
+    """Of a block's texts: how many lines each has, which of all lines are compared (bits), and of those two fingerprints.
+
+    Stored with the block, so that only the steps that need characters read them, and none hashes whole lines again.
+    """
+    every = "\n".join(texts).split("\n") if texts else []
+    # only short lines are looked at, so the cost does not follow the text
+    compared = [len(x) >= BLANK_CHARS or x != "" and not x.isspace() for x in every]
+    lines = np.array(list(itertools.compress(every, compared)), dtype=object)
+    return {
+        "n_lines": np.array([t.count("\n") + 1 for t in texts], "<i4").tobytes(),
+        "compared": np.packbits(np.array(compared, bool)).tobytes(),
+        **{c: hash_array(lines, hash_key=k, categorize=False).astype("<u8").tobytes() for c, k in HASH_KEYS.items()},
+    }
+
+
 class Lines:
-    """The lines of a block's texts as places in one array of code points."""
-
-    def __init__(self, texts: list[str]):
-        self.text = "\n".join([*texts, ""])
-        self.points = np.frombuffer(self.text.encode("utf-32-le"), dtype=np.uint32)
-        self.ends = np.flatnonzero(self.points == 10)
-        self.starts = np.concatenate([[0], self.ends[:-1] + 1]).astype(np.int64)
-        self.sizes = self.ends - self.starts
-        stops = np.cumsum([len(t) + 1 for t in texts]) - 1 if texts else np.zeros(0, int)
-        self.doc = np.searchsorted(stops, self.starts)  # of each line
-        self.sums = [P.rolling(w).sums(self.points) for w in (0, 1)]
-        # only short lines are looked at, so the cost does not follow the text
-        short = np.flatnonzero((self.sizes > 0) & (self.sizes < BLANK_CHARS)).tolist()
-        written = np.array([k for k in short if not self.line(k).isspace()], np.int64)
-        self.compared = np.sort(np.concatenate([np.flatnonzero(self.sizes >= BLANK_CHARS), written]))
-
-    def line(self, k: int) -> str:
-        return self.text[self.starts[k] : self.ends[k]]
-
-    def prints(self, which: int) -> np.ndarray:
-        return P.rolling(which).of(self.sums[which], self.starts[self.compared], self.ends[self.compared])
-
-    def equal_keys(self, doc_ids: list[int | None], buckets: int) -> tuple[np.ndarray, ...]:
+    """What a block knows of its lines without their texts."""
+
+    def __init__(self, row: dict):
+        self.doc_ids = row["doc_ids"]
+        counts = np.frombuffer(row["n_lines"], "<i4")
+        self.edges = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)  # of each document's lines
+        self.doc = np.repeat(np.arange(len(counts)), counts)  # of each line
+        self.compared = np.flatnonzero(np.unpackbits(np.frombuffer(row["compared"], np.uint8), count=len(self.doc)))
+        self.where, self.own = (np.frombuffer(row[c], "<u8") for c in HASH_KEYS)
+
+    def equal_keys(self, buckets: int) -> tuple[np.ndarray, ...]:
         """Of compared lines, in sending order: bucket keys, keys, smallest document; the line that stands for each; which each line has."""
-        owner = np.array([_LAST if i is None else i for i in doc_ids], dtype=np.int64)[self.doc[self.compared]]
+        owner = np.array([_LAST if i is None else i for i in self.doc_ids], dtype=np.int64)[self.doc[self.compared]]
         order = np.argsort(owner, kind="stable")  # then by place
-        keys = self.prints(1)[order] >> U64(8)
-        where = self.prints(0)[order]
+        keys = self.own[order] >> U64(8)
+        where = self.where[order]
         keys, at, which = np.unique(keys, return_index=True, return_inverse=True)  # at: of the smallest document
         rank = np.argsort(P.split_keys(where[at], buckets)[0], kind="stable")
         back = np.empty(len(rank), np.int64)
@@ -78,10 +86,25 @@ class Lines:
         own[order] = back[which]
         return where[at][rank], keys[rank], owner[order][at][rank], order[at][rank], own
 
-    def segment_keys(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Keys of the lines ``some``: (key, line, whether it is a segment of the index)."""
+    def standing(self, answers: list | None, buckets: int) -> np.ndarray:
+        """Which of the compared lines stand for all equal ones."""
+        where, _, _, at, _ = self.equal_keys(buckets)
+        return np.sort(at[P.answers_of(answers, where, buckets) == 0])
+
+
+class Segments:
+    """The segments and substrings of some lines, as places in one array of code points."""
+
+    def __init__(self, lines: list[str]):
+        self.lines = lines
+        self.sizes = np.array([len(x) for x in lines], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.sums = P.rolling().sums(np.frombuffer("".join(lines).encode("utf-32-le"), dtype=np.uint32))
+
+    def keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of all lines: (key, line, whether it is a segment of the index)."""
         keys, lines, index = [], [], []
-        start, size = self.starts[some], self.sizes[some]
+        start, size = self.starts, self.sizes
         for less in range(EDITS + 1):
             length = size - less  # of the lines that are looked for
             ok = length >= NEAR_CHARS
@@ -96,16 +119,16 @@ class Lines:
                     begin = at + shift
                     fits = ok & (begin >= 0) & (begin + width <= size)
                     a = (start + begin)[fits]
-                    content = P.rolling(0).of(self.sums[0], a, a + width[fits])
+                    content = P.rolling().of(self.sums, a, a + width[fits])
                     keys.append(P.mix(content + (length[fits] * (EDITS + 1) + j).astype(U64) * U64(0x9E3779B97F4A7C15)))
-                    lines.append(some[fits])
+                    lines.append(np.flatnonzero(fits))
                     index.append(np.full(len(a), less == 0 and shift == 0))
                 at = at + width
         return np.concatenate(keys), np.concatenate(lines), np.concatenate(index)
 
-    def shared_keys(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def shared_keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The same with distinct keys to send: keys, flags; and of each entry: which key, line, index or not."""
-        keys, lines, index = self.segment_keys(some)
+        keys, lines, index = self.keys()
         keys, which, counts = np.unique(keys, return_inverse=True, return_counts=True)
         flags = np.minimum(counts, INDEX - 1).astype(np.uint8)
         flags[np.unique(which[index])] |= INDEX
@@ -213,49 +236,52 @@ def _verify(key: tuple, table: pa.Table) -> pa.Table:
 def _marked(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
     """Blocks with ``firsts`` (answers about equal lines) and ``near`` (fingerprints of near copies that go)."""
     buckets = P.shuffle_parts(docs.sparkSession)
-    table = P.blocks(docs, "lines", id_col, text_col, carry=carry)
-    slim = table.select("home", "block", "doc_ids", "texts")
+    table = P.blocks(docs, "lines", id_col, text_col, carry=carry, derive=prints)
+    known = ["home", "block", "doc_ids", "n_lines", "compared", *HASH_KEYS]
 
     def ask_equal(row: dict) -> Iterator[dict]:
-        where, keys, owner, _, _ = Lines(row["texts"]).equal_keys(row["doc_ids"], buckets)
+        where, keys, owner, _, _ = Lines(row).equal_keys(buckets)
         yield from P.question_rows(row["block"], where, owner, buckets, wide=keys, own_flags=True)
 
-    firsts = materialise(P.answer(P.each_block(slim, ask_equal, P.QUESTION), _not_first, np.int64), "lines-equal")
-    slim = P.with_answers(slim, firsts, "firsts")
+    firsts = materialise(P.answer(P.each_block(table.select(known), ask_equal, P.QUESTION), _not_first, np.int64), "lines-equal")
+    slim = P.with_answers(table.select(*known, "texts"), firsts, "firsts")
 
-    def standing(row: dict) -> tuple[Lines, np.ndarray]:
+    def standing(row: dict) -> tuple[Lines, np.ndarray, Segments]:
         """The block's lines that stand for all equal ones."""
-        lines = Lines(row["texts"])
-        where, _, _, at, _ = lines.equal_keys(row["doc_ids"], buckets)
-        return lines, np.sort(lines.compared[at[P.answers_of(row["firsts"], where, buckets) == 0]])
+        lines = Lines(row)
+        some = lines.standing(row["firsts"], buckets)
+        every = "\n".join(row["texts"]).split("\n")
+        return lines, some, Segments([every[k] for k in lines.compared[some].tolist()])
 
     def ask_segments(row: dict) -> Iterator[dict]:
-        lines, some = standing(row)
-        keys, flags, _, _, _ = lines.shared_keys(some)
+        keys, flags, _, _, _ = standing(row)[2].shared_keys()
         yield from P.question_rows(row["block"], keys, flags, buckets, own_flags=True)
 
     segments = materialise(P.answer(P.each_block(slim, ask_segments, P.QUESTION), _has_partner), "lines-segments")
 
     def entries(row: dict) -> Iterator[dict]:
-        lines, some = standing(row)
-        keys, _, which, owner, index = lines.shared_keys(some)
-        hit = P.answers_of(row["segments"], keys, buckets)[which] > 0
-        prints = np.zeros(len(lines.starts), np.int64)
-        prints[lines.compared] = lines.prints(1).view(np.int64)
-        order = np.flatnonzero(hit)
-        if not len(order):
+        lines, some, cut = standing(row)
+        keys, _, which, owner, index = cut.shared_keys()
+        hit = np.flatnonzero(P.answers_of(row["segments"], keys, buckets)[which] > 0)
+        if not len(hit):
             return
-        order = order[np.argsort(owner[order], kind="stable")]
-        for part in np.split(order, np.flatnonzero(np.diff(owner[order])) + 1):
-            yield entry(row, lines, keys, which, index, prints, int(owner[part[0]]), part)
-
-    def entry(row: dict, lines: Lines, keys: np.ndarray, which: np.ndarray, index: np.ndarray, prints: np.ndarray, k: int, mine: np.ndarray) -> dict:
-        doc = int(lines.doc[k])
-        own = keys[which[mine]].view(np.int64)
-        return {
-            "uid": int(prints[k]), "block": row["block"], "doc_id": row["doc_ids"][doc], "line": k, "text": lines.line(k),
-            "index_keys": np.unique(own[index[mine]]).tolist(), "probe_keys": np.setdiff1d(own, own[index[mine]]).tolist(),
-        }
+        which, owner, index = which[hit], owner[hit], index[hit]
+        # each key of a line once, as the index's if it is both
+        order = np.lexsort((~index, which, owner))
+        order = order[np.concatenate([[True], (np.diff(owner[order]) != 0) | (np.diff(which[order]) != 0)])]
+        order = order[np.lexsort((~index[order], owner[order]))]
+        begins = np.flatnonzero(np.diff(owner[order], prepend=-1))
+        probes = begins + np.add.reduceat(index[order].astype(np.int64), begins)
+        values = keys.view(np.int64)[which[order]].tolist()
+        mine = owner[order][begins]
+        place = lines.compared[some[mine]]
+        doc, uid = lines.doc[place], lines.own.view(np.int64)[some[mine]]
+        ends = np.append(begins[1:], len(values))
+        for k, line, d, u, a, b, c in zip(*(x.tolist() for x in (mine, place, doc, uid, begins, probes, ends)), strict=True):
+            yield {
+                "uid": u, "block": row["block"], "doc_id": row["doc_ids"][d], "line": line, "text": cut.lines[k],
+                "index_keys": values[a:b], "probe_keys": values[b:c],
+            }
 
     schema = "uid long, block long, doc_id long, line int, text string, index_keys array<long>, probe_keys array<long>"
     some = materialise(P.each_block(P.with_answers(slim, segments, "segments"), entries, schema), "lines-candidates")
@@ -277,25 +303,24 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFra
 
 def _kept_lines(row: dict, buckets: int) -> tuple[Lines, np.ndarray, np.ndarray]:
     """The lines, which of them go as equal, which as near copies."""
-    lines = Lines(row["texts"])
-    where, _, _, at, which = lines.equal_keys(row["doc_ids"], buckets)
+    lines = Lines(row)
     first = np.zeros(len(lines.compared), bool)
-    first[at[P.answers_of(row["firsts"], where, buckets) == 0]] = True
-    equal, near = np.zeros(len(lines.starts), bool), np.zeros(len(lines.starts), bool)
+    first[lines.standing(row["firsts"], buckets)] = True
+    equal, near = np.zeros(len(lines.doc), bool), np.zeros(len(lines.doc), bool)
     equal[lines.compared[~first]] = True
     if row["near"]:
-        near[lines.compared[np.isin(lines.prints(1).view(np.int64), np.array(row["near"], np.int64)) & first]] = True
+        near[lines.compared[np.isin(lines.own.view(np.int64), np.array(row["near"], np.int64)) & first]] = True
     return lines, equal, near
 
 
-def _texts(row: dict, lines: Lines, gone: np.ndarray) -> Iterator[tuple[str, slice]]:
-    """Each document's text without the lines that go, and its lines."""
-    edges = np.searchsorted(lines.doc, np.arange(len(row["texts"]) + 1))
-    for k, text in enumerate(row["texts"]):
-        own = slice(int(edges[k]), int(edges[k + 1]))
-        if gone[own].any():
-            text = "\n".join(line for line, g in zip(text.split("\n"), gone[own], strict=True) if not g)
-        yield text, own
+def _texts(row: dict, lines: Lines, gone: np.ndarray) -> Iterator[tuple[str, int]]:
+    """Each document's text without the lines that go, and how many do."""
+    stay = ~gone
+    losses = np.bincount(lines.doc[gone], minlength=len(row["texts"])).tolist()
+    for text, lost, a, b in zip(row["texts"], losses, lines.edges[:-1].tolist(), lines.edges[1:].tolist(), strict=True):
+        if lost:
+            text = "\n".join(itertools.compress(text.split("\n"), stay[a:b].tolist()))
+        yield text, lost
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -304,11 +329,9 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     def rows(row: dict) -> Iterator[dict]:
         lines, equal, near = _kept_lines(row, buckets)
-        for doc_id, (text, own) in zip(row["doc_ids"], _texts(row, lines, equal | near), strict=True):
-            yield {
-                "doc_id": doc_id, "n_lines": own.stop - own.start, "n_equal": int(equal[own].sum()), "n_near": int(near[own].sum()),
-                "kept_sha256": hashlib.sha256(text.encode()).hexdigest(),
-            }
+        n_lines, n_equal = np.diff(lines.edges).tolist(), np.bincount(lines.doc[equal], minlength=len(row["texts"])).tolist()
+        for doc_id, n, same, (text, lost) in zip(row["doc_ids"], n_lines, n_equal, _texts(row, lines, equal | near), strict=True):
+            yield {"doc_id": doc_id, "n_lines": n, "n_equal": same, "n_near": lost - same, "kept_sha256": hashlib.sha256(text.encode()).hexdigest()}
 
     return P.each_block(_marked(docs, id_col, text_col, False), rows, "doc_id long, n_lines long, n_equal long, n_near long, kept_sha256 string")
 
@@ -319,9 +342,8 @@ def deduped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     def rows(row: dict) -> Iterator[dict]:
         lines, equal, near = _kept_lines(row, buckets)
-        gone = equal | near
-        for old, (text, own) in zip(row["rows"], _texts(row, lines, gone), strict=True):
-            if gone[own].any() and not text.strip():
+        for old, (text, lost) in zip(row["rows"], _texts(row, lines, equal | near), strict=True):
+            if lost and not text.strip():
                 continue
             yield {c: v for c, v in old.items() if c != mark} | {text_col: None if old[mark] else text}
 

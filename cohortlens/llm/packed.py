@@ -95,12 +95,17 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def blocks(docs: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, carry: bool = False, **options: str) -> DataFrame:
+def blocks(
+    docs: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, carry: bool = False,
+    derive: Callable[[list[str]], dict[str, bytes]] | None = None, **options: str,
+) -> DataFrame:
     """The documents packed to blocks, as a table bucketed by ``home``: home, block, doc_ids, texts. Nothing is shuffled.
 
-    Nulls count as empty texts; null identifiers stay null. With ``carry``, all columns of ``docs`` but the text go along in ``rows``. ``options`` are the writer's.
+    Nulls count as empty texts; null identifiers stay null. With ``carry``, all columns of ``docs`` but the text go along in ``rows``. ``derive`` gives
+    further columns of a block, computed once from its texts. ``options`` are the writer's.
     """
     spark = docs.sparkSession
+    derived = list(derive([])) if derive else []
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, n = TaskContext.get().partitionId(), 0
@@ -113,7 +118,9 @@ def blocks(docs: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "
             arrays = [pa.array([task << 32 | n], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([texts], pa.list_(pa.string()))]
             if carry:
                 arrays.append(pa.array([rest], pa.list_(row_type)))
-            return pa.RecordBatch.from_arrays(arrays, names=["block", "doc_ids", "texts", "rows"][: len(arrays)])
+            more = derive(texts) if derive else {}
+            arrays += [pa.array([more[c]], pa.binary()) for c in derived]
+            return pa.RecordBatch.from_arrays(arrays, names=["block", "doc_ids", "texts", *(["rows"] if carry else []), *derived])
 
         for batch in batches:
             others = batch.column(2).to_pylist() if carry else [None] * batch.num_rows
@@ -135,6 +142,7 @@ def blocks(docs: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "
         kind = rows.schema["row"].dataType
         row_type = to_arrow_type(kind)
         schema += f", rows array<{kind.simpleString()}>"
+    schema += "".join(f", {c} binary" for c in derived)
     packed = map_arrow(rows, pack, schema).withColumn("home", home())
     table = f"{name}_blocks_{uuid.uuid4().hex}"
     packed.write.bucketBy(shuffle_parts(spark), "home").sortBy("block").options(**options).option("path", scratch_path(spark, table)).saveAsTable(table)
