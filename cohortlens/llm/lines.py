@@ -23,7 +23,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pandas.util import hash_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,26 +37,23 @@ NEAR_CHARS = EDITS + 1
 #: entries of a key compared at once, and entries per task group
 KEY_BLOCK, GROUP_ENTRIES = 256, 20_000
 INDEX = 128
-#: of the fingerprint that deals lines to buckets, and of the one that tells lines of a bucket apart (16 bytes each)
-HASH_KEYS = {"bucket_prints": "bucket of a line", "line_prints": "line's own print"}
 
 U64 = np.uint64
 _LAST = (1 << 63) - 1
 
 
 def prints(texts: list[str]) -> dict[str, bytes]:
-    """Of a block's texts: how many lines each has, which of all lines are compared (bits), and of those two fingerprints.
+    """Of a block's texts: how many lines each has, which of all lines are compared (bits), and two fingerprints of each of those.
 
     Stored with the block, so that only the steps that need characters read them, and none hashes whole lines again.
     """
     every = "\n".join(texts).split("\n") if texts else []
     # only short lines are looked at, so the cost does not follow the text
     compared = [len(x) >= BLANK_CHARS or x != "" and not x.isspace() for x in every]
-    lines = np.array(list(itertools.compress(every, compared)), dtype=object)
     return {
         "n_lines": np.array([t.count("\n") + 1 for t in texts], "<i4").tobytes(),
         "compared": np.packbits(np.array(compared, bool)).tobytes(),
-        **{c: hash_array(lines, hash_key=k, categorize=False).astype("<u8").tobytes() for c, k in HASH_KEYS.items()},
+        "line_prints": b"".join([hashlib.blake2b(x.encode(), digest_size=16).digest() for x in itertools.compress(every, compared)]),
     }
 
 
@@ -70,7 +66,8 @@ class Lines:
         self.edges = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)  # of each document's lines
         self.doc = np.repeat(np.arange(len(counts)), counts)  # of each line
         self.compared = np.flatnonzero(np.unpackbits(np.frombuffer(row["compared"], np.uint8), count=len(self.doc)))
-        self.where, self.own = (np.frombuffer(row[c], "<u8") for c in HASH_KEYS)
+        # the first deals lines to buckets, the second tells lines of a bucket apart
+        self.where, self.own = np.frombuffer(row["line_prints"], "<u8").reshape(-1, 2).T.copy()
 
     def equal_keys(self, buckets: int) -> tuple[np.ndarray, ...]:
         """Of compared lines, in sending order: bucket keys, keys, smallest document; the line that stands for each; which each line has."""
@@ -237,7 +234,7 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFra
     """Blocks with ``firsts`` (answers about equal lines) and ``near`` (fingerprints of near copies that go)."""
     buckets = P.shuffle_parts(docs.sparkSession)
     table = P.blocks(docs, "lines", id_col, text_col, carry=carry, derive=prints)
-    known = ["home", "block", "doc_ids", "n_lines", "compared", *HASH_KEYS]
+    known = ["home", "block", "doc_ids", "n_lines", "compared", "line_prints"]
 
     def ask_equal(row: dict) -> Iterator[dict]:
         where, keys, owner, _, _ = Lines(row).equal_keys(buckets)
