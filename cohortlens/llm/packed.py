@@ -83,10 +83,15 @@ class Rolling:
 
 @functools.cache
 def rolling(which: int = 0) -> Rolling:
-    """One per Python worker, whichever operators run in it: its tables of powers are filled once, and kept once."""
+    """One per Python worker, whichever operators run in it: its tables of powers are filled once a task, and kept once."""
     return Rolling(which)
 
 
+def forget_powers() -> None:
+    """Drop the tables: a worker outlives its tasks, and steps that hash nothing would carry 20 MB of them."""
+    rolling.cache_clear()
+
+
 def home() -> Column:
     return F.shiftright("block", HOME_BITS)
 
@@ -160,6 +165,7 @@ def each_block(frame: DataFrame, fn: Callable[[dict], Iterator[dict]], schema: s
                 rows = list(fn(row))
                 for at in range(0, len(rows), 4096):
                     yield pa.RecordBatch.from_pylist(rows[at : at + 4096], schema=arrow)
+        forget_powers()
 
     bound_batches(frame.sparkSession)
     return frame.mapInArrow(trimmed(run), schema)

@@ -5,7 +5,9 @@ from __future__ import annotations
 import contextlib
 import io
 
-from cohortlens.llm import lines
+import pyarrow as pa
+
+from cohortlens.llm import lines, packed
 
 SCHEMA = "doc_id long, text string"
 
@@ -46,3 +48,13 @@ def test_a_block_of_blank_lines_has_no_prints():
     known = lines.Lines({"doc_ids": [1, 2], **lines.prints(["", "\n"])})
     assert known.doc.tolist() == [0, 1, 1] and not len(known.compared)
     assert not len(known.standing(None, 4)) and not len(lines.Segments([]).keys()[0])
+
+
+def test_workers_keep_no_tables_of_powers(spark):
+    def held(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [packed.rolling.cache_info().currsize] * batch.num_rows})
+
+    df = spark.createDataFrame([(k, f"line {k}\nline {k + 1} of them") for k in range(200)], SCHEMA).repartition(8)
+    assert lines.report(df).count() == 200
+    assert {r.n for r in spark.range(64).repartition(16).mapInArrow(held, "n long").collect()} == {0}
